@@ -1,0 +1,5 @@
+"""Intentionally empty: every job in scope reads whole inputs and ends.
+
+The only operator that depends on arrival order (``dedup.first_seen``) is a batch
+operator with an explicit order column.
+"""
