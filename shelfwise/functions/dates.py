@@ -23,13 +23,14 @@ DATE_FORMATS = (
 CENTURY_PIVOT = 69
 
 
-def release_date(c: Column) -> Column:
+def release_date(c: Column, squeezed: bool = False) -> Column:
     """Date of a text in one of seven shapes, or 1 January of a bare year; else null.
 
     White space is collapsed first because the formatter, unlike the accepted shapes,
-    allows exactly one blank.
+    allows exactly one blank; ``squeezed`` says the caller has done that in a column of its own,
+    so that it is not repeated per shape.
     """
-    text = squeeze(c)
+    text = c if squeezed else squeeze(c)
     candidates = []
     for shape, fmt in DATE_FORMATS:
         parsed = F.try_to_date(text, fmt)

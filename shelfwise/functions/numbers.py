@@ -37,11 +37,11 @@ def decimal_of(c: Column) -> Column:
 def rating(c: Column, source: Column) -> Column:
     """Rating on a 0..100 scale with one decimal; values outside the source's scale are null."""
     value = F.when(~c.cast("string").isin(*RATING_NA_TOKENS), decimal_of(c))
-    scaled = F.lit(None).cast("double")
+    factor = F.lit(None).cast("int")
     for name, top in RATING_SCALE.items():
-        on_scale = (source == name) & value.between(0, top)
-        scaled = F.when(on_scale, F.round(value * (100 // top), 1).cast("double")).otherwise(scaled)
-    return scaled
+        factor = F.when(source == name, F.lit(100 // top)).otherwise(factor)
+    scaled = value * factor
+    return F.when(scaled.between(0, 100), F.round(scaled, 1).cast("double"))
 
 
 def price(c: Column, locale: str = "eu") -> Column:
@@ -50,16 +50,16 @@ def price(c: Column, locale: str = "eu") -> Column:
     With ``locale="eu"`` a comma is a decimal point and, where both signs occur, the point
     groups thousands (so ``1,234.56`` reads as 1.23456). ``locale="us"`` drops commas.
     """
-    text = F.lower(strip(c.cast("string")))
-    bare = strip(F.translate(text, PRICE_SIGNS, ""))
+    text = F.lower(c.cast("string"))
+    bare = F.translate(text, PRICE_SIGNS, "")
     if locale == "us":
         plain = F.translate(bare, ",", "")
     else:
-        both = bare.contains(",") & bare.contains(".")
-        plain = F.translate(F.when(both, F.translate(bare, ".", "")).otherwise(bare), ",", ".")
+        both = bare.rlike(r"(?s),.*\.|\..*,")
+        plain = F.when(both, F.translate(bare, ",.", ".")).otherwise(F.translate(bare, ",", "."))
     number = F.regexp_extract(plain, r"\d+\.?\d*", 0)
     return (
-        F.when(c.cast("string") == "N/A", F.lit(None))
+        F.when(text == "n/a", F.lit(None))
         .when(text.contains("free"), F.lit(0.0))
         .otherwise(number.try_cast("double"))
     )

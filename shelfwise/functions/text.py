@@ -67,7 +67,8 @@ def clean_text(c: Column) -> Column:
     """
     noise = "|".join([*ENTITIES, r"\\[nrt]", rf"[{SPACE}\x{{200b}}]"])
     spaced = F.trim(F.regexp_replace(c, f"(?:{noise})+", " "))
-    return F.when(~strip(c).isin(*TEXT_NA_TOKENS), F.nullif(spaced, F.lit("")))
+    missing = c.rlike(rf"^[{SPACE}]*(?:{'|'.join(TEXT_NA_TOKENS)})[{SPACE}]*$")
+    return F.when(~missing, F.nullif(spaced, F.lit("")))
 
 
 def flat_text(c: Column) -> Column:
@@ -137,7 +138,7 @@ def fix_encoding(c: Column, repair_first: bool = False) -> Column:
     """
     repaired = nfkc(replace_mojibake(c)) if repair_first else replace_mojibake(nfkc(c))
     blanks = F.regexp_replace(F.regexp_replace(repaired, CONTROL_CHARACTERS, ""), r"[ \t]+", " ")
-    return F.when(strip(c) == "", c).otherwise(strip(blanks))
+    return F.when(c.rlike(f"[^{SPACE}]"), strip(blanks)).otherwise(c)
 
 
 def safe_name(c: Column, limit: int = 50, control: bool = False, strip_first: bool = False) -> Column:

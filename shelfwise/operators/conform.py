@@ -20,34 +20,40 @@ def to_standard_names(df: DataFrame, source: str) -> DataFrame:
 
 
 def standardised(df: DataFrame, source: str, price_locale: str = "eu") -> DataFrame:
-    """Typed and cleaned values in one projection; columns the source lacks are left out."""
+    """Typed and cleaned values; columns the source lacks are left out.
+
+    Two projections: values that later ones read more than once come first, so each raw
+    text is parsed once per row.
+    """
     present = set(df.columns)
-    values: dict[str, Column] = {c: text.clean_text(F.col(c)) for c in TEXT_FIELDS if c in present}
+    first: dict[str, Column] = {c: text.clean_text(F.col(c)) for c in (*TEXT_FIELDS, "genres") if c in present}
+    for raw, name in (("original_price_raw", "original_price"), ("current_price_raw", "_current_price")):
+        if raw in present:
+            first[name] = numbers.price(F.col(raw), price_locale)
+    if "discount_percentage" in present:
+        first["discount_percentage"] = numbers.discount(F.col("discount_percentage"))
+    if "release_date" in present:
+        first["release_date"] = text.squeeze(F.col("release_date"))
+
+    second: dict[str, Column] = {}
     if "genres" in present:
-        values["genres"] = text.genre_list(text.clean_text(F.col("genres")))
+        second["genres"] = text.genre_list(F.col("genres"))
     if "rating_raw" in present:
-        values["rating"] = numbers.rating(F.col("rating_raw"), F.lit(source))
-    known = []
-    original = F.lit(None).cast("double")
-    if "original_price_raw" in present:
-        original = numbers.price(F.col("original_price_raw"), price_locale)
-        values["original_price"] = original
-    for column in ("discounted_price", "current_price_raw", "price"):
-        if column in present:
-            raw = F.col(column)
-            known.append(numbers.price(raw, price_locale) if column == "current_price_raw" else raw.try_cast("double"))
-    percent = F.lit(None).cast("double")
-    if "discount_percentage" in present:
-        percent = numbers.discount(F.col("discount_percentage"))
-        values["discount_percentage"] = percent
-    values["discounted_price"] = numbers.final_price(original, percent, *known)
+        second["rating"] = numbers.rating(F.col("rating_raw"), F.lit(source))
     if "release_date" in present:
-        values["release_date"] = dates.release_date(F.col("release_date"))
+        second["release_date"] = dates.release_date(F.col("release_date"), squeezed=True)
     for column in ("platforms", "platform"):
         if column in present:
-            values["platform"] = text.clean_platform(F.col(column))
+            second["platform"] = text.clean_platform(F.col(column))
             break
-    return df.withColumns(values).drop("rating_raw", "original_price_raw", "current_price_raw", "platforms")
+    available = present | set(first)
+    absent = F.lit(None).cast("double")
+    original = F.col("original_price") if "original_price" in available else absent
+    percent = F.col("discount_percentage") if "discount_percentage" in available else absent
+    known = [F.col(c).try_cast("double") for c in ("discounted_price", "_current_price", "price") if c in available]
+    second["discounted_price"] = numbers.final_price(original, percent, *known)
+    temporary = ("rating_raw", "original_price_raw", "current_price_raw", "platforms", "_current_price")
+    return df.withColumns(first).withColumns(second).drop(*temporary)
 
 
 def titled(df: DataFrame) -> DataFrame:

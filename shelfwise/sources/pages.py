@@ -329,17 +329,29 @@ def details_c(pages: DataFrame) -> DataFrame:
 EXTRACTORS = {SOURCE_A: (listing_a, details_a), SOURCE_B: (listing_b, details_b), SOURCE_C: (listing_c, details_c)}
 
 
+def _default(name: str, kind: str) -> Column:
+    """Value of a field that was not found."""
+    if kind.startswith("array"):
+        return F.array().cast(kind)
+    if kind == "timestamp":
+        return F.current_timestamp()
+    return F.lit("No" if name in ("multiplayer", "singleplayer") else NA)
+
+
 def store_records(listing_pages: DataFrame, detail_pages: DataFrame, source: str) -> DataFrame:
     """Listing entries with the fields of their detail page, in the source's column names.
 
     Entries are first reduced to one per link in arrival order; an entry whose page is
-    missing keeps empty details. Source A keeps only records that have media.
+    missing gets the defaults of a field that was not found. Source A keeps only records that have media.
     """
     from shelfwise.operators.dedup import first_seen
 
-    listing, details = EXTRACTORS[source]
+    listing, read_details = EXTRACTORS[source]
     entries = first_seen(listing(listing_pages), "url")
-    records = entries.join(details(detail_pages), "url", "left")
+    details = read_details(detail_pages)
+    records = entries.join(details, "url", "left").withColumns(
+        {name: F.coalesce(F.col(name), _default(name, kind)) for name, kind in details.dtypes if name != "url"}
+    )
     return with_media(records) if source == SOURCE_A else records
 
 
