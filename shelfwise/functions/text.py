@@ -55,8 +55,8 @@ def squeeze(c: Column) -> Column:
 
 
 def null_if_token(c: Column, tokens=NA_TOKENS) -> Column:
-    """Missing-value tokens of the CSV reader become null."""
-    return F.when(~c.isin(*tokens), c)
+    """Missing-value tokens of the CSV reader become null (no token holds a comma)."""
+    return F.when(F.find_in_set(c, F.lit(",".join(tokens))) == 0, c)
 
 
 def clean_text(c: Column) -> Column:

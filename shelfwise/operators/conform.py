@@ -19,8 +19,8 @@ def to_standard_names(df: DataFrame, source: str) -> DataFrame:
     return df.withColumnsRenamed(COLUMN_MAPPINGS[source]).withColumn("data_source", F.lit(source))
 
 
-def standardised(df: DataFrame, source: str, price_locale: str = "eu") -> DataFrame:
-    """Typed and cleaned values; columns the source lacks are left out.
+def standardised(df: DataFrame, price_locale: str = "eu") -> DataFrame:
+    """Typed and cleaned values of renamed records; columns that are absent stay absent.
 
     Two projections: values that later ones read more than once come first, so each raw
     text is parsed once per row.
@@ -39,7 +39,7 @@ def standardised(df: DataFrame, source: str, price_locale: str = "eu") -> DataFr
     if "genres" in present:
         second["genres"] = text.genre_list(F.col("genres"))
     if "rating_raw" in present:
-        second["rating"] = numbers.rating(F.col("rating_raw"), F.lit(source))
+        second["rating"] = numbers.rating(F.col("rating_raw"), F.col("data_source"))
     if "release_date" in present:
         second["release_date"] = dates.release_date(F.col("release_date"), squeezed=True)
     for column in ("platforms", "platform"):
@@ -70,29 +70,27 @@ def unified(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*columns, *extra)
 
 
-def conform_source(
-    df: DataFrame,
-    source: str,
-    order: str,
-    keep_null_urls: bool = False,
-    price_locale: str = "eu",
-) -> DataFrame:
-    """One source's records in unified form, untitled and repeated ones removed.
-
-    ``order`` names the arrival column; it stays in the result for later tie-breaks.
-    """
-    cleaned = titled(standardised(to_standard_names(df, source), source, price_locale))
-    return unified(unique_urls(cleaned, [F.col(order)], keep_null=keep_null_urls), order)
-
-
 def union_sources(frames: list[DataFrame]) -> DataFrame:
     """Bag union by column name; missing columns become null."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
 
-def conform_all(sources: dict[str, DataFrame], order: str) -> DataFrame:
-    """All sources conformed and united, before title deduplication."""
-    return union_sources([conform_source(df, source, order) for source, df in sources.items()])
+def conform_all(
+    sources: dict[str, DataFrame], order: str, keep_null_urls: bool = False, price_locale: str = "eu"
+) -> DataFrame:
+    """Unified records of all sources; untitled ones, and repeated links of a source, removed.
+
+    Sources are renamed and united first and cleaned together, which needs one set of
+    expressions and one shuffle instead of one per source. ``order`` names the arrival
+    column of every source; it stays in the result for later tie-breaks.
+    """
+    renamed = union_sources([to_standard_names(df, source) for source, df in sources.items()])
+    return unified(unique_urls(titled(standardised(renamed, price_locale)), [F.col(order)], keep_null=keep_null_urls), order)
+
+
+def conform_source(df: DataFrame, source: str, order: str, **options) -> DataFrame:
+    """One source's records in unified form."""
+    return conform_all({source: df}, order, **options)
 
 
 def master_records(sources: dict[str, DataFrame], order: str) -> DataFrame:

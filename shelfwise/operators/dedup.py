@@ -24,11 +24,21 @@ def keep_first(df: DataFrame, keys: list, order: list[Column]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def unique_urls(df: DataFrame, order: list[Column], column: str = "game_url", keep_null: bool = False) -> DataFrame:
-    """First record per URL. Null URLs count as equal; ``keep_null`` keeps them all."""
+def unique_urls(
+    df: DataFrame,
+    order: list[Column],
+    column: str = "game_url",
+    source: str | None = "data_source",
+    keep_null: bool = False,
+) -> DataFrame:
+    """First record per URL of a source (``source=None``: per URL).
+
+    Null URLs count as equal; ``keep_null`` keeps them all.
+    """
+    keys = [column] if source is None else [source, column]
     if not keep_null:
-        return keep_first(df, [column], order)
-    known = keep_first(df.filter(F.col(column).isNotNull()), [column], order)
+        return keep_first(df, keys, order)
+    known = keep_first(df.filter(F.col(column).isNotNull()), keys, order)
     return known.unionByName(df.filter(F.col(column).isNull()))
 
 

@@ -496,13 +496,13 @@ def column_mapping(spark, folder):
 @query
 def url_dedup(spark, folder):
     rows = adapters.listings(spark, folder).select("id", "data_source", F.col("url_raw").alias("game_url"))
-    return dedup.keep_first(rows, ["data_source", "game_url"], [F.col("id")])
+    return dedup.unique_urls(rows, [F.col("id")])
 
 
 @query
 def url_dedup_keep_null(spark, folder):
     rows = adapters.listings(spark, folder).select("id", F.col("url_raw").alias("game_url"))
-    return dedup.unique_urls(rows, [F.col("id")], keep_null=True)
+    return dedup.unique_urls(rows, [F.col("id")], source=None, keep_null=True)
 
 
 @query
