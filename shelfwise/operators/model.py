@@ -15,6 +15,8 @@ from shelfwise.schemas import MODEL, ddl
 from shelfwise.sources.tables import run_sql  # noqa: F401  (re-exported: ad-hoc SQL on the model)
 
 RATING_RANGE = (0, 100)
+# Largest genre table that is broadcast: names are short, so this stays within tens of megabytes.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -25,10 +27,19 @@ class Catalogue:
     genres: DataFrame
     game_genres: DataFrame
 
-    def save(self, folder: str) -> None:
-        """Write each table once; an existing table is an error, not an append."""
+    def save(self, folder: str, mode: str = "errorifexists") -> None:
+        """Write each table once; with ``mode="ignore"`` tables that exist are left as they are."""
         for name in ("games", "genres", "game_genres"):
-            getattr(self, name).write.mode("errorifexists").parquet(f"{folder}/{name}")
+            getattr(self, name).write.mode(mode).parquet(f"{folder}/{name}")
+
+    @classmethod
+    def load(cls, spark, folder: str) -> Catalogue:
+        """The stored tables, with the declared schemas."""
+        tables = {
+            name: spark.read.schema(ddl(MODEL[name])).parquet(f"{folder}/{name}")
+            for name in ("games", "genres", "game_genres")
+        }
+        return cls(**tables)
 
 
 def game_rows(final: DataFrame, zero_is_null: bool = True) -> DataFrame:
@@ -60,12 +71,17 @@ def genre_table(pairs: DataFrame) -> DataFrame:
     return named.withColumn("description", F.lit(None).cast("string"))
 
 
-def bridge_table(pairs: DataFrame, genres: DataFrame) -> DataFrame:
-    """(game_id, genre_id) by name. Whether the genre side is broadcast, or its hot names are
-    split over tasks, is decided from measured sizes at run time."""
-    return pairs.join(genres.select("genre_name", F.col("id").alias("genre_id")), "genre_name").select(
-        "game_id", "genre_id"
-    )
+def bridge_table(pairs: DataFrame, genres: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(game_id, genre_id) by name.
+
+    The numbered genres are already stored, so counting them is cheap: up to
+    ``broadcast_rows`` they are broadcast and the pairs, among them the hot genres, are not
+    shuffled. A larger table is joined by a shuffle whose skewed partitions are split at run time.
+    """
+    named = genres.select("genre_name", F.col("id").alias("genre_id"))
+    if genres.select("id").limit(broadcast_rows + 1).count() <= broadcast_rows:
+        named = F.broadcast(named)
+    return pairs.join(named, "genre_name").select("game_id", "genre_id")
 
 
 def build_catalogue(final: DataFrame, zero_is_null: bool = True) -> Catalogue:
@@ -108,13 +124,13 @@ def audit_check(df: DataFrame, condition: Column) -> DataFrame:
 
 def audit_foreign_key(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose reference has no parent; null references are allowed."""
-    parents = parent.select(F.col(key).alias(column)).distinct()
+    parents = parent.select(F.col(key).alias(column))
     return child.filter(F.col(column).isNotNull()).join(parents, column, "left_anti")
 
 
 def cascade_delete(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows that still have a parent."""
-    return child.join(parent.select(F.col(key).alias(column)).distinct(), column, "left_semi")
+    return child.join(parent.select(F.col(key).alias(column)), column, "left_semi")
 
 
 def audit_catalogue(games: DataFrame, genres: DataFrame, game_genres: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import rounded_mean
-from shelfwise.operators.dedup import keep_first
 
 
 def record_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -73,13 +72,14 @@ def games_by_genre(
 ) -> DataFrame:
     """The first ``n`` games of a genre by id.
 
-    The genre's links are cut to the ``n`` smallest ids that exist before the games' columns
-    are fetched; every link is checked against the games by an id-only semi join.
+    The name is resolved to its id by a scalar subquery, so the links are filtered in their
+    scan and a hot genre is never gathered in one join task. The ``n`` smallest ids that
+    exist, which is what bounds the broadcast, then pick the games.
     """
-    genre = genres.filter(F.col("genre_name") == genre_name).select(F.col("id").alias("genre_id"))
-    links = game_genres.join(genre, "genre_id", "left_semi").select(F.col("game_id").alias("id"))
+    genre_id = genres.filter(F.col("genre_name") == genre_name).agg(F.max("id")).scalar()
+    links = game_genres.filter(F.col("genre_id") == genre_id).select(F.col("game_id").alias("id"))
     first = links.join(games.select("id"), "id", "left_semi").orderBy("id").limit(n)
-    return games.join(first, "id", "left_semi").orderBy("id")
+    return games.join(F.broadcast(first), "id", "left_semi").orderBy("id")
 
 
 def genre_distribution(genres: DataFrame, game_genres: DataFrame) -> DataFrame:
@@ -102,9 +102,12 @@ def find_by_title(games: DataFrame, title: str) -> DataFrame:
 
 
 def find_by_titles(games: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Exact title matches for a table of titles (column ``wanted``), lowest id per title."""
-    hits = games.join(wanted.select(F.col("wanted").alias("game_title")).distinct(), "game_title", "left_semi")
-    return keep_first(hits.select("id", "game_title"), ["game_title"], [F.col("id")])
+    """Exact title matches for a table of titles (column ``wanted``), lowest id per title.
+
+    Games are reduced to one row per title map-side before the join.
+    """
+    lowest = games.groupBy("game_title").agg(F.min("id").alias("id"))
+    return lowest.join(wanted.select(F.col("wanted").alias("game_title")), "game_title", "left_semi").select("id", "game_title")
 
 
 def database_stats(tables: dict[str, DataFrame], media_files: DataFrame) -> DataFrame:

@@ -266,12 +266,9 @@ ORACLES["discount_by_genre_source"] = f"""WITH {GENRE_MODEL}
 SELECT genre_name, data_source, COUNT(*) AS games_on_sale, {mean_price('discount_percentage * 100')} AS avg_discount,
  CAST(MAX(discount_percentage) AS DOUBLE) AS max_discount
 FROM pairs JOIN games ON id = game_id WHERE discount_percentage > 0 GROUP BY genre_name, data_source"""
-ORACLES["price_rating_corr"] = f"""WITH {GAMES}, s AS (
- SELECT COUNT(*) AS n, CAST(SUM(disc_cents) AS DOUBLE) AS sx, CAST(SUM(rating) AS DOUBLE) AS sy,
-  CAST(SUM(disc_cents * disc_cents) AS DOUBLE) AS sxx, CAST(SUM(rating * rating) AS DOUBLE) AS syy,
-  CAST(SUM(disc_cents * rating) AS DOUBLE) AS sxy
- FROM games WHERE disc_cents IS NOT NULL AND rating IS NOT NULL)
-SELECT n, ROUND((n * sxy - sx * sy) / (SQRT(n * sxx - sx * sx) * SQRT(n * syy - sy * sy)), 6) AS price_rating_corr FROM s"""
+ORACLES["price_rating_corr"] = f"""WITH {GAMES}
+SELECT COUNT(*) AS n, ROUND(CORR(disc_cents / 100, rating), 6) AS price_rating_corr FROM games
+WHERE disc_cents IS NOT NULL AND rating IS NOT NULL"""
 ORACLES["value_by_price_bucket"] = f"""WITH {GAMES}, s AS (
  SELECT CAST(LEAST(disc_cents // 10000 + 1, 11) AS INT) AS price_bucket, COUNT(*) AS games, {mean('rating', 2)} AS avg_rating
  FROM games WHERE disc_cents IS NOT NULL AND rating IS NOT NULL GROUP BY 1)

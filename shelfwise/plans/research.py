@@ -26,17 +26,10 @@ def price_by_genre(games: DataFrame, game_genres: DataFrame, genres: DataFrame,
 
 
 def price_rating_correlation(games: DataFrame) -> DataFrame:
-    """Correlation of price and rating from exact integer sums, rounded to six decimals."""
-    x, y = cents(F.col("discounted_price")).cast("decimal(18,0)"), F.col("rating").cast("decimal(18,0)")
-    sums = games.filter(F.col("discounted_price").isNotNull() & F.col("rating").isNotNull()).agg(
-        F.count("*").alias("n"),
-        *[F.sum(e).cast("double").alias(a) for a, e in
-          {"sx": x, "sy": y, "sxx": x * x, "syy": y * y, "sxy": x * y}.items()],
-    )
-    n = F.col("n")
-    covariance = n * F.col("sxy") - F.col("sx") * F.col("sy")
-    spread = F.sqrt(n * F.col("sxx") - F.col("sx") * F.col("sx")) * F.sqrt(n * F.col("syy") - F.col("sy") * F.col("sy"))
-    return sums.select("n", F.round(covariance / F.nullif(spread, F.lit(0.0)), 6).alias("price_rating_corr"))
+    """Correlation of price and rating over the games that have both, rounded to six decimals."""
+    both = games.filter(F.col("discounted_price").isNotNull() & F.col("rating").isNotNull())
+    correlation = F.corr(F.col("discounted_price").cast("double"), F.col("rating").cast("double"))
+    return both.agg(F.count("*").alias("n"), F.round(correlation, 6).alias("price_rating_corr"))
 
 
 def value_by_price_bucket(games: DataFrame, low: float, high: float, buckets: int) -> DataFrame:
@@ -109,7 +102,8 @@ def publisher_stability(games: DataFrame, min_games: int = 5, exclude_unknown: b
         F.sum(r * r).alias("_q"),
     )
     n = F.col("total_games")
-    spread = (n * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")
+    wide = [c.cast("decimal(19,0)") for c in (n, F.col("_q"), F.col("_s"))]
+    spread = (wide[0] * wide[1] - wide[2] * wide[2]).cast("double")
     deviation = F.round(F.sqrt(spread) / n, 4)
     return stats.filter(n >= min_games).select("publisher", "total_games", "avg_rating", deviation.alias("rating_stddev"))
 

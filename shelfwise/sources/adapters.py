@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import null_if_token
-from shelfwise.operators.model import bridge_table, genre_pairs
+from shelfwise.operators.model import genre_pairs
 from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
 from shelfwise.sources.profiles import HOSTS
 from shelfwise.sources.tables import table
@@ -131,8 +131,8 @@ def genres(pairs: DataFrame) -> DataFrame:
 def genre_model(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(games, game_genres, genres)."""
     pairs = game_genre_pairs(spark, folder)
-    genre_rows = genres(pairs)
-    return games(spark, folder), bridge_table(pairs, genre_rows), genre_rows
+    links = pairs.select("game_id", F.xxhash64("genre_name").alias("genre_id"))
+    return games(spark, folder), links, genres(pairs)
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:

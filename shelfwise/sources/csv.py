@@ -29,26 +29,24 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     """All-text CSV scan in which every file that is not valid UTF-8 is read as Latin-1.
 
     Bytes are scanned as Latin-1, which maps each byte to one character, and turned back into
-    UTF-8 text for the files whose lines are all valid. The check is one splittable pass that
-    aggregates to a flag per file, so no file is held in memory. Columns are taken by header
-    name; a byte-order mark on the first one is dropped. Missing tokens become null.
+    UTF-8 text unless the file has an invalid line. The check is one splittable pass that
+    aggregates per file, so no file is held in memory; the broadcast side has at most one row
+    per input file, and the driver's file listing already holds as many. Columns are taken by
+    header name; a byte-order mark on the first one is dropped. Missing tokens become null.
 
     ``multi_line=False`` makes large files splittable when no cell holds a line break.
     """
     scanned = _with_arrival(_reader(spark, "ISO-8859-1", multi_line).csv(path))
     names = [c for c in scanned.columns if c != ARRIVAL]
-    flags = (
-        spark.read.text(path)
-        .groupBy(F.col("_metadata.file_path").alias("_file"))
-        .agg(F.every(F.is_valid_utf8("value")).alias("_utf8"))
-    )
-    joined = scanned.join(flags, F.col(f"{ARRIVAL}.file") == F.col("_file"), "left")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), "value")
+    latin = lines.filter(~F.is_valid_utf8("value")).select("_file").distinct()
+    joined = scanned.join(F.broadcast(latin), F.col(f"{ARRIVAL}.file") == F.col("_file"), "left")
 
     def text(name: str):
         raw = F.col(f"`{name}`")
         utf8 = F.decode(F.encode(raw, "ISO-8859-1"), "UTF-8")
         clean = name.removeprefix("ï»¿").removeprefix("﻿").strip('"')
-        return null_if_token(F.when(F.col("_utf8"), utf8).otherwise(raw)).alias(clean)
+        return null_if_token(F.when(F.col("_file").isNull(), utf8).otherwise(raw)).alias(clean)
 
     return joined.select(*[text(name) for name in names], ARRIVAL)
 

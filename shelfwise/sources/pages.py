@@ -24,6 +24,7 @@ from shelfwise.sources.profiles import DETAILS, GROUPS, HOSTS, LISTINGS
 cloudpickle.register_pickle_by_value(html_helper)
 
 NA = "N/A"
+PAGES_AT_ONCE = 64
 
 # Badges and title words of add-ons, words of titles that are not games.
 ADD_ON_BADGES = ("DLC", "MICROTRANSACTION", "MICRO TRANSACTION", "ADD-ON", "EXPANSION")
@@ -59,8 +60,13 @@ def selected_values(
     }
     names = [*fields, *(f"{g}_{n}" for g, (_, parts) in groups.items() for n in parts)]
 
+    def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """A few pages at a time, so that values of large pages do not pile up."""
+        for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+            yield batch.slice(start, PAGES_AT_ONCE)
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             rows, positions, columns = [], [], {name: [] for name in names}
             for row, html in enumerate(batch.column("html").to_pylist()):
                 for position, record in enumerate(read_page(html or "", spec)):
