@@ -9,16 +9,22 @@ from pyspark.sql.types import StringType
 
 from shelfwise.schemas import NA_TOKENS, PLATFORM_NA_TOKENS, TEXT_NA_TOKENS
 
-# Unicode white space as explicit code points: Java's \s is ASCII-only and its Unicode
-# variant leaves out U+001C..U+001F, so the class is spelled out once and used everywhere.
-SPACE = (
-    r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Unicode white space inside a (?U) pattern: Java's own class lacks U+001C..U+001F.
+SPACE = r"\s\x1c-\x1f"
+# The same characters as text, for trimming without a pattern.
+SPACE_CHARACTERS = "".join(
+    chr(code)
+    for first, last in (
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    )
+    for code in range(first, last + 1)
 )
 
 # --------------------------------------------------------------------------
 # These must equal the catalogue's cleaning rules.
 # --------------------------------------------------------------------------
-ENTITIES = ("&nbsp;", "&amp;", "&lt;", "&gt;", "&quot;")
+ENTITIES = ("nbsp", "amp", "lt", "gt", "quot")
 MOJIBAKE = (
     ("â€™", "'"),
     ("â€˜", "'"),
@@ -46,12 +52,12 @@ STATUS_TAGS = ("SOON", "PRE-ORDER", "MOD", "COMING")
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(SPACE_CHARACTERS))
 
 
 def squeeze(c: Column) -> Column:
     """Collapse runs of Unicode white space to one blank and trim."""
-    return F.trim(F.regexp_replace(c, f"[{SPACE}]+", " "))
+    return F.trim(F.regexp_replace(c, f"(?U)[{SPACE}]+", " "))
 
 
 def null_if_token(c: Column, tokens=NA_TOKENS) -> Column:
@@ -62,18 +68,18 @@ def null_if_token(c: Column, tokens=NA_TOKENS) -> Column:
 def clean_text(c: Column) -> Column:
     """Null for missing tokens and blanks; entities, NBSP, ZWSP and escaped breaks become blanks.
 
-    The kinds of noise cannot overlap, so one pattern removes them and the surrounding
-    white space in a single pass over the text.
+    Entities and escapes are only looked for in text that has an ``&`` or a backslash.
     """
-    noise = "|".join([*ENTITIES, r"\\[nrt]", rf"[{SPACE}\x{{200b}}]"])
-    spaced = F.trim(F.regexp_replace(c, f"(?:{noise})+", " "))
-    missing = c.rlike(rf"^[{SPACE}]*(?:{'|'.join(TEXT_NA_TOKENS)})[{SPACE}]*$")
-    return F.when(~missing, F.nullif(spaced, F.lit("")))
+    suspicious = c.contains("&") | c.contains("\\")
+    noise = rf"&(?:{'|'.join(ENTITIES)});|\\[nrt]"
+    plain = F.when(suspicious, F.regexp_replace(c, noise, " ")).otherwise(c)
+    spaced = F.trim(F.regexp_replace(plain, rf"(?U)[{SPACE}\x{{200b}}]+", " "))
+    return F.nullif(F.when(~strip(c).isin(*TEXT_NA_TOKENS), spaced), F.lit(""))
 
 
 def flat_text(c: Column) -> Column:
     """One-line form for CSV cells: breaks and tabs become blanks, carriage returns vanish."""
-    flat = strip(F.translate(F.regexp_replace(c, r"[\n\t]", " "), "\r", ""))
+    flat = strip(F.replace(F.regexp_replace(c, r"[\n\t]", " "), F.lit("\r"), F.lit("")))
     return F.when(c.isNull() | c.isin("", "N/A"), F.lit("N/A")).otherwise(flat)
 
 
@@ -88,7 +94,7 @@ def title_case(c: Column) -> Column:
 
 def title_key(c: Column) -> Column:
     """Matching key of a title: lower case, trimmed, punctuation removed (trim comes first)."""
-    return F.regexp_replace(strip(F.lower(c)), rf"[^\p{{L}}\p{{N}}_{SPACE}]", "")
+    return F.regexp_replace(strip(F.lower(c)), rf"(?U)[^\p{{L}}{SPACE}\p{{N}}_]", "")
 
 
 def genre_list(c: Column) -> Column:
@@ -124,9 +130,11 @@ def nfkc(c: Column) -> Column:
 
 
 def replace_mojibake(c: Column) -> Column:
+    """The mojibake table in order, applied only to text that can match a row of it."""
+    repaired_text = c
     for damaged, repaired in MOJIBAKE:
-        c = F.replace(c, F.lit(damaged), F.lit(repaired))
-    return c
+        repaired_text = F.replace(repaired_text, F.lit(damaged), F.lit(repaired))
+    return F.when(c.contains("â") | c.contains("Â"), repaired_text).otherwise(c)
 
 
 def fix_encoding(c: Column, repair_first: bool = False) -> Column:
@@ -138,7 +146,7 @@ def fix_encoding(c: Column, repair_first: bool = False) -> Column:
     """
     repaired = nfkc(replace_mojibake(c)) if repair_first else replace_mojibake(nfkc(c))
     blanks = F.regexp_replace(F.regexp_replace(repaired, CONTROL_CHARACTERS, ""), r"[ \t]+", " ")
-    return F.when(c.rlike(f"[^{SPACE}]"), strip(blanks)).otherwise(c)
+    return F.when(strip(c) != "", strip(blanks)).otherwise(c)
 
 
 def safe_name(c: Column, limit: int = 50, control: bool = False, strip_first: bool = False) -> Column:
@@ -172,14 +180,18 @@ def with_status_prefix(title: Column, tag: Column) -> Column:
 def description(summary: Column, meta: Column | None = None) -> Column:
     """Summary text without ellipsis and page furniture; short ones fall back to the meta tag."""
     long_enough = F.length(strip(summary)) > DESCRIPTION_MINIMUM
-    text = squeeze(F.regexp_replace(strip(summary), r"\.\.\.+$", ""))
+    text = F.regexp_replace(strip(summary), r"\.{3,}$", "")
+    text = squeeze(text)
     for phrase in DESCRIPTION_JUNK:
         text = strip(F.substring_index(text, phrase, 1))
-    main = F.when(long_enough & (F.length(text) > DESCRIPTION_MINIMUM), F.left(text, F.lit(DESCRIPTION_LIMIT)))
-    if meta is None:
-        return F.coalesce(main, F.lit("N/A"))
-    fallback = F.when(F.length(strip(meta)) > DESCRIPTION_MINIMUM, F.left(strip(meta), F.lit(DESCRIPTION_LIMIT)))
-    return F.coalesce(main, fallback, F.lit("N/A"))
+    main = _long_part(F.when(long_enough, text))
+    return F.coalesce(main, F.lit("N/A")) if meta is None else F.coalesce(main, _long_part(strip(meta)), F.lit("N/A"))
+
+
+def _long_part(c: Column) -> Column:
+    """The first characters of a text that is long enough, else null; reads the text once."""
+    kept = F.regexp_extract(c, rf"(?s)^.{{{DESCRIPTION_MINIMUM + 1},{DESCRIPTION_LIMIT}}}", 0)
+    return F.nullif(kept, F.lit(""))
 
 
 def requirements_text(c: Column) -> Column:

@@ -493,6 +493,9 @@ SELECT id, tag, CASE WHEN tag <> '' AND NOT starts_with(title, tag) THEN tag ||
 ORACLES["conform_union"] = f"WITH {CONFORMED} SELECT * FROM conformed"
 ORACLES["column_mapping"] = f"""WITH {LISTINGS} SELECT {present('url_raw')} AS game_url, {present('rating_raw')} AS rating_raw,
  {present('price_raw')} AS current_price_raw, genres_raw AS genres, data_source FROM listings WHERE data_source = 'instant_gaming'"""
+ORACLES["csv_round_trip"] = f"""WITH {LISTINGS} SELECT title_raw || ' é, "ü"' || chr(10) || 'ß' AS title, CAST(id AS VARCHAR) AS id,
+ genres_raw, url_raw AS url FROM listings"""
+ORACLES["stored_model"] = ORACLES["bq7_genre_price"]
 ORACLES["url_dedup"] = f"""WITH {LISTINGS} SELECT MIN(id) AS id, data_source, url_raw AS game_url FROM listings
 GROUP BY data_source, url_raw"""
 ORACLES["url_dedup_keep_null"] = f"""WITH {LISTINGS} SELECT MIN(id) AS id, url_raw AS game_url FROM listings

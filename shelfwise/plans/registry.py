@@ -16,7 +16,9 @@ from shelfwise.functions import arrays, dates, numbers, text, urls
 from shelfwise.operators import clean, conform, dedup, model, quality
 from shelfwise.plans import business, lookups, research
 from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
+from shelfwise.session import shared_folder
 from shelfwise.sources import adapters, media, pages
+from shelfwise.sources.csv import ARRIVAL, export_csv, read_csv
 from shelfwise.sources.tables import run_sql, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,6 +495,30 @@ def column_mapping(spark, folder):
     return conform.column_subset(mapped, ["game_url", "rating_raw", "current_price_raw", "not_there", "genres", "data_source"])
 
 
+@query
+def csv_round_trip(spark, folder):
+    """The listings written as one UTF-8 and one Latin-1 file set and read back as text."""
+    rows = adapters.listings(spark, folder).select(
+        F.concat("title_raw", F.lit(" é, \"ü\"\nß")).alias("title"), F.col("id").cast("string").alias("id"),
+        "genres_raw", F.coalesce("url_raw", F.lit("N/A")).alias("url"),
+    )
+    path = shared_folder(spark)
+    for remainder, charset in ((0, "UTF-8"), (1, "ISO-8859-1")):
+        part = rows.filter(F.col("id").cast("bigint") % 2 == remainder)
+        export_csv(part, path, "append", charset)
+    return read_csv(spark, path).drop(ARRIVAL)
+
+
+@query
+def stored_model(spark, folder):
+    """A business question on the stored tables, which prune columns and filter in the scan."""
+    games, links, genres = adapters.genre_model(spark, folder)
+    path = shared_folder(spark)
+    model.Catalogue(games, genres, links).save(path)
+    stored = model.Catalogue.load(spark, path)
+    return business.genre_price(stored.games, stored.game_genres, stored.genres)
+
+
 @query
 def url_dedup(spark, folder):
     rows = adapters.listings(spark, folder).select("id", "data_source", F.col("url_raw").alias("game_url"))

@@ -274,8 +274,12 @@ def listing_pages(spark: SparkSession, folder: str, source: str) -> DataFrame:
 
 
 def detail_pages(spark: SparkSession, folder: str, source: str) -> DataFrame:
-    """One detail page per item of a source; items without a known developer have none."""
+    """One detail page per item of a source; items without a known developer have none.
+
+    Spread over all cores, as a stored page table would be by its many files.
+    """
     rows = listings(spark, folder).filter((F.col("data_source") == source) & F.col("developer_raw").isNotNull())
+    rows = rows.repartition(spark.sparkContext.defaultParallelism, "id")
     app = F.col("id")
     if source == SOURCE_A:
         url = F.concat(F.lit("https://store.steampowered.com/app/"), app, F.lit("/x/"))

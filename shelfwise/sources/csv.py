@@ -58,9 +58,10 @@ def read_csv_replacing(spark: SparkSession, path: str, multi_line: bool = True)
     return scanned.select(*columns, ARRIVAL)
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header CSV without a byte-order mark. Lists must be joined to text before."""
-    df.write.mode(mode).options(header="true", quote='"', escape='"').csv(path)
+def export_csv(df: DataFrame, path: str, mode: str = "errorifexists", encoding: str = "UTF-8") -> None:
+    """Header CSV without a byte-order mark, blanks kept. Lists must be joined to text before."""
+    exact = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode(mode).options(header="true", quote='"', escape='"', encoding=encoding, **exact).csv(path)
 
 
 def save_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "code", "em", "font", "i", "img", "label", "mark", "small", "span", "strong", "sub", "sup", "u"}
@@ -21,78 +21,109 @@ _PART = re.compile(
 _KINDS = ("id", "cls", "attr", "tag", "nth")
 
 
+_TAG = re.compile(
+    r"""<!--.*?-->|<![^>]*>|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"""
+    r"""(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
+    re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    found = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(raw):
+        value = double or single or bare
+        found[name.lower()] = unescape(value) if "&" in value else value
+    return found
+
+
 class Node:
     __slots__ = ("tag", "attrs", "classes", "parent", "nth", "children", "start", "end", "text_from", "text_to")
 
-    def __init__(self, tag, attrs, parent, text_from):
-        self.tag, self.attrs, self.parent = tag, {k: v or "" for k, v in attrs}, parent
-        self.classes = set(self.attrs.get("class", "").split())
-        self.children, self.end, self.text_from, self.text_to = 0, None, text_from, None
+    def __init__(self, tag, attrs, parent, start, text_from):
+        self.tag, self.attrs, self.parent, self.start, self.text_from = tag, attrs, parent, start, text_from
+        self.classes = attrs["class"].split() if "class" in attrs else ()
+        self.children, self.end, self.text_to = 0, None, None
         self.nth = 1
         if parent is not None:
             parent.children += 1
             self.nth = parent.children
 
 
-class Page(HTMLParser):
-    """Nodes in document order; a node's subtree is the slice up to its ``end``."""
+class Page:
+    """Nodes of a page in document order, with an index by tag, class, id and attribute.
+
+    A node's subtree is the range of positions up to its ``end``. Unclosed elements end with
+    their parent, and repeated items such as ``<li>`` end the one before.
+    """
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.nodes, self.pieces, self.index = [], [], {}
-        self.open = [self._add("#document", [], None)]
-        self.feed(html)
-        self.close()
+        self.count, self.pieces, self.index = 0, [], {}
+        self.top = self._add("#document", {}, None)
+        self.open = [self.top]
+        at = 0
+        while (match := _TAG.search(html, at)) is not None:
+            self._text(html[at : match.start()])
+            at = match.end()
+            name = match["name"]
+            if name is None:
+                continue
+            name = name.lower()
+            if match["close"]:
+                self._end_tag(name)
+            else:
+                self._start_tag(name, match["attrs"])
+                if name in HIDDEN:
+                    close = re.compile(f"</{name}", re.IGNORECASE).search(html, at)
+                    at = close.start() if close else len(html)
+        self._text(html[at:])
         while self.open:
-            self._end(self.open.pop())
+            self._finish(self.open.pop())
 
     def _add(self, tag, attrs, parent):
-        node = Node(tag, attrs, parent, len(self.pieces))
-        node.start = len(self.nodes)
-        self.nodes.append(node)
-        keys = [("tag", tag), *(("cls", c) for c in node.classes), *(("attr", a) for a in node.attrs)]
-        if "id" in node.attrs:
-            keys.append(("id", node.attrs["id"]))
-        for key in keys:
-            self.index.setdefault(key, []).append(node)
+        node = Node(tag, attrs, parent, self.count, len(self.pieces))
+        self.count += 1
+        index = self.index
+        index.setdefault(("tag", tag), []).append(node)
+        for name in node.classes:
+            index.setdefault(("cls", name), []).append(node)
+        for name in attrs:
+            index.setdefault(("attr", name), []).append(node)
+        if "id" in attrs:
+            index.setdefault(("id", attrs["id"]), []).append(node)
         return node
 
-    def _end(self, node):
-        node.end, node.text_to = len(self.nodes), len(self.pieces)
+    def _finish(self, node):
+        node.end, node.text_to = self.count, len(self.pieces)
 
-    def _gap(self, tag):
-        if tag not in INLINE:
-            self.pieces.append(" ")
+    def _text(self, text):
+        if text:
+            self.pieces.append(text)
 
-    def handle_starttag(self, tag, attrs):
+    def _start_tag(self, tag, raw):
         if tag in SELF_CLOSING_SIBLINGS and self.open[-1].tag == tag:
-            self._end(self.open.pop())
-        self._gap(tag)
-        node = self._add(tag, attrs, self.open[-1])
-        if tag in VOID:
-            self._end(node)
+            self._finish(self.open.pop())
+        if tag not in INLINE:
+            self.pieces.append(" ")
+        node = self._add(tag, _attributes(raw) if raw else {}, self.open[-1])
+        if tag in VOID or raw == "/" or raw.endswith((" /", '"/', "'/")):
+            self._finish(node)
         else:
             self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self._gap(tag)
-        self._end(self._add(tag, attrs, self.open[-1]))
-
-    def handle_endtag(self, tag):
+    def _end_tag(self, tag):
         if any(node.tag == tag for node in self.open[1:]):
             while True:
                 node = self.open.pop()
-                self._end(node)
+                self._finish(node)
                 if node.tag == tag:
                     break
-            self._gap(tag)
-
-    def handle_data(self, data):
-        if self.open[-1].tag not in HIDDEN:
-            self.pieces.append(data)
+            if tag not in INLINE:
+                self.pieces.append(" ")
 
     def text(self, node) -> str:
-        return " ".join("".join(self.pieces[node.text_from : node.text_to]).split())
+        """Text below a node with entities resolved and white space collapsed."""
+        return " ".join(unescape("".join(self.pieces[node.text_from : node.text_to])).split())
 
 
 def compile_selector(css: str):
@@ -169,7 +200,7 @@ def values(page: Page, root, selector, attribute: str | None) -> list[str]:
 def read_page(html: str, spec: dict) -> list[dict[str, list[str]]]:
     """One dict of value lists per record root; group columns hold one text per group element."""
     page = Page(html)
-    top = page.nodes[0]
+    top = page.top
     records = []
     for root in find_all(page, top, spec["root"]) if spec["root"] else [top]:
         record = {name: values(page, root, css, attribute) for name, (css, attribute) in spec["fields"].items()}
