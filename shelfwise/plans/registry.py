@@ -261,7 +261,7 @@ def cascade_delete(spark, folder):
 @query
 def audit_catalogue(spark, folder):
     games, links, genres = adapters.genre_model(spark, folder)
-    dangling = adapters.user_reviews(spark, folder).select("game_id", F.lit(-1).cast("bigint").alias("genre_id"))
+    dangling = adapters.user_reviews(spark, folder).select("game_id", (-1 - F.col("game_id")).alias("genre_id"))
     return model.audit_catalogue(games, genres, links.unionByName(dangling))
 
 

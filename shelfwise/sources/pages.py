@@ -278,10 +278,10 @@ def details_c(pages: DataFrame) -> DataFrame:
     def links_of(row: Column, part: str) -> Column:
         return F.split(row[part], LIST_SEPARATOR)
 
-    release = F.element_at(F.filter(of_kind("release"), lambda r: r["row_content"] != ""), -1)
-    company = F.element_at(F.filter(of_kind("company"), lambda r: r["row_content_links"] != ""), -1)
+    release = F.try_element_at(F.filter(of_kind("release"), lambda r: r["row_content"] != ""), F.lit(-1))
+    company = F.try_element_at(F.filter(of_kind("company"), lambda r: r["row_content_links"] != ""), F.lit(-1))
     lone_publisher = F.get(F.filter(of_kind("publisher"), lambda r: r["row_content_links"] != ""), 0)
-    systems = arrays.platforms_in(F.element_at(of_kind("systems"), -1)["row_text"])
+    systems = arrays.platforms_in(F.try_element_at(of_kind("systems"), F.lit(-1))["row_text"])
     first_row = F.get(F.filter(rows, lambda r: F.lower(r["row_text"]).contains("genre:")), 0)
     row_genres = arrays.delimited(arrays.short_genres(links_of(first_row, "row_links")), ", ")
     link_genres = arrays.delimited(
