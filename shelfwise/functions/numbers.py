@@ -72,15 +72,15 @@ def discount(c: Column) -> Column:
 
 def final_price(original: Column, discount_pct: Column, *known: Column) -> Column:
     """First known price, else the original reduced by the discount, else the original."""
-    exact = original.cast("decimal(18,6)")
-    share = 1 - discount_pct.cast("decimal(18,6)") / 100
+    exact = original.try_cast("decimal(18,6)")
+    share = 1 - discount_pct.try_cast("decimal(18,6)") / 100
     reduced = F.when(discount_pct > 0, F.round(exact * share, 2).cast("double"))
     return F.coalesce(*known, reduced, original)
 
 
 def recomputed_discount(original: Column, discounted: Column, current: Column) -> Column:
     """Discount from two positive prices with two decimals; negative results are 0."""
-    whole, part = original.cast("decimal(18,6)"), discounted.cast("decimal(18,6)")
+    whole, part = original.try_cast("decimal(18,6)"), discounted.try_cast("decimal(18,6)")
     derived = F.round((whole - part) * 100 / F.nullif(whole, F.lit(0)), 2).cast("double")
     value = F.when((original > 0) & (discounted > 0), derived).otherwise(current)
     return F.when(value < 0, F.lit(0.0)).otherwise(value)
@@ -157,8 +157,11 @@ def zero_to_null(c: Column, kind: str) -> Column:
 
 
 def cents(c: Column) -> Column:
-    """Two-decimal amount as whole cents: sums over integers do not depend on row order."""
-    return F.round(c * 100).cast("bigint")
+    """Two-decimal amount as whole cents: sums over integers do not depend on row order.
+
+    An amount too large for an integer number of cents is null, it does not fail the job.
+    """
+    return F.round(c * 100).try_cast("bigint")
 
 
 def rounded_ratio(total: Column, n: Column, digits: int) -> Column:
@@ -167,6 +170,11 @@ def rounded_ratio(total: Column, n: Column, digits: int) -> Column:
     return F.round(quotient, digits).cast("double")
 
 
+def mean(c: Column) -> Column:
+    """Aggregate: mean of an integer column as one division of exact sums."""
+    return F.sum(c) / F.nullif(F.count(c), F.lit(0))
+
+
 def rounded_mean(c: Column, digits: int) -> Column:
     """Aggregate: mean of an integer column, rounded from exact sums."""
     return rounded_ratio(F.sum(c), F.count(c), digits)

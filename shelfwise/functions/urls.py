@@ -136,6 +136,10 @@ def video_extension(url: Column) -> Column:
     )
 
 
+def plain_video_extension(url: Column) -> Column:
+    return F.when(F.lower(url).contains(".mp4"), F.lit(".mp4")).otherwise(F.lit(".webm"))
+
+
 def image_extension(url: Column) -> Column:
     lowered = F.lower(url)
     return (

@@ -56,6 +56,11 @@ def game_rows(final: DataFrame, zero_is_null: bool = True) -> DataFrame:
     return final.select(*columns, genre_names(F.col("genres")).alias("genre_list"))
 
 
+def game_table(final: DataFrame, zero_is_null: bool = True) -> DataFrame:
+    """Numbered games with their genre list."""
+    return numbered(game_rows(final, zero_is_null), "game_title", "data_source", "game_url", "release_date")
+
+
 def genre_pairs(games: DataFrame, key: str = "id", names: str = "genre_list") -> DataFrame:
     """Distinct (game, genre name) pairs.
 
@@ -87,8 +92,7 @@ def bridge_table(pairs: DataFrame, genres: DataFrame, broadcast_rows: int = BROA
 def build_catalogue(final: DataFrame, zero_is_null: bool = True) -> Catalogue:
     """Games, genres and the bridge. Numbering checkpoints its input, so the games' ids are
     fixed before the bridge refers to them."""
-    rows = game_rows(final, zero_is_null)
-    games = numbered(rows, "game_title", "data_source", "game_url", "release_date")
+    games = game_table(final, zero_is_null)
     pairs = genre_pairs(games)
     genres = genre_table(pairs)
     links = bridge_table(pairs, genres)

@@ -178,13 +178,11 @@ def cross_platform(games: DataFrame, min_platforms: int = 1, n: int = 10, split_
     titles = pairs.groupBy("game_title").agg(
         F.count("*").alias("platform_count"),
         F.array_join(F.array_sort(F.collect_list("platform")), ",").alias("platforms"),
-        rounded_ratio(F.sum("_rating"), F.sum("_rated"), 1).alias("avg_rating"),
-        rounded_ratio(F.sum("_reviews"), F.sum("_counted"), 0).alias("avg_reviews"),
-        (F.sum("_rating") / F.nullif(F.sum("_rated"), F.lit(0))).alias("_exact"),
+        (F.sum("_rating") / F.nullif(F.sum("_rated"), F.lit(0))).alias("avg_rating"),
+        (F.sum("_reviews") / F.nullif(F.sum("_counted"), F.lit(0))).alias("avg_reviews"),
     )
-    order = [F.col("platform_count").desc(), F.col("_exact").desc_nulls_last(), F.col("game_title")]
-    best = top(titles.filter(F.col("platform_count") > min_platforms), n, *order)
-    return ranked(best, *order).drop("_exact")
+    order = [F.col("platform_count").desc(), F.col("avg_rating").desc_nulls_last(), F.col("game_title")]
+    return ranked(top(titles.filter(F.col("platform_count") > min_platforms), n, *order), *order)
 
 
 def genre_reviews(

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.numbers import rounded_mean
+from shelfwise.functions.numbers import mean
 
 
 def record_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -28,7 +28,7 @@ def developer_stats(games: DataFrame, developer: str | None = None) -> DataFrame
     rows = games.filter(F.col("developer") == developer) if developer is not None else games
     return rows.groupBy("developer").agg(
         F.count("*").alias("game_count"),
-        rounded_mean(F.col("rating"), 4).alias("avg_rating"),
+        mean(F.col("rating")).alias("avg_rating"),
         F.sum("review_count").alias("total_reviews"),
         F.min("release_date").alias("first_release"),
         F.max("release_date").alias("latest_release"),

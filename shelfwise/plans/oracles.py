@@ -241,11 +241,10 @@ def _cross_platform(source: str, minimum: int) -> str:
     return f"""s AS (
  SELECT game_title, COUNT(DISTINCT platform) AS platform_count,
   array_to_string(list_sort(list_distinct(list(platform))), ',') AS platforms,
-  {mean('rating', 1)} AS avg_rating, {mean('review_count', 0)} AS avg_reviews,
-  CAST(SUM(rating) AS BIGINT) / COUNT(rating) AS exact
+  CAST(SUM(rating) AS BIGINT) / COUNT(rating) AS avg_rating, CAST(SUM(review_count) AS BIGINT) / COUNT(review_count) AS avg_reviews
  FROM {source} WHERE platform <> '' GROUP BY game_title HAVING COUNT(DISTINCT platform) > {minimum})
-SELECT * EXCLUDE (exact), {position('platform_count DESC, exact DESC NULLS LAST, game_title')} FROM s
-ORDER BY platform_count DESC, exact DESC NULLS LAST, game_title LIMIT 10"""
+SELECT *, {position('platform_count DESC, avg_rating DESC NULLS LAST, game_title')} FROM s
+ORDER BY platform_count DESC, avg_rating DESC NULLS LAST, game_title LIMIT 10"""
 
 
 ORACLES["bq9_cross_platform"] = f"WITH {GAMES}, {_cross_platform('games', 1)}"
@@ -340,7 +339,7 @@ ORACLES["database_stats"] = (
 ORACLES["media_stats"] = f"WITH {GAMES}, {MEDIA}, {_REGISTERED} " + _MEDIA_STATS.format("", "files")
 ORACLES["media_files"] = f"WITH {GAMES}, {MEDIA}, {_REGISTERED} SELECT * FROM registered"
 ORACLES["developer_stats"] = f"""WITH {GAMES}
-SELECT developer, COUNT(*) AS game_count, {mean('rating', 4)} AS avg_rating, CAST(SUM(review_count) AS BIGINT) AS total_reviews,
+SELECT developer, COUNT(*) AS game_count, CAST(SUM(rating) AS BIGINT) / NULLIF(COUNT(rating), 0) AS avg_rating, CAST(SUM(review_count) AS BIGINT) AS total_reviews,
  MIN(release_date) AS first_release, MAX(release_date) AS latest_release FROM games GROUP BY developer"""
 ORACLES["entity_reviews"] = f"""WITH {REVIEWS}
 SELECT game_id, user_name, rating, review_text, helpful_count, review_date FROM reviews"""
@@ -588,13 +587,21 @@ SELECT page_id, url, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS titl
  regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path, {clean('b')} AS body FROM p"""
 ORACLES["page_links"] = f"""WITH {LINKS} SELECT page_id, position, href, CASE WHEN starts_with(href, '//') THEN 'https:' || href
  WHEN starts_with(href, '/') THEN regexp_extract(url, '^https?://[^/?#]+') || href ELSE href END AS link FROM links"""
-ORACLES["media_manifest"] = f"""WITH {LINKS},
-shots AS (SELECT page_id, position, href || ['.PNG', '.webp', '.jpg'][page_id % 3 + 1] AS u, ['png', 'webp', 'jpg'][page_id % 3 + 1] AS e FROM links),
-vids AS (SELECT page_id, position, href || ['.mp4', '.m3u8', '.webm'][position % 3 + 1] AS u, ['.mp4', '.txt', '.webm'][position % 3 + 1] AS e
- FROM links WHERE position < page_id % 5 AND position < 3)
-SELECT page_id AS id, 'header' AS media_type, 1 AS idx, 'header.jpg' AS file_name, url || '/cover.jpg' AS media_url FROM pages WHERE page_id % 4 <> 0
-UNION ALL SELECT page_id, 'image', position + 1, CONCAT('screenshot_', CAST(position + 1 AS VARCHAR), '.', e), u FROM shots WHERE position < 5
+
+
+def _manifest(header: str, screenshots: int, videos: int, image: str, stream: str) -> str:
+    return f"""WITH {LINKS},
+shots AS (SELECT page_id, position, href || ['.PNG', '.webp', '.jpg'][page_id % 3 + 1] AS u, {image} AS e FROM links),
+vids AS (SELECT page_id, position, href || ['.mp4', '.m3u8', '.webm'][position % 3 + 1] AS u, ['.mp4', '{stream}', '.webm'][position % 3 + 1] AS e
+ FROM links WHERE position < page_id % 5 AND position < {videos})
+SELECT page_id AS id, 'header' AS media_type, 1 AS idx, '{header}' AS file_name, url || '/cover.jpg' AS media_url FROM pages WHERE page_id % 4 <> 0
+UNION ALL SELECT page_id, 'image', position + 1, CONCAT('screenshot_', CAST(position + 1 AS VARCHAR), '.', e), u FROM shots WHERE position < {screenshots}
 UNION ALL SELECT page_id, 'video', position + 1, CONCAT('video_', CAST(position + 1 AS VARCHAR), e), u FROM vids"""
+
+
+ORACLES["media_manifest"] = _manifest("header.jpg", 5, 3, "'jpg'", ".txt")
+ORACLES["media_manifest_b"] = _manifest("cover.jpg", 10, 0, "['png', 'webp', 'jpg'][page_id % 3 + 1]", "")
+ORACLES["media_manifest_c"] = _manifest("header.jpg", 10, 5, "'jpg'", ".webm")
 _DIRECT = ["movie_max_vp9.webm", "movie480_vp9.webm", "movie_max.webm", "movie480.webm", "movie_max.mp4", "movie480.mp4"]
 ORACLES["video_candidates"] = f"""SELECT page_id, CONCAT('https://video.cdn/store_trailers/', page_id, '/movie_max_vp9.webm https://video.cdn/',
  page_id, '/dash.mpd https://video.cdn/b/', page_id, '/movie_max_vp9.webm') AS videos,

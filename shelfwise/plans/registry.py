@@ -207,8 +207,7 @@ def append_reviews_rejected(spark, folder):
 def model_games(spark, folder):
     """Typed load of the final records, numbered; zeros read as missing."""
     final = clean.final_records(_master(spark, folder), as_of())
-    games = model.build_catalogue(final).games
-    return games.select(
+    return model.game_table(final).select(
         "id", "data_source", "game_title", "release_date", "rating", "review_count",
         F.col("discounted_price").cast("double"), F.col("original_price").cast("double"),
         "discount_percentage", "platform", "developer", "publisher", "release_status", "game_url",
@@ -684,9 +683,13 @@ def page_links(spark, folder):
     return pages.page_links(table(spark, folder, "pages"))
 
 
-@query
-def media_manifest(spark, folder):
-    return media.media_manifest(adapters.media_records(spark, folder), "id")
+def _manifest(source: str) -> Query:
+    return lambda spark, folder: media.media_manifest(adapters.media_records(spark, folder), source, "id")
+
+
+QUERIES["media_manifest"] = _manifest(SOURCE_A)
+QUERIES["media_manifest_b"] = _manifest(SOURCE_B)
+QUERIES["media_manifest_c"] = _manifest(SOURCE_C)
 
 
 @query

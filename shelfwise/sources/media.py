@@ -6,9 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import urls
+from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
 
-# How many screenshots of a record are listed and how files are named.
-MAX_SCREENSHOTS = 5
+# --------------------------------------------------------------------------
+# Per source, the header's file name, how many screenshots and videos are
+# listed, whether images keep their own extension, and whether streams become notes.
+# --------------------------------------------------------------------------
+MANIFEST_RULES = {
+    SOURCE_A: {"header": "header.jpg", "screenshots": 5, "videos": 3, "typed_images": False, "stream_notes": True},
+    SOURCE_B: {"header": "cover.jpg", "screenshots": 10, "videos": 0, "typed_images": True, "stream_notes": False},
+    SOURCE_C: {"header": "header.jpg", "screenshots": 10, "videos": 5, "typed_images": False, "stream_notes": False},
+}
 STORED_NAME = r"game_(\d+)_(.+)$"
 
 
@@ -25,24 +33,25 @@ def _items(kind: str, links: Column, name) -> Column:
     )
 
 
-def media_manifest(
-    records: DataFrame, key: str = "url", header_name: str = "header.jpg", screenshots: int = MAX_SCREENSHOTS
-) -> DataFrame:
-    """One row per file to fetch: header, first screenshots, up to three videos.
+def media_manifest(records: DataFrame, source: str, key: str = "url") -> DataFrame:
+    """One row per file to fetch: header, screenshots and videos, by the source's rule.
 
     ``records`` has the key, ``header_image`` (text), ``screenshots`` and ``videos`` (arrays).
     The lists are built per record, so nothing is shuffled.
     """
+    rule = MANIFEST_RULES[source]
     none = F.array().cast("array<string>")
     header = F.when(
         F.col("header_image").isNotNull() & (F.col("header_image") != "N/A"), F.array("header_image")
     ).otherwise(none)
-    shots = F.slice(F.coalesce("screenshots", none), 1, screenshots)
-    videos = F.slice(F.coalesce("videos", none), 1, urls.MAX_VIDEOS)
+    shots = F.slice(F.coalesce("screenshots", none), 1, rule["screenshots"])
+    videos = F.slice(F.coalesce("videos", none), 1, rule["videos"])
+    image = urls.image_extension if rule["typed_images"] else lambda link: F.lit("jpg")
+    video = urls.video_extension if rule["stream_notes"] else urls.plain_video_extension
     everything = F.concat(
-        _items("header", header, lambda link, i: F.lit(header_name)),
-        _items("image", shots, lambda link, i: F.concat(F.lit("screenshot_"), i, F.lit("."), urls.image_extension(link))),
-        _items("video", videos, lambda link, i: F.concat(F.lit("video_"), i, urls.video_extension(link))),
+        _items("header", header, lambda link, i: F.lit(rule["header"])),
+        _items("image", shots, lambda link, i: F.concat(F.lit("screenshot_"), i, F.lit("."), image(link))),
+        _items("video", videos, lambda link, i: F.concat(F.lit("video_"), i, video(link))),
     )
     return records.select(key, F.inline(everything))
 

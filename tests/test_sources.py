@@ -144,7 +144,7 @@ def test_media_files_are_registered_without_reading_them(spark, tmp_path):
 
 def test_manifest_without_media_is_empty(spark):
     frame = spark.createDataFrame([("u", "N/A", None, None)], "url string, header_image string, screenshots array<string>, videos array<string>")
-    assert media.media_manifest(frame).count() == 0
+    assert media.media_manifest(frame, SOURCE_A).count() == 0
 
 
 def test_sql_parameters_are_not_spliced(spark):
