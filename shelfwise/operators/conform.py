@@ -11,7 +11,7 @@ from shelfwise.functions import dates, numbers, text
 from shelfwise.operators.dedup import best_per_title, unique_urls
 from shelfwise.schemas import COLUMN_MAPPINGS, UNIFIED
 
-TEXT_FIELDS = ("game_title", "description", "developer", "publisher")
+TEXT_FIELDS = ("description", "developer", "publisher")
 
 
 def to_standard_names(df: DataFrame, source: str) -> DataFrame:
@@ -57,8 +57,9 @@ def standardised(df: DataFrame, price_locale: str = "eu") -> DataFrame:
 
 
 def titled(df: DataFrame) -> DataFrame:
-    """Records with a non-empty title."""
-    return df.filter(F.col("game_title").isNotNull() & (F.length("game_title") > 0))
+    """Records whose cleaned title is not empty, with that title."""
+    cleaned = df.withColumn("game_title", text.clean_text(F.col("game_title")))
+    return cleaned.filter(F.col("game_title").isNotNull() & (F.length("game_title") > 0))
 
 
 def unified(df: DataFrame, *extra: str) -> DataFrame:
@@ -80,12 +81,14 @@ def conform_all(
 ) -> DataFrame:
     """Unified records of all sources; untitled ones, and repeated links of a source, removed.
 
-    Sources are renamed and united first and cleaned together, which needs one set of
-    expressions and one shuffle instead of one per source. ``order`` names the arrival
-    column of every source; it stays in the result for later tie-breaks.
+    Sources are renamed and united first, which needs one shuffle and one set of expressions
+    instead of one per source. Only the title, which decides what is dropped, is cleaned
+    before the repeated links go; the rest is cleaned once per remaining record. ``order``
+    names the arrival column of every source; it stays in the result for later tie-breaks.
     """
     renamed = union_sources([to_standard_names(df, source) for source, df in sources.items()])
-    return unified(unique_urls(titled(standardised(renamed, price_locale)), [F.col(order)], keep_null=keep_null_urls), order)
+    kept = unique_urls(titled(renamed), [F.col(order)], keep_null=keep_null_urls)
+    return unified(standardised(kept, price_locale), order)
 
 
 def conform_source(df: DataFrame, source: str, order: str, **options) -> DataFrame:

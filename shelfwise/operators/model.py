@@ -57,8 +57,9 @@ def game_rows(final: DataFrame, zero_is_null: bool = True) -> DataFrame:
 
 
 def game_table(final: DataFrame, zero_is_null: bool = True) -> DataFrame:
-    """Numbered games with their genre list."""
-    return numbered(game_rows(final, zero_is_null), "game_title", "data_source", "game_url", "release_date")
+    """Numbered games with their genre list. Ids follow the stored order of the rows; storing
+    them for the numbering is also the one evaluation of the cleaning."""
+    return numbered(game_rows(final, zero_is_null))
 
 
 def genre_pairs(games: DataFrame, key: str = "id", names: str = "genre_list") -> DataFrame:
@@ -90,8 +91,8 @@ def bridge_table(pairs: DataFrame, genres: DataFrame, broadcast_rows: int = BROA
 
 
 def build_catalogue(final: DataFrame, zero_is_null: bool = True) -> Catalogue:
-    """Games, genres and the bridge. Numbering checkpoints its input, so the games' ids are
-    fixed before the bridge refers to them."""
+    """Games, genres and the bridge. Numbering stores its input, so the games' ids are fixed
+    before the bridge refers to them."""
     games = game_table(final, zero_is_null)
     pairs = genre_pairs(games)
     genres = genre_table(pairs)

@@ -5,28 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.session import checkpointed
-
-_ROW_BITS = (1 << 33) - 1
+from shelfwise.session import stored
 
 
 def numbered(df: DataFrame, *order: Column | str, name: str = "id") -> DataFrame:
-    """1, 2, 3, ... in the given order as a new first column.
+    """1, 2, 3, ... as a new first column.
 
-    Rows are range-partitioned and sorted in parallel; a row's number is its place in its
-    partition plus the size of the partitions before. The sorted rows are checkpointed, so
-    both uses below, and any retry, see the same partitions. The offsets have one row per
-    shuffle partition, which is what bounds the broadcast and the window.
+    Without an order, rows are numbered where they are: nothing is shuffled. With an order,
+    which is meant for small tables, they are range-partitioned and sorted in parallel first.
+    The rows are stored once; a row's number is its place in its file plus the rows of the
+    files before. Files do not change, so later readers and retries see the same numbers. The
+    offsets have one row per file, as the driver's file listing has, which is what bounds the
+    broadcast and the window.
     """
-    placed = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumns(
-        {
-            "_part": F.spark_partition_id(),
-            "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
-        }
+    arranged = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    placed = stored(arranged).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return placed.join(F.broadcast(offsets), "_part").select(
+    part = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("int")
+    before = Window.orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_file").agg(F.count("*").alias("_size"))
+    offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    return placed.join(F.broadcast(offsets), "_file").select(
         (F.col("_offset") + F.col("_row") + 1).cast("bigint").alias(name), *df.columns
     )

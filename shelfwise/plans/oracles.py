@@ -356,7 +356,7 @@ SELECT r.id, game_id, r.rating, CASE WHEN r.rating NOT BETWEEN 0 AND 100 THEN 'r
  WHEN user_name IS NULL THEN 'user name missing' ELSE 'unknown game' END AS reason
 FROM reviews r LEFT JOIN games g ON g.id = game_id
 WHERE r.rating NOT BETWEEN 0 AND 100 OR user_name IS NULL OR g.id IS NULL"""
-ORACLES["model_games"] = f"WITH {_LOADED} SELECT * EXCLUDE (genres) FROM loaded"
+ORACLES["model_games"] = f"WITH {_LOADED} SELECT * EXCLUDE (genres, id) FROM loaded"
 ORACLES["model_genres"] = f"""WITH {_LOADED}, links AS (
  SELECT DISTINCT id, trim(UNNEST(string_split(genres, ','))) AS genre_name FROM loaded)
 SELECT genre_name, COUNT(*) AS game_count FROM links WHERE genre_name <> '' GROUP BY genre_name"""

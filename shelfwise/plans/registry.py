@@ -208,7 +208,7 @@ def model_games(spark, folder):
     """Typed load of the final records, numbered; zeros read as missing."""
     final = clean.final_records(_master(spark, folder), as_of())
     return model.game_table(final).select(
-        "id", "data_source", "game_title", "release_date", "rating", "review_count",
+        "data_source", "game_title", "release_date", "rating", "review_count",
         F.col("discounted_price").cast("double"), F.col("original_price").cast("double"),
         "discount_percentage", "platform", "developer", "publisher", "release_status", "game_url",
     )

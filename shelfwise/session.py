@@ -55,7 +55,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through reliable shared storage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    This cuts the lineage like a checkpoint, but evaluates ``df`` once, and later readers
+    prune columns and filter in the scan.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -160,6 +160,7 @@ def details_a(pages: DataFrame) -> DataFrame:
     genres = F.filter(F.transform("genres", text.strip), lambda g: g != "")
     categories = F.filter(F.col("categories"), lambda c: c != "")
     return raw.select(
+        "page_id",
         "url",
         arrays.delimited(genres, ", ").alias("genres"),
         _or_na(F.get(F.col("companies"), 0)).alias("developer"),
@@ -203,6 +204,7 @@ def details_b(pages: DataFrame) -> DataFrame:
         lambda e: (e["edition_name"] != "") & (e["edition_price"] != ""),
     )
     return raw.select(
+        "page_id",
         "url",
         flat("author").alias("developer"),
         flat("publisher").alias("publisher"),
@@ -317,6 +319,7 @@ def details_c(pages: DataFrame) -> DataFrame:
     alone = F.nullif(F.trim(F.get(links_of(lone_publisher, "row_content_links"), 0)), F.lit(""))
     icons = arrays.platforms_of_classes(F.col("icons"))
     return raw.select(
+        "page_id",
         "url",
         _or_na(score).alias("rating"),
         _or_na(count).alias("rating_count"),
@@ -347,14 +350,15 @@ def _default(name: str, kind: str) -> Column:
 def store_records(listing_pages: DataFrame, detail_pages: DataFrame, source: str) -> DataFrame:
     """Listing entries with the fields of their detail page, in the source's column names.
 
-    Entries are first reduced to one per link in arrival order; an entry whose page is
+    Entries and pages are first reduced to one per link in arrival order, both partitioned by
+    the link, so the join shuffles nothing more. An entry whose page is
     missing gets the defaults of a field that was not found. Source A keeps only records that have media.
     """
-    from shelfwise.operators.dedup import first_seen
+    from shelfwise.operators.dedup import first_seen, keep_first
 
     listing, read_details = EXTRACTORS[source]
     entries = first_seen(listing(listing_pages), "url")
-    details = read_details(detail_pages)
+    details = keep_first(read_details(detail_pages), ["url"], [F.col("page_id")]).drop("page_id")
     records = entries.join(details, "url", "left").withColumns(
         {name: F.coalesce(F.col(name), _default(name, kind)) for name, kind in details.dtypes if name != "url"}
     )

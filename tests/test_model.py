@@ -49,6 +49,13 @@ def test_numbering_an_empty_table(spark):
     assert numbered(spark.range(0), "id", name="n").count() == 0
 
 
+def test_unordered_numbers_are_dense(spark):
+    frame = spark.range(0, 1000, 1, 7).filter("id < 100 OR id >= 900").withColumn("k", F.col("id") % 3)
+    found = numbered(frame.drop("id"), name="n")
+    assert sorted(r["n"] for r in found.collect()) == list(range(1, 201))
+    assert "Exchange hashpartitioning(k" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_model_passes_its_audits(catalogue):
     report = model.audit_catalogue(catalogue.games, catalogue.genres, catalogue.game_genres)
     assert {r["violations"] for r in report.collect()} == {0}
