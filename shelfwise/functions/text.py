@@ -144,7 +144,7 @@ def fix_encoding(c: Column, repair_first: bool = False) -> Column:
     two table rows into other characters, so these rows do not match. ``repair_first`` runs
     the table before normalisation. Blank text is returned unchanged.
     """
-    repaired = nfkc(replace_mojibake(c)) if repair_first else replace_mojibake(nfkc(c))
+    repaired = _normalizer()(replace_mojibake(c)) if repair_first else replace_mojibake(nfkc(c))
     blanks = F.regexp_replace(F.regexp_replace(repaired, CONTROL_CHARACTERS, ""), r"[ \t]+", " ")
     return F.when(strip(c) != "", strip(blanks)).otherwise(c)
 
