@@ -105,6 +105,21 @@ def empty_table(spark, name: str) -> DataFrame:
     return spark.createDataFrame([], ddl(MODEL[name]))
 
 
+def create_tables(spark, folder: str) -> None:
+    """Every table of the model as an empty stored table, unless it exists."""
+    for name in MODEL:
+        empty_table(spark, name).write.mode("ignore").parquet(f"{folder}/{name}")
+
+
+def load_if_empty(final: DataFrame, folder: str, zero_is_null: bool = True) -> bool:
+    """Fill created tables from the final records; False, and nothing written, if games exist."""
+    stored_games = Catalogue.load(final.sparkSession, folder).games
+    if not stored_games.isEmpty():
+        return False
+    build_catalogue(final, zero_is_null).save(folder, mode="append")
+    return True
+
+
 # --------------------------------------------------------------------------
 # Constraint audits: rows that break a declared rule.
 # --------------------------------------------------------------------------

@@ -293,14 +293,16 @@ SELECT feature, games, own / 100 AS avg_rating, a / 100 AS overall_rating, (own
 
 def _release_stats(key_sql: str, where: str) -> str:
     return f"""SELECT {key_sql}, COUNT(*) AS games, {mean_price('orig_cents')} AS avg_original_price,
- {mean_price('disc_cents')} AS avg_discounted_price, {mean('rating', 2)} AS avg_rating FROM games WHERE {where} GROUP BY 1"""
+ {mean_price('disc_cents')} AS avg_discounted_price, {mean('rating', 2)} AS avg_rating FROM spread WHERE {where} GROUP BY 1"""
 
 
 _AGE = f"({AS_OF} - release_date)"
-ORACLES["new_vs_catalog"] = f"""WITH {GAMES} """ + _release_stats(
+_SPREAD = f"""{GAMES}, spread AS (SELECT * REPLACE (CASE WHEN rating IS NOT NULL
+ THEN release_date + CAST(id * 13 % 2500 AS INT) END AS release_date) FROM games)"""
+ORACLES["new_vs_catalog"] = f"""WITH {_SPREAD} """ + _release_stats(
     f"""CASE WHEN release_date IS NULL THEN 'Unknown' WHEN {_AGE} < 0 THEN 'unreleased' WHEN {_AGE} < 365 THEN '0-1 years'
  WHEN {_AGE} < 1095 THEN '1-3 years' WHEN {_AGE} < 1825 THEN '3-5 years' ELSE '5+ years' END AS age_class""", "TRUE")
-ORACLES["release_years"] = f"WITH {GAMES} " + _release_stats(
+ORACLES["release_years"] = f"WITH {_SPREAD} " + _release_stats(
     "CAST(EXTRACT(YEAR FROM release_date) AS INT) AS release_year", "release_date IS NOT NULL")
 ORACLES["top_rated_games"] = f"""WITH {GAMES} SELECT id, game_title, rating, review_count, developer, platform FROM games
 WHERE rating IS NOT NULL AND review_count > 100 ORDER BY rating DESC, review_count DESC, id LIMIT 10"""

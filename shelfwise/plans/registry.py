@@ -83,14 +83,20 @@ def feature_lift(spark, folder):
     return research.feature_lift(games, features, 3)
 
 
+def _spread_releases(spark, folder) -> DataFrame:
+    """Games with release dates spread over seven years, some of them missing."""
+    later = F.date_add("release_date", (F.col("id") * 13 % 2500).cast("int"))
+    return adapters.games(spark, folder).withColumn("release_date", F.when(F.col("rating").isNotNull(), later))
+
+
 @query
 def new_vs_catalog(spark, folder):
-    return research.new_against_catalogue(adapters.games(spark, folder), as_of())
+    return research.new_against_catalogue(_spread_releases(spark, folder), as_of())
 
 
 @query
 def release_years(spark, folder):
-    return research.release_years(adapters.games(spark, folder))
+    return research.release_years(_spread_releases(spark, folder))
 
 
 @query

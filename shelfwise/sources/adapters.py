@@ -84,7 +84,7 @@ FROM (SELECT o_orderkey, CAST(y AS STRING) AS yyyy, SUBSTR(CAST(y AS STRING), 3,
 
 # One row per dialogue turn as a user review; some ratings are out of range, some games unknown.
 REVIEWS_SQL = """
-SELECT conv_id * 1000 + turn AS id, conv_id * 3 AS game_id,
+SELECT conv_id * 1000 + turn AS id, conv_id * 19 AS game_id,
  CASE WHEN conv_id % 13 = 0 THEN NULL ELSE role END AS user_name,
  CAST((conv_id * 17 + turn * 5) % 120 - 5 AS INT) AS rating, text AS review_text,
  CASE WHEN turn % 4 = 3 THEN NULL ELSE turn % 3 END AS helpful_count,
