@@ -117,10 +117,10 @@ def price_text(c: Column, by_size: bool = False) -> Column:
     one the price, for labels that show the original first.
     """
     text = strip(c)
-    found = F.transform(
-        F.regexp_extract_all(text, F.lit(rf"([{PRICE_SIGNS}][\s\xa0]*[\d,]+\.?\d*)"), 1), strip
+    amount = rf"([{PRICE_SIGNS}][\s\xa0]*[\d,]+\.?\d*)"
+    first, second = (
+        F.nullif(strip(F.regexp_extract(text, rf"(?s){amount}(?:.*?{amount})?", group)), F.lit("")) for group in (1, 2)
     )
-    first, second = F.get(found, 0), F.get(found, 1)
     if by_size:
         swapped = price(second, "us") > price(first, "us")
         first, second = F.when(second.isNull() | swapped, first).otherwise(second), F.when(

@@ -83,13 +83,18 @@ def flat_text(c: Column) -> Column:
     return F.when(c.isNull() | c.isin("", "N/A"), F.lit("N/A")).otherwise(flat)
 
 
+# A noncharacter, which text cannot hold, followed by the blank that initcap looks for.
+_WORD_MARK = "\uffff "
+
+
 def title_case(c: Column) -> Column:
     """Capitalise every run of cased letters ("role-playing" -> "Role-Playing").
 
-    ``initcap`` alone only capitalises after blanks, so it is applied per letter run.
+    ``initcap`` only capitalises after blanks, so every start of a letter run is marked by one
+    and unmarked afterwards.
     """
-    runs = F.regexp_extract_all(c, F.lit(r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"), 1)
-    return F.array_join(F.transform(runs, F.initcap), "")
+    marked = F.regexp_replace(c, r"(?<=[^\p{Lu}\p{Ll}\p{Lt}])(?=[\p{Lu}\p{Ll}\p{Lt}])", _WORD_MARK)
+    return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 
 def title_key(c: Column) -> Column:
@@ -98,10 +103,14 @@ def title_key(c: Column) -> Column:
 
 
 def genre_list(c: Column) -> Column:
-    """Split on ``, ; |``, clean and title-case each part, drop parts of one character."""
-    parts = F.transform(F.split(F.when(c != "N/A", c), r"[,;|]"), clean_text)
-    kept = F.transform(F.filter(parts, lambda g: F.length(g) > 1), title_case)
-    return F.nullif(F.array_join(kept, ", "), F.lit(""))
+    """Split on ``, ; |``, drop missing tokens and parts of one character, title-case the rest.
+
+    ``c`` is text that ``clean_text`` has cleaned, so its parts only need trimming; the
+    separators are no letters, so the joined text is title-cased at once.
+    """
+    parts = F.transform(F.split(F.when(c != "N/A", c), r"[,;|]"), lambda g: F.trim(g))
+    kept = F.filter(parts, lambda g: (F.length(g) > 1) & ~g.isin(*TEXT_NA_TOKENS))
+    return F.nullif(title_case(F.array_join(kept, ", ")), F.lit(""))
 
 
 def genre_names(c: Column) -> Column:

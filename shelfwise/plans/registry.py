@@ -307,7 +307,7 @@ QUERIES |= {
     "price_display": _listing_function(
         shown=lambda: numbers.price_display(F.when(F.col("id") % 2 == 0, F.col("original_raw")), F.col("price_raw"))
     ),
-    "genres_list": _listing_function(genres=lambda: text.genre_list(F.col("genres_raw"))),
+    "genres_list": _listing_function(genres=lambda: text.genre_list(text.clean_text(F.col("genres_raw")))),
     "player_flags": _listing_function(
         multiplayer=lambda: arrays.yes_no(F.split("title_raw", " "), "ring"),
         singleplayer=lambda: arrays.yes_no(F.split("title_raw", " "), "cold"),

@@ -115,9 +115,10 @@ def test_clean_text(spark):
 
 
 def test_genres_and_titles(spark):
-    genres = {"rpg; role-playing|x": "Rpg, Role-Playing", "N/A": None, " ": None, "action,don't": "Action, Don'T", "a|b": None}
-    assert apply(spark, text.genre_list, list(genres)) == list(genres.values())
-    titles = {"ROLE-playing 3d": "Role-Playing 3D", "été noir": "Été Noir", "": ""}
+    genres = {"rpg; role-playing|x": "Rpg, Role-Playing", "N/A": None, " ": None, "action,don't": "Action, Don'T", "a|b": None, "x, NA;n/a,na&nbsp;b": "Na B"}
+    assert apply(spark, lambda c: text.genre_list(text.clean_text(c)), list(genres)) == list(genres.values())
+    titles = {"ROLE-playing 3d": "Role-Playing 3D", "été noir": "Été Noir", "": "", "2nd (ii)  x_y": "2Nd (Ii)  X_Y"}
+    assert all(key.title() == value for key, value in titles.items())
     assert apply(spark, text.title_case, list(titles)) == list(titles.values())
     keys = {"  Café: Édition_2! ": "café édition_2", "x ®": "x ", "x": "x", "!!!": "", "½ life²": "½ life²"}
     assert apply(spark, text.title_key, list(keys)) == list(keys.values())
