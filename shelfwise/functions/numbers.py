@@ -117,20 +117,24 @@ def price_text(c: Column, by_size: bool = False) -> Column:
     one the price, for labels that show the original first.
     """
     text = strip(c)
-    amount = rf"([{PRICE_SIGNS}][\s\xa0]*[\d,]+\.?\d*)"
-    first, second = (
-        F.nullif(strip(F.regexp_extract(text, rf"(?s){amount}(?:.*?{amount})?", group)), F.lit("")) for group in (1, 2)
-    )
-    if by_size:
-        swapped = price(second, "us") > price(first, "us")
-        first, second = F.when(second.isNull() | swapped, first).otherwise(second), F.when(
-            second.isNull() | swapped, second
-        ).otherwise(first)
-    percent = F.concat(F.nullif(F.regexp_extract(text, r"-(\d+)%", 1), F.lit("")), F.lit("%"))
     free = F.lower(text).contains("free")
+    percent = F.concat(F.nullif(F.regexp_extract(text, r"-(\d+)%", 1), F.lit("")), F.lit("%"))
+    amounts = F.regexp_extract_all(text, F.lit(rf"([{PRICE_SIGNS}][\s\xa0]*[\d,]+\.?\d*)"), 1)
+
+    def pair(found: Column) -> Column:
+        first, second = strip(F.get(found, 0)), strip(F.get(found, 1))
+        if not by_size:
+            return F.struct(first.alias("now"), second.alias("before"))
+        swap = F.coalesce(price(second, "us") < price(first, "us"), F.lit(False))
+        return F.struct(
+            F.when(swap, second).otherwise(first).alias("now"), F.when(swap, first).otherwise(second).alias("before")
+        )
+
+    # The one-element array binds the amounts to a variable, so the label is searched once.
+    parsed = F.get(F.transform(F.array(amounts), pair), 0)
     return F.struct(
-        F.when(free, F.lit("Free")).otherwise(F.coalesce(first, F.lit("N/A"))).alias("price"),
-        F.coalesce(F.when(~free, second), F.lit("N/A")).alias("original_price"),
+        F.when(free, F.lit("Free")).otherwise(F.coalesce(parsed["now"], F.lit("N/A"))).alias("price"),
+        F.coalesce(F.when(~free, parsed["before"]), F.lit("N/A")).alias("original_price"),
         F.coalesce(F.when(~free, percent), F.lit("N/A")).alias("discount_percentage"),
     )
 
