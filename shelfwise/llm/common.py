@@ -15,6 +15,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 20_000
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer package keeps a vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -9,6 +9,8 @@ across documents, and different values stay different.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ FIRST_SIGNS = r"[0-9@]"
 DIGITS, UPPER, LOWER, HIGH, LOW = (48, 10), (65, 26), (97, 26), (192, 8), (200, 2)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, the value computed once (a lambda's outer expressions run for each element)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def keyed(*parts: Column) -> Column:
     """64 hex digits from the key, a round and a value."""
     return F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
@@ -54,8 +61,13 @@ def shifted(sign: Column, by: Column) -> Column:
 
 def shift_text(value: Column, digest: Column) -> Column:
     places = F.when(F.length(value) > 0, F.sequence(F.lit(0), F.length(value) - 1)).otherwise(F.array().cast("array<int>"))
-    amount = lambda i: F.conv(F.substr(digest, (i * 4) % 60 + 1, F.lit(5)), 16, 10).cast("int")
-    return F.array_join(F.transform(places, lambda i: shifted(F.substr(value, i + 1, F.lit(1)), amount(i))), "")
+    amount = lambda drawn, i: F.conv(F.substr(drawn, (i * 4) % 60 + 1, F.lit(5)), 16, 10).cast("int")
+    return let(
+        digest,
+        lambda drawn: F.array_join(
+            F.transform(places, lambda i: shifted(F.substr(value, i + 1, F.lit(1)), amount(drawn, i))), ""
+        ),
+    )
 
 
 def permute_text(value: Column, key: str) -> Column:
@@ -91,12 +103,15 @@ def refilled(template: Column, signs: str, filling: Column) -> Column:
     """``template`` with its signs of the class replaced, in order, by those of ``filling``."""
     place = lambda i: F.substr(template, i, F.lit(1))
     nth = lambda i: F.length(only(signs, F.substr(template, F.lit(1), i)))
-    return F.array_join(
-        F.transform(
-            F.sequence(F.lit(1), F.length(template)),
-            lambda i: F.when(place(i).rlike(f"[{signs}]"), F.substr(filling, nth(i), F.lit(1))).otherwise(place(i)),
+    return let(
+        filling,
+        lambda new: F.array_join(
+            F.transform(
+                F.sequence(F.lit(1), F.length(template)),
+                lambda i: F.when(place(i).rlike(f"[{signs}]"), F.substr(new, nth(i), F.lit(1))).otherwise(place(i)),
+            ),
+            "",
         ),
-        "",
     )
 
 
@@ -118,18 +133,24 @@ def digit(digits: Column, from_right: Column) -> Column:
 
 
 def email(value: Column, key: str) -> Column:
-    name = F.substring_index(value, "@", 1)
-    return F.concat(permute_text(name, key + ":mail"), F.substr(value, F.length(name) + 1))
+    return let(
+        F.substring_index(value, "@", 1),
+        lambda name: F.concat(permute_text(name, key + ":mail"), F.substr(value, F.length(name) + 1)),
+    )
 
 
 def card(value: Column, key: str) -> Column:
-    digits = only("0-9", value)
-    body = F.concat(
+    body = lambda digits: F.concat(
         F.substr(digits, F.lit(1), F.lit(1)),
-        permute_text(F.substr(digits, F.lit(2), F.length(digits) - 2), key + ":card"),
+        let(F.substr(digits, F.lit(2), F.length(digits) - 2), lambda x: permute_text(x, key + ":card")),
+    )
+    checked = lambda x: F.concat(x, ((10 - digit_sum(x, 0) % 10) % 10).cast("string"))
+    return let(
+        only("0-9", value),
+        lambda digits: F.when(
+            digit_sum(digits, 1) % 10 == 0, refilled(value, "0-9", let(body(digits), checked))
+        ),
     )
-    check = (10 - digit_sum(body, 0) % 10) % 10
-    return F.when(digit_sum(digits, 1) % 10 == 0, refilled(value, "0-9", F.concat(body, check.cast("string"))))
 
 
 def phone(value: Column, key: str) -> Column:
@@ -142,8 +163,9 @@ def phone(value: Column, key: str) -> Column:
     lawful = lambda x: F.translate(x, back, to)
     piece = lambda start, n: F.substr(national, F.lit(start), F.lit(n))
     hidden = F.concat(lawful(piece(1, 1)), piece(2, 2), lawful(piece(4, 1)), piece(5, 6))
-    us = F.concat(country, F.translate(permute_text(hidden, key + ":phone"), to, back))
-    rest = F.concat(country, permute_text(F.substr(digits, F.length(country) + 1), key + ":phone"))
+    permuted = lambda x: let(x, lambda bound: permute_text(bound, key + ":phone"))
+    us = F.concat(country, F.translate(permuted(hidden), to, back))
+    rest = F.concat(country, permuted(F.substr(digits, F.length(country) + 1)))
     return (
         F.when(american & (F.length(digits) - F.length(country) == 10), refilled(value, "0-9", us))
         .when(~american & F.length(digits).between(8, 15), refilled(value, "0-9", rest))
@@ -158,7 +180,7 @@ def ipv4(value: Column, key: str) -> Column:
         ".",
         *[x.cast("string") for x in (F.floor(s["a"] / 256), s["a"] % 256, F.floor(s["b"] / 256), s["b"] % 256)],
     )
-    return F.when(F.forall(octets, lambda x: x <= 255), joined(pair))
+    return F.when(F.forall(octets, lambda x: x <= 255), let(pair, joined))
 
 
 def ssn(value: Column, key: str) -> Column:
@@ -168,16 +190,14 @@ def ssn(value: Column, key: str) -> Column:
     valid = area.between(1, 899) & (area != 666) & (group >= 1) & (serial >= 1)
     index = F.when(area > 666, area - 2).otherwise(area - 1)
     pair = permute_number(index * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999), key + ":ssn")
-    place = F.floor(pair["a"] / 99)
-    return F.when(
-        valid,
-        F.concat_ws(
-            "-",
-            F.lpad((F.when(place >= 665, place + 2).otherwise(place + 1)).cast("string"), 3, "0"),
-            F.lpad((pair["a"] % 99 + 1).cast("string"), 2, "0"),
-            F.lpad((pair["b"] + 1).cast("string"), 4, "0"),
-        ),
+    place = lambda s: F.floor(s["a"] / 99)
+    written = lambda s: F.concat_ws(
+        "-",
+        F.lpad((F.when(place(s) >= 665, place(s) + 2).otherwise(place(s) + 1)).cast("string"), 3, "0"),
+        F.lpad((s["a"] % 99 + 1).cast("string"), 2, "0"),
+        F.lpad((s["b"] + 1).cast("string"), 4, "0"),
     )
+    return F.when(valid, let(pair, written))
 
 
 def date(value: Column, key: str) -> Column:
@@ -196,23 +216,26 @@ def date(value: Column, key: str) -> Column:
         .when(month_first, made(part(3), part(1), part(2)))
         .otherwise(made(part(3), part(2), part(1)))
     )
-    century = F.floor(F.year(day) / 100).cast("int")
-    start = F.make_date(century * 100, F.lit(1), F.lit(1))
-    leap = century % 4 == 0
-    index = F.datediff(day, start)
-    highs, lows = F.when(leap, 75).otherwise(92), F.when(leap, 487).otherwise(397)
-    pair = permute_number(F.floor(index / lows), index % lows, highs, lows, key + ":date")
-    moved = F.date_add(start, (pair["a"] * lows + pair["b"]).cast("int"))
-    # widths as in the original: one-digit parts may not hold the new day, so these are written as needed
-    two = F.length(value) == 10
-    text = lambda pattern, short: F.when(two, F.date_format(moved, pattern)).otherwise(F.date_format(moved, short))
-    return F.when(
-        day.isNotNull() & (century > 0),
-        F.when(iso, F.date_format(moved, "yyyy-MM-dd"))
-        .when(month_first, text("MM/dd/yyyy", "M/d/yyyy"))
-        .when(slash, text("dd/MM/yyyy", "d/M/yyyy"))
-        .otherwise(text("dd.MM.yyyy", "d.M.yyyy")),
-    )
+    two = F.length(value) == 10  # else parts are written without a leading zero
+
+    def moved(day: Column) -> Column:
+        century = F.floor(F.year(day) / 100).cast("int")
+        start = F.make_date(century * 100, F.lit(1), F.lit(1))
+        leap, index = century % 4 == 0, F.datediff(day, start)
+        highs, lows = F.when(leap, 75).otherwise(92), F.when(leap, 487).otherwise(397)
+        pair = permute_number(F.floor(index / lows), index % lows, highs, lows, key + ":date")
+        return F.when(century > 0, let(pair, lambda s: F.date_add(start, (s["a"] * lows + s["b"]).cast("int"))))
+
+    def written(new: Column) -> Column:
+        text = lambda long, short: F.when(two, F.date_format(new, long)).otherwise(F.date_format(new, short))
+        return (
+            F.when(iso, F.date_format(new, "yyyy-MM-dd"))
+            .when(month_first, text("MM/dd/yyyy", "M/d/yyyy"))
+            .when(slash, text("dd/MM/yyyy", "d/M/yyyy"))
+            .otherwise(text("dd.MM.yyyy", "d.M.yyyy"))
+        )
+
+    return let(let(day, moved), written)
 
 
 def remainder_97(value: Column) -> Column:
@@ -229,10 +252,12 @@ def remainder_97(value: Column) -> Column:
 
 def iban(value: Column, key: str) -> Column:
     bare = F.regexp_replace(value, " ", "")
-    body = permute_text(F.substr(bare, F.lit(5)), key + ":iban")
     country = F.substr(bare, F.lit(1), F.lit(2))
-    check = 98 - remainder_97(F.concat(country, F.lit("00"), body))
-    made = F.concat(country, F.lpad(check.cast("string"), 2, "0"), body)
+    check = lambda body: 98 - remainder_97(F.concat(country, F.lit("00"), body))
+    made = let(
+        let(F.substr(bare, F.lit(5)), lambda x: permute_text(x, key + ":iban")),
+        lambda body: F.concat(country, F.lpad(check(body).cast("string"), 2, "0"), body),
+    )
     return F.when(F.length(bare).between(15, 34) & (remainder_97(bare) == 1), refilled(value, "A-Z0-9", made))
 
 

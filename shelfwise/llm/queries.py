@@ -6,18 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import mixing
-from shelfwise.llm.common import table
+from shelfwise.llm import bpe, mixing, pii, secret_scan
+from shelfwise.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text with its personal data replaced."""
+    return pii.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(table(spark, folder, "documents"))
+
+
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
 QUERIES: dict[str, Query] = {
+    "op2_pseudonyms": op2_pseudonyms,
+    "op3_secrets": op3_secrets,
+    "op4_bpe": op4_bpe,
     "op9_mixing": op9_mixing,
 }
 
