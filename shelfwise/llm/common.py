@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def per_worker(key: Hashable, make: Callable):
+    """``make()``, once for each Python worker: functions that travel with a task lose their own module's state."""
+    kept = sys.modules.setdefault("shelfwise_worker_state", types.ModuleType("shelfwise_worker_state"))
+    if key not in kept.__dict__.setdefault("values", {}):
+        kept.values[key] = make()
+    return kept.values[key]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

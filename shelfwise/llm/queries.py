@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, mixing, pii, secret_scan
+from shelfwise.llm import bpe, knn, mixing, pii, secret_scan
 from shelfwise.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_knn(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's text with its personal data replaced."""
     return pii.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"))
@@ -31,12 +36,24 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_knn": op1_knn,
     "op2_pseudonyms": op2_pseudonyms,
     "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
     "op9_mixing": op9_mixing,
 }
 
+OP1_SQL = """
+WITH scaled AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+  FROM scaled q JOIN scaled d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
 OP9_SQL = r"""
 WITH measured AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -68,5 +85,6 @@ FROM drawn d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_knn": OP1_SQL,
     "op9_mixing": OP9_SQL,
 }

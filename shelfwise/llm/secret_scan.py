@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import zstandard
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.bpe import with_column
+from shelfwise.llm.common import per_worker
 
 # Fixed patterns and lengths of the scan.
 ASSIGN = re.compile(
@@ -62,9 +62,8 @@ class Novelty:
         return added / len(candidate)
 
 
-@lru_cache(maxsize=4)
 def novelty(identifiers: str) -> Novelty:
-    return Novelty(identifiers)
+    return per_worker(("novelty", identifiers), lambda: Novelty(identifiers))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
