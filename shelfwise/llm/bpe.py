@@ -13,7 +13,6 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import text_or_empty
+from shelfwise.llm.common import per_worker, text_or_empty
 
-CHUNK_CHARS = 16_000_000
-HASH_CHARS = 2_000_000
+CHUNK_CHARS = 5_000_000
+HASH_CHARS = 1_000_000
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
@@ -37,7 +36,6 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-@lru_cache(maxsize=1)
 def character_classes() -> np.ndarray:
     """Letter, number, white space or other, for every code point."""
     classes = np.zeros(0x110000, np.uint8)
@@ -88,7 +86,7 @@ def pre_token_starts(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     apostrophe endings stand alone; white space leaves its last character to what follows.
     """
     n = len(points)
-    kinds = character_classes()[points]
+    kinds = per_worker("character classes", character_classes)[points]
     marks = np.zeros(n + 1, bool)
     marks[starts] = True
     first_of_text = marks.copy()
@@ -143,12 +141,12 @@ def token_keys(points: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.nd
 def apply_ranks(symbols: np.ndarray, word_starts: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """Merge all pairs in ascending order of rank; merged-away places become -1."""
     n = len(symbols)
-    symbol = np.append(symbols, -1)
-    following = np.arange(1, n + 2)
+    symbol = np.append(symbols, np.int32(-1))
+    following = np.arange(1, n + 2, dtype=np.int32)
     following[word_starts[1:] - 1] = n
     if n:
         following[n - 1] = n
-    before = np.arange(-1, n)
+    before = np.arange(-1, n, dtype=np.int32)
     before[word_starts] = n
     none = len(vocabulary.keys)
     lists: dict[int, list[np.ndarray]] = {}
@@ -168,7 +166,7 @@ def apply_ranks(symbols: np.ndarray, word_starts: np.ndarray, vocabulary: Vocabu
                 lists[rank] = [part]
                 heapq.heappush(active, rank)
 
-    everywhere = np.arange(n)
+    everywhere = np.arange(n, dtype=np.int32)
     enter(everywhere[following[:n] < n])
     while active:
         rank = heapq.heappop(active)
@@ -278,9 +276,8 @@ def decode_ids(ids: bytes, vocabulary: Vocabulary) -> bytes:
     return b"".join(map(vocabulary.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def loaded(source: str) -> Vocabulary:
-    return Vocabulary(source)
+    return per_worker(("vocabulary", source), lambda: Vocabulary(source))
 
 
 def with_column(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
