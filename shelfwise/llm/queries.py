@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, knn, mixing, pii, secret_scan
+from shelfwise.llm import bpe, knn, mixing, pii, secret_scan, toxicity
 from shelfwise.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
@@ -40,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "op2_pseudonyms": op2_pseudonyms,
     "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
     "op9_mixing": op9_mixing,
 }
 
