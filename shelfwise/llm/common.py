@@ -15,7 +15,7 @@ from shelfwise.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 # A small side is broadcast only when its counted rows stay within this bound.
-BROADCAST_ROWS = 20_000
+BROADCAST_ROWS = 100_000
 
 
 def tokenizer_path(name: str) -> str:
