@@ -12,18 +12,16 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import per_worker, text_or_empty
+from shelfwise.llm.common import per_worker, text_or_empty, with_computed
 
-CHUNK_CHARS = 5_000_000
+CHUNK_BYTES = 4_000_000
 HASH_CHARS = 1_000_000
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -280,11 +278,6 @@ def loaded(source: str) -> Vocabulary:
     return per_worker(("vocabulary", source), lambda: Vocabulary(source))
 
 
-def with_column(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    kept = [f for f in docs.schema.fields if f.name.lower() != name.lower()]
-    return T.StructType([*kept, T.StructField(name, kind)])
-
-
 def encode(docs: DataFrame, vocabulary_path: str, into: str = "ids", text: str = "text") -> DataFrame:
     """Rows of ``docs`` plus ``into``: the text's ids, binary, little-endian unsigned 32-bit integers.
 
@@ -294,18 +287,12 @@ def encode(docs: DataFrame, vocabulary_path: str, into: str = "ids", text: str =
     vocabulary file, whose size is fixed, is all that is broadcast.
     """
     source = docs.sparkSession.sparkContext.broadcast(open(vocabulary_path, encoding="utf-8").read())
-    schema = with_column(docs, into, T.BinaryType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compute():
         vocabulary = loaded(source.value)
-        for batch in batches:
-            sizes = batch[text].str.len().fillna(0).astype("int64")
-            for _, part in batch.groupby((sizes.cumsum() - sizes) // CHUNK_CHARS, sort=False):
-                yield part.drop(columns=[c for c in part.columns if c.lower() == into.lower()]).assign(
-                    **{into: encode_texts(["" if t is None else t for t in part[text]], vocabulary)}
-                )
+        return lambda texts: encode_texts([t or "" for t in texts], vocabulary)
 
-    return docs.mapInPandas(run, schema)
+    return with_computed(docs, into, T.BinaryType(), text, compute, CHUNK_BYTES)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, into: str = "decoded", ids: str = "ids") -> DataFrame:
@@ -314,15 +301,12 @@ def decode(encoded: DataFrame, vocabulary_path: str, into: str = "decoded", ids:
     Null ids give an empty text. Other columns are carried along; one already named ``into`` is replaced.
     """
     source = encoded.sparkSession.sparkContext.broadcast(open(vocabulary_path, encoding="utf-8").read())
-    schema = with_column(encoded, into, T.StringType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compute():
         vocabulary = loaded(source.value)
-        for batch in batches:
-            texts = [decode_ids(x or b"", vocabulary).decode("utf-8", "replace") for x in batch[ids]]
-            yield batch.drop(columns=[c for c in batch.columns if c.lower() == into.lower()]).assign(**{into: texts})
+        return lambda rows: [decode_ids(x or b"", vocabulary).decode("utf-8", "replace") for x in rows]
 
-    return encoded.mapInPandas(run, schema)
+    return with_computed(encoded, into, T.StringType(), ids, compute)
 
 
 def digests(docs: DataFrame, vocabulary_path: str) -> DataFrame:

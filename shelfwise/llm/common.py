@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 import sys
 import types
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.session import ensure_checkpoint_dir
 
@@ -61,3 +63,34 @@ def pieces(df: DataFrame, column: str, target_bytes: int) -> int:
     """How many parts of about ``target_bytes`` the texts of ``column`` make; at least one."""
     total = df.agg(F.sum(F.octet_length(column))).first()[0] or 0
     return max(1, math.ceil(total / target_bytes))
+
+
+def with_computed(
+    df: DataFrame,
+    into: str,
+    kind: T.DataType,
+    source: str,
+    compute: Callable[[], Callable[[list], list]],
+    slice_bytes: int = 2_000_000,
+) -> DataFrame:
+    """``df`` plus ``into``, computed from lists of ``source`` values in Arrow batches.
+
+    ``compute`` is called once for a task and gives the function over lists; a list holds about
+    ``slice_bytes``, so a task's memory does not follow the session's batch size. All other columns pass through as
+    they are, nulls and types included; a column already named ``into`` is replaced.
+    """
+    kept = [f for f in df.schema.fields if f.name.lower() != into.lower()]
+    schema = T.StructType([*kept, T.StructField(into, kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        function = compute()
+        for batch in batches:
+            rows = max(1, slice_bytes * batch.num_rows // max(1, batch.column(source).nbytes))
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                values = pa.array(function(part.column(source).to_pylist()), to_arrow_type(kind))
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), values], [*(f.name for f in kept), into])
+
+    return df.mapInArrow(run, schema)

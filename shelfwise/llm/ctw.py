@@ -184,7 +184,7 @@ def block_counts(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "block": np.full(len(codes) + len(words), block, "int32"),
-            "gram": pd.array([*codes.astype(np.int64).tolist(), *[None] * len(words)], dtype="Int64"),
+            "gram": np.concatenate((codes.astype(np.int64), np.zeros(len(words), np.int64))),
             "word": [None] * len(codes) + list(words),
             "n": np.concatenate((counts, np.fromiter(words.values(), np.int64, len(words)))),
         }
@@ -201,7 +201,8 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
     learned from as often as they occur and score alike. Without training rows every bit has
     probability one half and no word is known. An empty table gives an empty result.
     """
-    rows = docs.select(F.col("doc_id"), text_or_empty().alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    kind = docs.schema["doc_id"].dataType
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     blocks = pieces(rows, "text", BLOCK_BYTES)
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     counted = checkpointed(
@@ -213,7 +214,7 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
     sums = of_word.agg(F.sum("count").alias("tokens"), F.sum((F.col("count") > 0).cast("long")).alias("distinct")).first()
     tokens, distinct = int(sums["tokens"] or 0), int(sums["distinct"] or 0)
 
-    grams = counted.filter("gram is not null").select("block", "gram", "n")
+    grams = counted.filter("word is null").select("block", "gram", "n")
     of_gram = checkpointed(grams.groupBy("gram").agg(F.sum("n").alias("n")))
     shards = max(1, math.ceil(of_gram.count() / SHARD_GRAMS))
     context = F.shiftright("gram", 8 * (DEPTH + 1 - TOP))
@@ -252,7 +253,7 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
         .unionByName(
             words.select("block", "word")
             .join(of_word, "word")
-            .select("block", F.lit(None).cast("long").alias("gram"), "word", F.col("count").cast("double").alias("value"))
+            .select("block", F.lit(0).cast("long").alias("gram"), "word", F.col("count").cast("double").alias("value"))
         )
     )
     floor = tokens + SMOOTHING * (distinct + 1)
@@ -287,14 +288,14 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
             }
         )
 
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
     return (
         blocked.groupBy("block")
         .cogroup(known.groupBy("block"))
         .applyInPandas(
             scored,
-            f"doc_id {doc_id}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+            "doc_id string, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
         )
+        .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
 
 

@@ -17,12 +17,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfwise.llm.common import checkpointed, small_side
+from shelfwise.llm.common import checkpointed, small_side, with_computed
 from shelfwise.llm.components import components
 from shelfwise.llm.shingles import mixed, shingles
 
-SIGNATURE = "doc_id long, set binary, size long, prefixes array<long>"
+SIGNED = (
+    T.StructType()
+    .add("set", T.BinaryType())
+    .add("size", T.LongType())
+    .add("prefixes", T.ArrayType(T.LongType()))
+)
 VERIFIED = "id long, root long, links long"
 COLUMNS = 8192  # shingles compared at once
 
@@ -55,24 +61,24 @@ def signatures(docs: DataFrame, words: int, tries: int, length: int) -> DataFram
     factors = draw.integers(0, 1 << 63, tries * length, np.uint64) * np.uint64(2) + np.uint64(1)
     offsets = draw.integers(0, 1 << 63, tries * length, np.uint64)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, sizes, prefixes = [], [], []
-            for text in batch["text"]:
-                found = shingles(text, words)
-                keys.append(set_key(found))
-                sizes.append(len(found))
+    def compute():
+        def sign(texts: list[str | None]) -> list[dict]:
+            out = []
+            for text in texts:
+                found, prefixes = shingles(text, words), []
                 if len(found):
                     values = mixed(signature(found, factors, offsets)).reshape(tries, length)
                     prefix = np.arange(1, tries + 1, dtype=np.uint64)
                     for column in values.T:
                         prefix = mixed(prefix ^ column)
-                    prefixes.append(prefix.view(np.int64))
-                else:
-                    prefixes.append(np.empty(0, np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "set": keys, "size": sizes, "prefixes": prefixes})
+                    prefixes = prefix.view(np.int64).tolist()
+                out.append({"set": set_key(found), "size": len(found), "prefixes": prefixes})
+            return out
+
+        return sign
 
-    return docs.mapInPandas(run, SIGNATURE)
+    signed = with_computed(docs.select("doc_id", "text"), "signed", SIGNED, "text", compute)
+    return signed.select("doc_id", "signed.*")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:

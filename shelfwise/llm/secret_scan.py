@@ -9,16 +9,13 @@ or a word that occurs nearby adds little, a random string adds nearly its own le
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.bpe import with_column
-from shelfwise.llm.common import per_worker
+from shelfwise.llm.common import per_worker, with_computed
 
 # Fixed patterns and lengths of the scan.
 ASSIGN = re.compile(
@@ -128,7 +125,6 @@ def scan(
     kind = T.ArrayType(
         T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     )
-    schema = with_column(docs, into, kind)
 
     def spans_of(value: str | None) -> list[dict]:
         if not value:
@@ -137,12 +133,7 @@ def scan(
         spans += novel_spans(value, spans, novelty(identifiers), reach, window, least)
         return [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(spans)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            kept = batch.drop(columns=[c for c in batch.columns if c.lower() == into.lower()])
-            yield kept.assign(**{into: [spans_of(t) for t in batch[text]]})
-
-    return docs.mapInPandas(run, schema)
+    return with_computed(docs, into, kind, text, lambda: lambda texts: [spans_of(t) for t in texts])
 
 
 def listed(spans: Column) -> Column:
