@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in Spark expressions.
 
-A text is cut into pieces of a paragraph (up to twelve words of one line); a piece's digest holds 48
+A text is cut into pieces of a paragraph (up to 24 words of one line); a piece's digest holds 48
 hash bits and 16 check bits. A sketch has three rows of cells; each digest enters one cell of each row, which
 keeps a count and the exclusive or of its digests. Two sketches subtract cell by cell; peeling
 single-digest cells then recovers the digests that only one text has. If cells remain, wider sketches are tried,
@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import text_or_empty
 from shelfwise.llm.pii import let
 
-PIECE = r"(?:[^\s]+[ \t]*){1,12}\s*"
+PIECE = r"(?:[^\s]++[ \t]*+){1,24}\s*+"
 WIDTH = 32  # cells in a row of the sketch that is the fingerprint
 WIDTHS = (32, 128, 512)  # tried in this order
 PART_DIGESTS = 128
-PEEL_ROUNDS = 48
+PEEL_ROUNDS = 24
 CHECK_BITS = 16
 BUCKET_BYTES = 16_000_000
 MOST_BUCKETS = 20_000
@@ -58,44 +58,55 @@ def together(values: Column) -> Column:
 
 
 def sketch(values: Column, width: int) -> Column:
-    """Cells of all rows: count and exclusive or of the digests in each."""
+    """Three rows of cells: count and exclusive or of the digests in each."""
 
     def cells(row: int) -> Column:
-        places = F.sequence(F.lit(0), F.lit(width - 1))
+        places = F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))
         inside = lambda place: F.filter(values, lambda d: cell_of(d, row, width) == place)
         content = lambda own: F.struct(F.size(own).alias("n"), together(own).alias("x"))
         return F.transform(places, lambda place: let(inside(place), content))
 
-    return F.concat(*[cells(row) for row in range(3)])
+    return F.array(*[cells(row) for row in range(3)])
 
 
 def subtracted(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: F.struct((p["n"] - q["n"]).alias("n"), p["x"].bitwiseXOR(q["x"]).alias("x")))
+    cell = lambda p, q: F.struct((p["n"] - q["n"]).alias("n"), p["x"].bitwiseXOR(q["x"]).alias("x"))
+    return F.zip_with(a, b, lambda row, other: F.zip_with(row, other, cell))
 
 
 def clear(cells: Column) -> Column:
-    return F.forall(cells, lambda c: (c["n"] == 0) & (c["x"] == 0))
+    return F.forall(cells, lambda row: F.forall(row, lambda c: (c["n"] == 0) & (c["x"] == 0)))
 
 
 def peeled(cells: Column, width: int) -> Column:
     """Numbers of digests that only the first and only the second text has; null if cells remain."""
-    home = lambda c, i: F.when(F.floor(i / width) == 0, cell_of(c, 0, width)).when(
-        F.floor(i / width) == 1, cell_of(c, 1, width)
-    ).otherwise(cell_of(c, 2, width))
-    single = lambda c, i: (F.abs(c["n"]) == 1) & genuine(c["x"]) & (home(c["x"], i) == i % width)
-    found = lambda state: F.array_distinct(F.filter(state["cells"], single))
-    without = lambda state, pure: F.transform(
-        state["cells"],
-        lambda c, i: let(
-            F.filter(pure, lambda p: home(p["x"], i) == i % width),
-            lambda own: F.struct(
+
+    def singles(state: Column) -> Column:
+        """Digests that are alone in a cell of theirs, with the sign of their text."""
+        alone = lambda row: F.filter(
+            state["cells"][row],
+            lambda c, i: (F.abs(c["n"]) == 1) & (cell_of(c["x"], row, width) == i) & genuine(c["x"]),
+        )
+        return F.array_distinct(F.concat(*[alone(row) for row in range(3)]))
+
+    def without(state: Column, pure: Column) -> Column:
+        def row_without(row: int) -> Column:
+            held = lambda i: F.filter(pure, lambda p: cell_of(p["x"], row, width) == i)
+            left = lambda c, own: F.struct(
                 (c["n"] - F.aggregate(own, F.lit(0), lambda a, p: a + p["n"])).alias("n"),
-                c["x"].bitwiseXOR(together(F.transform(own, lambda p: p["x"]))).alias("x"),
-            ),
-        ),
-    )
+                F.aggregate(own, c["x"], lambda a, p: a.bitwiseXOR(p["x"])).alias("x"),
+            )
+            return F.transform(
+                state["cells"][row],
+                lambda c, i: F.when(c["n"].isNotNull() & (c["x"] == 0) & (c["n"] == 0), c).otherwise(
+                    let(held(i), lambda own: left(c, own))
+                ),
+            )
+
+        return F.array(*[row_without(row) for row in range(3)])
+
     moved = lambda state: let(
-        found(state),
+        singles(state),
         lambda pure: F.when(F.size(pure) == 0, stopped(state)).otherwise(
             F.struct(
                 without(state, pure).alias("cells"),
@@ -106,9 +117,8 @@ def peeled(cells: Column, width: int) -> Column:
         ),
     )
     start = F.struct(cells.alias("cells"), F.lit(0).alias("plus"), F.lit(0).alias("minus"), F.lit(True).alias("going"))
-    rounds = F.sequence(F.lit(1), F.lit(PEEL_ROUNDS))
     return F.aggregate(
-        rounds,
+        F.array(*[F.lit(k) for k in range(PEEL_ROUNDS)]),
         start,
         lambda state, _: F.when(state["going"], moved(state)).otherwise(state),
         lambda state: F.when(clear(state["cells"]), F.struct(state["plus"].alias("plus"), state["minus"].alias("minus"))),
@@ -162,7 +172,7 @@ def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column
 def written(values: Column, cells: Column) -> Column:
     """A fingerprint as text: the number of digests, then the cells."""
     cell = lambda c: F.concat(c["n"].cast("string"), F.lit("."), F.lower(F.hex(c["x"])))
-    return F.concat(F.size(values).cast("string"), F.lit(":"), F.array_join(F.transform(cells, cell), ","))
+    return F.concat(F.size(values).cast("string"), F.lit(":"), F.array_join(F.transform(F.flatten(cells), cell), ","))
 
 
 def bucket_number(value: Column, bounds: list) -> Column:
@@ -208,10 +218,6 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
 
 
-def bound(frame: DataFrame, name: str, value: Column) -> DataFrame:
-    return frame.withColumn(name, value)
-
-
 def report(docs: DataFrame, measure: Callable[..., Column] = likeness) -> DataFrame:
     """Fingerprints of every text and its edited form, and how alike they are.
 

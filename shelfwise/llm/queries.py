@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, jaccard, knn, mixing, pii, secret_scan, toxicity
+from shelfwise.llm import bpe, ctw, fingerprints, jaccard, knn, mixing, pii, secret_scan, suffixes, toxicity
 from shelfwise.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +34,22 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.report(table(spark, folder, "documents"))
+
+
+def op7_context_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.report(table(spark, folder, "documents"))
+
+
 def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"))
 
 
+def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.report(table(spark, folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
@@ -49,8 +61,11 @@ QUERIES: dict[str, Query] = {
     "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_context_trees": op7_context_trees,
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
+    "op10_suffixes": op10_suffixes,
 }
 
 OP1_SQL = """

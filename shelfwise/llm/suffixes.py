@@ -197,7 +197,9 @@ def covered(ranges: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, least: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, least: int = 400, doc_id: str = "doc_id", text: str = "text", many_windows: int = MANY_WINDOWS
+) -> DataFrame:
     """Per row: doc_id, n_bytes, spans (start, end of each removed run, in bytes), kept (the remaining bytes).
 
     A byte goes if a string of ``least`` bytes (at least 64) that covers it also starts anywhere else in the corpus, the
@@ -275,8 +277,8 @@ def remove_repeats(docs: DataFrame, least: int = 400, doc_id: str = "doc_id", te
                 )
 
     ranges = "anchor long, d1 long, d2 long, begin long, end long"
-    few = strings.filter(F.col("kinds") <= MANY_WINDOWS).groupBy("shard").applyInPandas(compare, ranges)
-    many = strings.filter(F.col("kinds") > MANY_WINDOWS).mapInPandas(every_start, ranges + ", s1 long, s2 long")
+    few = strings.filter(F.col("kinds") <= many_windows).groupBy("shard").applyInPandas(compare, ranges)
+    many = strings.filter(F.col("kinds") > many_windows).mapInPandas(every_start, ranges + ", s1 long, s2 long")
     twice = many.groupBy("s1", "s2").agg(F.count("*").alias("n")).filter("n > 1").select("s1", "s2")
     partly = few.unionByName(many.join(twice, ["s1", "s2"]).select("anchor", "d1", "d2", "begin", "end"))
     parts = hits.filter("copies = 1 and kinds > 1").join(partly, digest)
