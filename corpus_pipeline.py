@@ -1,24 +1,56 @@
-"""Cleaning pipeline over ``documents``: each stage takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""Cleaning pipeline over ``documents``: each stage takes (spark, docs, sf_dir) and returns a DataFrame.
+
+Each stage's rows are written as Parquet and read again as the next one's ``docs``. All but the last
+return the columns of the documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing
-from shelfwise.llm.common import table
+from shelfwise.llm import bpe, jaccard, mixing, pii, toxicity
+from shelfwise.llm.common import table, tokenizer_path
 from shelfwise.session import stored
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.repeated(mixing.mix(docs))
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from labelled ones among them, doesn't reject."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, "__toxicity").filter(F.col("__toxicity") < toxicity.THRESHOLD).drop("__toxicity")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by near-equal word shingles."""
+    return jaccard.one_of_each(docs)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with pseudonyms in place of personal data, their characters counted anew."""
+    replaced = pii.pseudonymise(docs, count=None)
+    return replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: a document taken twice is two rows."""
+    return mixing.repeated(mixing.mix(docs)).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their token ids (binary, little-endian 32-bit) and the number of them."""
+    encoded = bpe.encode(docs, tokenizer_path("byte_bpe_50k.json"), "ids")
+    return encoded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
 STAGES = [
-    ("mixing", mix),
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("personal_data", replace_personal_data),
+    ("mixing", mix_sources),
+    ("bpe", encode),
 ]
 
-# Trained scores and hashed signatures have no SQL form; tests compare the stages with brute force.
+# Trained scores, hashed signatures and keyed permutations have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
