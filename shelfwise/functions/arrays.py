@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import strip
+from shelfwise.functions.text import flat_text, strip
 
 # Display names of the platforms and the words that reveal them.
 PLATFORM_WORDS = (("Windows", ("windows",)), ("Mac", ("mac", "os x")), ("Linux", ("linux",)))
@@ -16,14 +16,14 @@ def delimited(items: Column, separator: str = "|") -> Column:
     return F.when(F.size(items) > 0, F.array_join(items, separator)).otherwise(F.lit("N/A"))
 
 
-def first_items(items: Column, n: int) -> Column:
-    return F.slice(items, 1, n)
+def first_items(items: Column, n: int | None = None) -> Column:
+    """The first ``n`` items; all by default."""
+    return items if n is None else F.slice(items, 1, n)
 
 
 def distinct_items(items: Column, n: int | None = None) -> Column:
     """Distinct in order of first occurrence, optionally the first ``n``."""
-    unique = F.array_distinct(items)
-    return unique if n is None else F.slice(unique, 1, n)
+    return first_items(F.array_distinct(items), n)
 
 
 def platforms_in(text: Column) -> Column:
@@ -55,21 +55,21 @@ def yes_no(items: Column, word: str) -> Column:
     return F.when(F.coalesce(hit, F.lit(False)), F.lit("Yes")).otherwise(F.lit("No"))
 
 
-def editions(names: Column, prices: Column, n: int = 5) -> Column:
-    """``name: price`` of the first ``n`` items that have both."""
-    pairs = F.slice(F.arrays_zip(names.alias("name"), prices.alias("price")), 1, n)
-    texts = F.transform(pairs, lambda p: F.concat(p["name"], F.lit(": "), p["price"]))
-    return F.array_compact(texts)
+def editions(names: Column, prices: Column, n: int | None = None) -> Column:
+    """``name: price`` of the items (the first ``n``) that have both."""
+    pairs = first_items(F.arrays_zip(names.alias("name"), prices.alias("price")), n)
+    both = F.filter(pairs, lambda p: (p["name"] != "") & (p["price"] != ""))
+    return F.transform(both, lambda p: F.concat(flat_text(p["name"]), F.lit(": "), flat_text(p["price"])))
 
 
-def user_tags(items: Column, n: int = 20) -> Column:
-    """Non-empty tags among the first ``n``, without the "more" marker."""
-    trimmed = F.transform(F.slice(items, 1, n), strip)
+def user_tags(items: Column, n: int | None = None) -> Column:
+    """Non-empty tags (among the first ``n``), without the "more" marker."""
+    trimmed = F.transform(first_items(items, n), strip)
     return F.filter(trimmed, lambda t: (t != "") & (t != "..."))
 
 
-def short_genres(items: Column, n: int = 10, limit: int = 40) -> Column:
-    """First ``n`` genre labels shorter than ``limit`` that are not separators."""
+def short_genres(items: Column, n: int | None = None, limit: int = 40) -> Column:
+    """Genre labels (the first ``n``) shorter than ``limit`` that are not separators."""
     trimmed = F.transform(items, strip)
     kept = F.filter(trimmed, lambda g: (g != "") & (F.length(g) < limit) & ~g.isin("-", ",", "&"))
-    return F.slice(kept, 1, n)
+    return first_items(kept, n)

@@ -39,7 +39,8 @@ def release_date(c: Column, squeezed: bool = False) -> Column:
             parsed = F.when(late, F.add_months(parsed, -1200)).otherwise(parsed)
         candidates.append(F.when(text.rlike(shape), parsed))
     year_only = F.when(text.rlike(r"^\d{4}$"), F.try_to_date(F.concat(text, F.lit("-01-01")), "yyyy-MM-dd"))
-    return F.coalesce(*candidates, year_only)
+    found = F.coalesce(*candidates, year_only)
+    return F.when(F.year(found) >= 1, found)
 
 
 def release_status(date: Column, as_of: Column | None = None) -> Column:

@@ -44,9 +44,7 @@ DESCRIPTION_JUNK = (
     "See new chat messages",
     "friend invites",
 )
-DESCRIPTION_LIMIT = 1000
 DESCRIPTION_MINIMUM = 50
-REQUIREMENTS_LIMIT = 300
 STATUS_TAGS = ("SOON", "PRE-ORDER", "MOD", "COMING")
 
 
@@ -139,11 +137,23 @@ def nfkc(c: Column) -> Column:
 
 
 def replace_mojibake(c: Column) -> Column:
-    """The mojibake table in order, applied only to text that can match a row of it."""
+    """The mojibake table in order, applied only to text that can match a row of it.
+
+    The rows that begin with the second lead character only remove it, so they are one replacement.
+    """
+    first, second = MOJIBAKE[0][0][0], MOJIBAKE[-1][0]
+    removed = F.replace(c, F.lit(second), F.lit(""))
     repaired_text = c
     for damaged, repaired in MOJIBAKE:
-        repaired_text = F.replace(repaired_text, F.lit(damaged), F.lit(repaired))
-    return F.when(c.contains("â") | c.contains("Â"), repaired_text).otherwise(c)
+        if damaged.startswith(first):
+            repaired_text = F.replace(repaired_text, F.lit(damaged), F.lit(repaired))
+    both = F.replace(repaired_text, F.lit(second), F.lit(""))
+    return (
+        F.when(c.contains(first) & c.contains(second), both)
+        .when(c.contains(first), repaired_text)
+        .when(c.contains(second), removed)
+        .otherwise(c)
+    )
 
 
 def fix_encoding(c: Column, repair_first: bool = False) -> Column:
@@ -153,19 +163,20 @@ def fix_encoding(c: Column, repair_first: bool = False) -> Column:
     two table rows into other characters, so these rows do not match. ``repair_first`` runs
     the table before normalisation. Blank text is returned unchanged.
     """
-    repaired = _normalizer()(replace_mojibake(c)) if repair_first else replace_mojibake(nfkc(c))
+    repaired = nfkc(replace_mojibake(c)) if repair_first else replace_mojibake(nfkc(c))
     blanks = F.regexp_replace(F.regexp_replace(repaired, CONTROL_CHARACTERS, ""), r"[ \t]+", " ")
     return F.when(strip(c) != "", strip(blanks)).otherwise(c)
 
 
-def safe_name(c: Column, limit: int = 50, control: bool = False, strip_first: bool = False) -> Column:
-    """File-system name: reserved characters removed and cut to ``limit`` characters.
+def safe_name(c: Column, limit: int | None = None, control: bool = False, strip_first: bool = False) -> Column:
+    """File-system name: reserved characters removed; ``limit`` cuts it to so many characters.
 
     ``control`` also removes control characters; ``strip_first`` trims before the cut.
     """
     reserved = r'[<>:"/\\|?*\x00-\x1F]' if control else r'[<>:"/\\|?*]'
     name = F.regexp_replace(c, reserved, "")
-    return F.left(strip(name) if strip_first else name, F.lit(limit))
+    whole = strip(name) if strip_first else name
+    return whole if limit is None else F.left(whole, F.lit(limit))
 
 
 def slug_title(url: Column) -> Column:
@@ -186,26 +197,29 @@ def with_status_prefix(title: Column, tag: Column) -> Column:
     return F.when(needed, F.concat(tag, F.lit("   "), title)).otherwise(title)
 
 
-def description(summary: Column, meta: Column | None = None) -> Column:
-    """Summary text without ellipsis and page furniture; short ones fall back to the meta tag."""
+def description(summary: Column, meta: Column | None = None, limit: int | None = None) -> Column:
+    """Summary text without ellipsis and page furniture; short ones fall back to the meta tag.
+
+    ``limit`` cuts either to so many characters.
+    """
     long_enough = F.length(strip(summary)) > DESCRIPTION_MINIMUM
     text = F.regexp_replace(strip(summary), r"\.{3,}$", "")
     text = squeeze(text)
     for phrase in DESCRIPTION_JUNK:
         text = strip(F.substring_index(text, phrase, 1))
-    main = _long_part(F.when(long_enough, text))
-    return F.coalesce(main, F.lit("N/A")) if meta is None else F.coalesce(main, _long_part(strip(meta)), F.lit("N/A"))
+    main = _long_part(F.when(long_enough, text), limit)
+    return F.coalesce(main, F.lit("N/A")) if meta is None else F.coalesce(main, _long_part(strip(meta), limit), F.lit("N/A"))
 
 
-def _long_part(c: Column) -> Column:
-    """The first characters of a text that is long enough, else null; reads the text once."""
-    kept = F.regexp_extract(c, rf"(?s)^.{{{DESCRIPTION_MINIMUM + 1},{DESCRIPTION_LIMIT}}}", 0)
+def _long_part(c: Column, limit: int | None) -> Column:
+    """A text that is long enough, cut to ``limit`` characters, else null; reads the text once."""
+    kept = F.regexp_extract(c, rf"(?s)^.{{{DESCRIPTION_MINIMUM + 1},{'' if limit is None else limit}}}", 0)
     return F.nullif(kept, F.lit(""))
 
 
-def requirements_text(c: Column) -> Column:
-    """First characters of a requirements block."""
-    return F.left(strip(c), F.lit(REQUIREMENTS_LIMIT))
+def requirements_text(c: Column, limit: int | None = None) -> Column:
+    """A requirements block, cut to ``limit`` characters."""
+    return strip(c) if limit is None else F.left(strip(c), F.lit(limit))
 
 
 def requirements_list(items: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwise.functions.arrays import distinct_items, first_items
+
 # --------------------------------------------------------------------------
 # File names, patterns and link forms of the stores.
 # --------------------------------------------------------------------------
@@ -28,7 +30,6 @@ TRAILER_PATTERNS = (
 EXCLUDED_VIDEO_WORDS = ("steamdeck", "hardware")
 CONSTRUCTED_VIDEO = ("https://cdn.akamai.steamstatic.com/steam/apps/", "/movie480.webm")
 TRAILERS_SCHEMA = "trailers array<struct<hlsManifest string, dashManifests array<string>>>"
-MAX_VIDEOS = 3
 
 
 def product_id(url: Column) -> Column:
@@ -85,9 +86,9 @@ def unescaped_json(attribute: Column) -> Column:
     return F.replace(text, F.lit("\\/"), F.lit("/"))
 
 
-def trailer_urls(attribute: Column) -> Column:
-    """One link per trailer (first three): direct file from its HLS manifest, else DASH."""
-    trailers = F.slice(F.from_json(unescaped_json(attribute), TRAILERS_SCHEMA)["trailers"], 1, MAX_VIDEOS)
+def trailer_urls(attribute: Column, most: int | None = None) -> Column:
+    """One link per trailer (of the first ``most``): direct file from its HLS manifest, else DASH."""
+    trailers = first_items(F.from_json(unescaped_json(attribute), TRAILERS_SCHEMA)["trailers"], most)
 
     def link(trailer: Column) -> Column:
         hls = F.nullif(trailer["hlsManifest"], F.lit(""))
@@ -98,33 +99,33 @@ def trailer_urls(attribute: Column) -> Column:
     return F.coalesce(F.array_compact(links), F.array().cast("array<string>"))
 
 
-def page_video_urls(html: Column) -> Column:
-    """Links found in the page source, embedded files before trailers, excluded words dropped."""
-    embedded = F.slice(F.regexp_extract_all(html, F.lit(EMBEDDED_VIDEO_PATTERN), 1), 1, MAX_VIDEOS)
+def page_video_urls(html: Column, most: int | None = None) -> Column:
+    """Links found in the page source, embedded files (the first ``most``) before trailers, excluded words dropped."""
+    embedded = first_items(F.regexp_extract_all(html, F.lit(EMBEDDED_VIDEO_PATTERN), 1), most)
     trailers = F.concat(*[F.regexp_extract_all(html, F.lit(p), 1) for p in TRAILER_PATTERNS])
     allowed = F.filter(trailers, lambda u: ~F.lower(u).rlike("|".join(EXCLUDED_VIDEO_WORDS)))
     return F.array_distinct(F.concat(embedded, allowed))
 
 
-def video_urls(embedded: Column, attribute: Column, source_links: Column, page_url: Column) -> Column:
-    """Up to three distinct video links: embedded, JSON trailers, page source, constructed.
-
-    ``source_links`` are the page's own links as found by ``page_video_urls``.
+def video_urls(
+    embedded: Column, attribute: Column, source_links: Column, page_url: Column, most: int | None = None
+) -> Column:
+    """Distinct video links: embedded, JSON trailers, page source, constructed.
 
-    A later step only adds links while fewer than three are known; the constructed link is
+    ``source_links`` are the page's own links as found by ``page_video_urls``. With ``most``, so many links
+    are kept, and a later step only adds links while fewer are known. The constructed link is
     used when nothing else was found.
     """
+    lacking = lambda links: F.lit(True) if most is None else F.size(links) < most
     none = F.array().cast("array<string>")
-    own = F.slice(F.filter(F.coalesce(embedded, none), lambda u: u.contains("store_item_assets")), 1, MAX_VIDEOS)
-    with_trailers = F.when(F.size(own) < MAX_VIDEOS, F.concat(own, trailer_urls(attribute))).otherwise(own)
-    found = F.when(
-        F.size(with_trailers) < MAX_VIDEOS, F.concat(with_trailers, source_links)
-    ).otherwise(with_trailers)
+    own = first_items(F.filter(F.coalesce(embedded, none), lambda u: u.contains("store_item_assets")), most)
+    with_trailers = F.when(lacking(own), F.concat(own, trailer_urls(attribute, most))).otherwise(own)
+    found = F.when(lacking(with_trailers), F.concat(with_trailers, source_links)).otherwise(with_trailers)
     number = app_id(page_url)
     constructed = F.when(
         number.isNotNull(), F.array(F.concat(F.lit(CONSTRUCTED_VIDEO[0]), number, F.lit(CONSTRUCTED_VIDEO[1])))
     ).otherwise(none)
-    return F.slice(F.array_distinct(F.when(F.size(found) > 0, found).otherwise(constructed)), 1, MAX_VIDEOS)
+    return distinct_items(F.when(F.size(found) > 0, found).otherwise(constructed), most)
 
 
 def video_extension(url: Column) -> Column:

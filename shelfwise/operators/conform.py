@@ -87,6 +87,13 @@ def conform_all(
     names the arrival column of every source; it stays in the result for later tie-breaks.
     """
     renamed = union_sources([to_standard_names(df, source) for source, df in sources.items()])
+    return conform_renamed(renamed, order, keep_null_urls, price_locale)
+
+
+def conform_renamed(
+    renamed: DataFrame, order: str, keep_null_urls: bool = False, price_locale: str = "eu"
+) -> DataFrame:
+    """The same for records of all sources in one frame, in standard names with their ``data_source``."""
     kept = unique_urls(titled(renamed), [F.col(order)], keep_null=keep_null_urls)
     return unified(standardised(kept, price_locale), order)
 
@@ -98,7 +105,12 @@ def conform_source(df: DataFrame, source: str, order: str, **options) -> DataFra
 
 def master_records(sources: dict[str, DataFrame], order: str) -> DataFrame:
     """The deduplicated master table over all sources."""
-    return best_per_title(conform_all(sources, order), [F.col(order)]).drop(order)
+    return master_of(conform_all(sources, order), order)
+
+
+def master_of(conformed: DataFrame, order: str) -> DataFrame:
+    """The best record of each title among conformed ones."""
+    return best_per_title(conformed, [F.col(order)]).drop(order)
 
 
 def column_subset(df: DataFrame, names) -> DataFrame:

@@ -12,11 +12,11 @@ from shelfwise.functions.numbers import zero_to_null
 from shelfwise.functions.text import genre_names
 from shelfwise.operators.numbering import numbered
 from shelfwise.schemas import MODEL, ddl
-from shelfwise.sources.tables import run_sql  # noqa: F401  (re-exported: ad-hoc SQL on the model)
+from shelfwise.session import staging
+from shelfwise.sources.csv import save_table
+from shelfwise.sources.media import register_media
 
 RATING_RANGE = (0, 100)
-# Largest genre table that is broadcast: names are short, so this stays within tens of megabytes.
-BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Catalogue:
     def save(self, folder: str, mode: str = "errorifexists") -> None:
         """Write each table once; with ``mode="ignore"`` tables that exist are left as they are."""
         for name in ("games", "genres", "game_genres"):
-            getattr(self, name).write.mode(mode).parquet(f"{folder}/{name}")
+            save_table(getattr(self, name), f"{folder}/{name}", mode)
 
     @classmethod
     def load(cls, spark, folder: str) -> Catalogue:
@@ -77,26 +77,24 @@ def genre_table(pairs: DataFrame) -> DataFrame:
     return named.withColumn("description", F.lit(None).cast("string"))
 
 
-def bridge_table(pairs: DataFrame, genres: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(game_id, genre_id) by name.
-
-    The numbered genres are already stored, so counting them is cheap: up to
-    ``broadcast_rows`` they are broadcast and the pairs, among them the hot genres, are not
-    shuffled. A larger table is joined by a shuffle whose skewed partitions are split at run time.
-    """
+def bridge_table(pairs: DataFrame, genres: DataFrame) -> DataFrame:
+    """(game_id, genre_id) by name; adaptive execution broadcasts the genres or splits hot ones."""
     named = genres.select("genre_name", F.col("id").alias("genre_id"))
-    if genres.select("id").limit(broadcast_rows + 1).count() <= broadcast_rows:
-        named = F.broadcast(named)
     return pairs.join(named, "genre_name").select("game_id", "genre_id")
 
 
+def next_id(table: DataFrame) -> int:
+    """The highest id of a stored table, after which new ones continue; 0 for an empty one."""
+    return table.agg(F.max("id")).first()[0] or 0
+
+
 def build_catalogue(final: DataFrame, zero_is_null: bool = True) -> Catalogue:
     """Games, genres and the bridge. Numbering stores its input, so the games' ids are fixed
     before the bridge refers to them."""
     games = game_table(final, zero_is_null)
     pairs = genre_pairs(games)
     genres = genre_table(pairs)
-    links = bridge_table(pairs, genres)
+    links = numbered(bridge_table(pairs, genres))
     stamped = games.drop("genre_list").withColumn("created_at", F.current_timestamp())
     return Catalogue(stamped, genres, links)
 
@@ -116,7 +114,8 @@ def load_if_empty(final: DataFrame, folder: str, zero_is_null: bool = True) -> b
     stored_games = Catalogue.load(final.sparkSession, folder).games
     if not stored_games.isEmpty():
         return False
-    build_catalogue(final, zero_is_null).save(folder, mode="append")
+    with staging(final.sparkSession):
+        build_catalogue(final, zero_is_null).save(folder, mode="append")
     return True
 
 
@@ -153,6 +152,32 @@ def cascade_delete(child: DataFrame, column: str, parent: DataFrame, key: str) -
     return child.join(parent.select(F.col(key).alias(column)), column, "left_semi")
 
 
+def audit_keys(name: str, table: DataFrame) -> dict[str, DataFrame]:
+    """Missing and repeated ids of one table."""
+    return {f"{name}.id not null": audit_not_null(table, ["id"], "id"), f"{name}.id unique": audit_unique(table.filter("id is not null"), ["id"])}
+
+
+def violations(checks: dict[str, DataFrame]) -> DataFrame:
+    """One row per rule with the number of rows that break it."""
+    counts = [df.agg(F.count("*").alias("violations")).select(F.lit(r).alias("rule"), "violations") for r, df in checks.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def audit_intake(games: DataFrame, media: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Violations per rule of the tables that are filled after the load."""
+    rating = F.col("rating").between(*RATING_RANGE)
+    return violations(
+        audit_keys("media_files", media)
+        | {"media_files.game_id references games": audit_foreign_key(media, "game_id", games, "id")}
+        | audit_keys("user_reviews", reviews)
+        | {
+            "user_reviews.user_name not null": audit_not_null(reviews, ["user_name"], "id"),
+            "user_reviews.rating in range": audit_check(reviews, rating),
+            "user_reviews.game_id references games": audit_foreign_key(reviews, "game_id", games, "id"),
+        }
+    )
+
+
 def audit_catalogue(games: DataFrame, genres: DataFrame, game_genres: DataFrame) -> DataFrame:
     """Violations per rule of the model, one row per rule."""
     checks = {
@@ -164,12 +189,11 @@ def audit_catalogue(games: DataFrame, genres: DataFrame, game_genres: DataFrame)
         "game_genres.game_id references games": audit_foreign_key(game_genres, "game_id", games, "id"),
         "game_genres.genre_id references genres": audit_foreign_key(game_genres, "genre_id", genres, "id"),
     }
-    counts = [df.agg(F.count("*").alias("violations")).select(F.lit(r).alias("rule"), "violations") for r, df in checks.items()]
-    return reduce(DataFrame.unionByName, counts)
+    return violations(checks)
 
 
 # --------------------------------------------------------------------------
-# Review intake.
+# Review and media intake.
 # --------------------------------------------------------------------------
 
 def _rating_ok() -> Column:
@@ -196,6 +220,24 @@ def rejected_reviews(batch: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def append_reviews(batch: DataFrame, games: DataFrame, path: str, quarantine: str) -> None:
-    """Append accepted reviews to the review table and the rest to the quarantine table."""
-    accepted_reviews(batch, games).write.mode("append").parquet(path)
+    """Append accepted reviews to the review table and the rest to the quarantine table.
+
+    Ids continue after the highest stored one; a missing review date is the time of the append.
+    """
+    stored_reviews = batch.sparkSession.read.schema(ddl(MODEL["user_reviews"])).parquet(path)
+    accepted = accepted_reviews(batch.drop("id"), games)
+    if "review_date" not in accepted.columns:
+        accepted = accepted.withColumn("review_date", F.lit(None).cast("timestamp"))
+    dated = accepted.withColumn("review_date", F.coalesce("review_date", F.current_timestamp()))
+    named = [F.col(c).cast(kind).alias(c) for c, kind in MODEL["user_reviews"].items() if c in dated.columns]
+    with staging(batch.sparkSession):
+        save_table(numbered(dated.select(*named), start=next_id(stored_reviews)), path, "append")
     rejected_reviews(batch, games).write.mode("append").parquet(quarantine)
+
+
+def append_media(files: DataFrame, games: DataFrame, path: str) -> None:
+    """Append the media rows of a ``(path, length)`` listing, stamped; ids continue after the highest stored one."""
+    stored_media = files.sparkSession.read.schema(ddl(MODEL["media_files"])).parquet(path)
+    rows = register_media(files, games).withColumn("uploaded_at", F.current_timestamp())
+    with staging(files.sparkSession):
+        save_table(numbered(rows, start=next_id(stored_media)), path, "append")

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from shelfwise.session import stored
 
 
-def numbered(df: DataFrame, *order: Column | str, name: str = "id") -> DataFrame:
+def numbered(df: DataFrame, *order: Column | str, name: str = "id", start: int = 0) -> DataFrame:
     """1, 2, 3, ... as a new first column.
 
     Without an order, rows are numbered where they are: nothing is shuffled. With an order,
     which is meant for small tables, they are range-partitioned and sorted in parallel first.
     The rows are stored once; a row's number is its place in its file plus the rows of the
-    files before. Files do not change, so later readers and retries see the same numbers. The
-    offsets have one row per file, as the driver's file listing has, which is what bounds the
-    broadcast and the window.
+    files before. Files do not change, so later readers and retries see the same numbers.
+    Numbers begin after ``start``.
     """
     arranged = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     placed = stored(arranged).select(
@@ -26,6 +25,6 @@ def numbered(df: DataFrame, *order: Column | str, name: str = "id") -> DataFrame
     before = Window.orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_file").agg(F.count("*").alias("_size"))
     offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return placed.join(F.broadcast(offsets), "_file").select(
-        (F.col("_offset") + F.col("_row") + 1).cast("bigint").alias(name), *df.columns
+    return placed.join(offsets, "_file").select(
+        (F.col("_offset") + F.col("_row") + 1 + start).cast("bigint").alias(name), *df.columns
     )

@@ -8,6 +8,7 @@ genre's name is joined to its one aggregated row, never to the bridge.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,11 +115,17 @@ def genre_facts(games: DataFrame, game_genres: DataFrame, *columns: str) -> Data
     return game_genres.select("game_id", "genre_id").join(facts, "game_id")
 
 
-def with_genre_name(stats: DataFrame, genres: DataFrame) -> DataFrame:
-    return stats.join(genres.select(F.col("id").alias("genre_id"), "genre_name"), "genre_id").drop("genre_id")
+def with_genre_name(stats: DataFrame, genres: DataFrame, exclude_unknown: bool = False) -> DataFrame:
+    """Names for genre ids; on request without the imputed placeholder."""
+    names = genres.select(F.col("id").alias("genre_id"), "genre_name")
+    if exclude_unknown:
+        names = names.filter(F.col("genre_name") != UNKNOWN)
+    return stats.join(names, "genre_id").drop("genre_id")
 
 
-def genre_price_stats(games: DataFrame, game_genres: DataFrame, genres: DataFrame) -> DataFrame:
+def genre_price_stats(
+    games: DataFrame, game_genres: DataFrame, genres: DataFrame, exclude_unknown: bool = False
+) -> DataFrame:
     """Average original price and rating per genre over priced games.
 
     The bridge holds a (game, genre) pair once, so counting rows counts distinct games.
@@ -129,15 +136,16 @@ def genre_price_stats(games: DataFrame, game_genres: DataFrame, genres: DataFram
         F.count("*").alias("game_count"),
         rounded_mean(F.col("rating"), 2).alias("avg_rating"),
     )
-    return with_genre_name(stats, genres)
+    return with_genre_name(stats, genres, exclude_unknown)
 
 
 def genre_price(
-    games: DataFrame, game_genres: DataFrame, genres: DataFrame, min_games: int = 10, n: int = 10
+    games: DataFrame, game_genres: DataFrame, genres: DataFrame, min_games: int = 10, n: int = 10,
+    exclude_unknown: bool = False,
 ) -> DataFrame:
     """Genres by average price."""
     order = [F.col("avg_price").desc(), F.col("genre_name")]
-    stats = genre_price_stats(games, game_genres, genres).filter(F.col("game_count") >= min_games)
+    stats = genre_price_stats(games, game_genres, genres, exclude_unknown).filter(F.col("game_count") >= min_games)
     return ranked(top(stats, n, *order), *order)
 
 
@@ -156,14 +164,16 @@ def developer_efficiency(
     return ranked(top(stats.filter(F.col("total_games") >= min_games), n, *order), *order)
 
 
-def cross_platform(games: DataFrame, min_platforms: int = 1, n: int = 10, split_lists: bool = False) -> DataFrame:
+def cross_platform(
+    games: DataFrame, min_platforms: int = 1, n: int = 10, split_lists: bool = False, exclude_unknown: bool = False
+) -> DataFrame:
     """Titles on more than ``min_platforms`` distinct platforms, with the platform list.
 
     Rows are first combined per (title, platform), which bounds what a hot title sends to
     its reducer by its number of platforms. ``split_lists`` counts the single platforms of
     comma lists; a game's rating still counts once per listed platform.
     """
-    kept = games.filter(named("platform"))
+    kept = games.filter(named("platform", exclude_unknown))
     platform = F.explode(F.split("platform", r",\s*")) if split_lists else F.col("platform")
     pairs = (
         kept.select("game_title", platform.alias("platform"), "rating", "review_count")
@@ -186,7 +196,8 @@ def cross_platform(games: DataFrame, min_platforms: int = 1, n: int = 10, split_
 
 
 def genre_reviews(
-    games: DataFrame, game_genres: DataFrame, genres: DataFrame, min_games: int = 5, n: int = 10
+    games: DataFrame, game_genres: DataFrame, genres: DataFrame, min_games: int = 5, n: int = 10,
+    exclude_unknown: bool = False,
 ) -> DataFrame:
     """Genres by total review volume."""
     facts = genre_facts(games, game_genres, "review_count", "rating").filter(F.col("review_count").isNotNull())
@@ -197,7 +208,7 @@ def genre_reviews(
         rounded_mean(F.col("review_count"), 0).alias("avg_reviews_per_game"),
     )
     order = [F.col("total_reviews").desc(), F.col("genre_name")]
-    enough = with_genre_name(stats.filter(F.col("game_count") >= min_games), genres)
+    enough = with_genre_name(stats.filter(F.col("game_count") >= min_games), genres, exclude_unknown)
     return ranked(top(enough, n, *order), *order)
 
 
@@ -221,3 +232,21 @@ def all_questions(games: DataFrame, game_genres: DataFrame, genres: DataFrame) -
     """Every business question as a lazy result."""
     answers = {name: build(games) for name, build in GAME_QUESTIONS.items()}
     return answers | {name: build(games, game_genres, genres) for name, build in GENRE_QUESTIONS.items()}
+
+
+def long_form(answers: dict[str, DataFrame]) -> DataFrame:
+    """All results in one: a row per question, position and field, with its text or its number."""
+    frames = []
+    for name, answer in answers.items():
+        cells = [
+            F.struct(
+                F.lit(c).alias("field"),
+                (F.col(c) if kind == "string" else F.lit(None).cast("string")).alias("text"),
+                (F.lit(None).cast("double") if kind == "string" else F.col(c).cast("double")).alias("number"),
+            )
+            for c, kind in answer.dtypes
+            if c != "position"
+        ]
+        place = F.col("position") if "position" in answer.columns else F.lit(1)
+        frames.append(answer.select(F.lit(name).alias("question"), place.alias("position"), F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, frames)

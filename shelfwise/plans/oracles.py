@@ -265,6 +265,27 @@ ORACLES["discount_by_genre_source"] = f"""WITH {GENRE_MODEL}
 SELECT genre_name, data_source, COUNT(*) AS games_on_sale, {mean_price('discount_percentage * 100')} AS avg_discount,
  CAST(MAX(discount_percentage) AS DOUBLE) AS max_discount
 FROM pairs JOIN games ON id = game_id WHERE discount_percentage > 0 GROUP BY genre_name, data_source"""
+ORACLES["bq7_known"] = ORACLES["bq7_genre_price"].replace("WHERE game_count", "WHERE genre_name <> 'ring' AND game_count")
+ORACLES["bq10_known"] = ORACLES["bq10_genre_reviews"].replace("WHERE review_count", "WHERE genre_name <> 'ring' AND review_count")
+ORACLES["price_by_genre_known"] = ORACLES["price_by_genre"].replace("AS lo FROM g)", "AS lo FROM g WHERE genre_name <> 'ring')")
+ORACLES["discount_by_genre_source_known"] = ORACLES["discount_by_genre_source"].replace(
+    "WHERE discount", "WHERE genre_name <> 'ring' AND discount"
+)
+ORACLES["bq9_known"] = f"WITH {GAMES}, known AS (SELECT * FROM games WHERE id % 3 <> 0), {_cross_platform('known', 1)}"
+_ANSWERS = {
+    "bq1_top_rated": (["game_title"], ["rating", "review_count"]),
+    "bq2_top_performers": (["game_title", "data_source", "platform"], ["rating", "review_count"]),
+    "bq3_hidden_gems": (["game_title", "data_source", "developer"], ["rating", "review_count"]),
+    "bq4_consistent_publishers": (["publisher"], ["avg_rating", "total_games", "min_rating", "max_rating"]),
+    "bq5_platform_pricing": (["platform"], ["avg_discounted_price", "game_count"]),
+    "bq6_discount_deals": (
+        ["game_title", "platform"], ["rating", "original_price", "discounted_price", "discount_percentage", "savings"],
+    ),
+    "bq8_developer_efficiency": (["developer"], ["total_games", "avg_rating", "total_reviews", "avg_price"]),
+    "bq9_cross_platform": (["game_title", "platforms"], ["platform_count", "avg_rating", "avg_reviews"]),
+    "bq7_genre_price": (["genre_name"], ["avg_price", "game_count", "avg_rating"]),
+    "bq10_genre_reviews": (["genre_name"], ["game_count", "total_reviews", "avg_rating", "avg_reviews_per_game"]),
+}
 ORACLES["price_rating_corr"] = f"""WITH {GAMES}
 SELECT COUNT(*) AS n, ROUND(CORR(disc_cents / 100, rating), 6) AS price_rating_corr FROM games
 WHERE disc_cents IS NOT NULL AND rating IS NOT NULL"""
@@ -359,6 +380,14 @@ SELECT r.id, game_id, r.rating, CASE WHEN r.rating NOT BETWEEN 0 AND 100 THEN 'r
 FROM reviews r LEFT JOIN games g ON g.id = game_id
 WHERE r.rating NOT BETWEEN 0 AND 100 OR user_name IS NULL OR g.id IS NULL"""
 ORACLES["model_games"] = f"WITH {_LOADED} SELECT * EXCLUDE (genres, id) FROM loaded"
+_RULES = [
+    *(f"{t}.id {r}" for t in ("games", "genres", "game_genres", "media_files", "user_reviews") for r in ("not null", "unique")),
+    "games.game_title not null", "genres.genre_name not null", "genres.genre_name unique", "game_genres pair unique",
+    "game_genres.game_id references games", "game_genres.genre_id references genres",
+    "media_files.game_id references games", "user_reviews.game_id references games", "user_reviews.user_name not null",
+    "user_reviews.rating in range",
+]
+ORACLES["audit_stored_model"] = f"SELECT UNNEST({_RULES}) AS rule, 0 AS violations"
 ORACLES["model_genres"] = f"""WITH {_LOADED}, links AS (
  SELECT DISTINCT id, trim(UNNEST(string_split(genres, ','))) AS genre_name FROM loaded)
 SELECT genre_name, COUNT(*) AS game_count FROM links WHERE genre_name <> '' GROUP BY genre_name"""
@@ -494,6 +523,8 @@ SELECT id, tag, CASE WHEN tag <> '' AND NOT starts_with(title, tag) THEN tag ||
 ORACLES["conform_union"] = f"WITH {CONFORMED} SELECT * FROM conformed"
 ORACLES["column_mapping"] = f"""WITH {LISTINGS} SELECT {present('url_raw')} AS game_url, {present('rating_raw')} AS rating_raw,
  {present('price_raw')} AS current_price_raw, genres_raw AS genres, data_source FROM listings WHERE data_source = 'instant_gaming'"""
+ORACLES["csv_replacing"] = f"""WITH {LISTINGS} SELECT title_raw || ' ' || chr(65533) || ', "' || chr(65533) || '"' || chr(10) || chr(65533) AS title,
+ CAST(id AS VARCHAR) AS id FROM listings"""
 ORACLES["csv_round_trip"] = f"""WITH {LISTINGS} SELECT title_raw || ' é, "ü"' || chr(10) || 'ß' AS title, CAST(id AS VARCHAR) AS id,
  genres_raw, url_raw AS url FROM listings"""
 ORACLES["stored_model"] = ORACLES["bq7_genre_price"]
@@ -595,7 +626,7 @@ def _manifest(header: str, screenshots: int, videos: int, image: str, stream: st
     return f"""WITH {LINKS},
 shots AS (SELECT page_id, position, href || ['.PNG', '.webp', '.jpg'][page_id % 3 + 1] AS u, {image} AS e FROM links),
 vids AS (SELECT page_id, position, href || ['.mp4', '.m3u8', '.webm'][position % 3 + 1] AS u, ['.mp4', '{stream}', '.webm'][position % 3 + 1] AS e
- FROM links WHERE position < page_id % 5 AND position < {videos})
+ FROM links WHERE position < {videos})
 SELECT page_id AS id, 'header' AS media_type, 1 AS idx, '{header}' AS file_name, url || '/cover.jpg' AS media_url FROM pages WHERE page_id % 4 <> 0
 UNION ALL SELECT page_id, 'image', position + 1, CONCAT('screenshot_', CAST(position + 1 AS VARCHAR), '.', e), u FROM shots WHERE position < {screenshots}
 UNION ALL SELECT page_id, 'video', position + 1, CONCAT('video_', CAST(position + 1 AS VARCHAR), e), u FROM vids"""
@@ -699,5 +730,16 @@ ORACLES["crawl_completeness"] = f"""WITH {_STORE_C}, t AS ({tall(
 SELECT field, filled, total, {pct('filled', 'total')} AS pct FROM t"""
 
 
+def _cells(question: str, texts: list[str], numbers: list[str]) -> str:
+    place = "1" if question == "bq5_platform_pricing" else "position"
+    cells = [f"{{'field': '{c}', 'text': CAST({c} AS VARCHAR), 'number': CAST(NULL AS DOUBLE)}}" for c in texts]
+    cells += [f"{{'field': '{c}', 'text': CAST(NULL AS VARCHAR), 'number': CAST({c} AS DOUBLE)}}" for c in numbers]
+    return f"""SELECT '{question}' AS question, CAST({place} AS INT) AS position, c.field AS field, c.text AS text, c.number AS number
+FROM (SELECT *, UNNEST([{', '.join(cells)}]) AS c FROM ({ORACLES[question]}))"""
+
+
+ORACLES["all_questions"] = " UNION ALL ".join(_cells(q, *columns) for q, columns in _ANSWERS.items())
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from shelfwise.functions import arrays, dates, numbers, text, urls
 from shelfwise.operators import clean, conform, dedup, model, quality
 from shelfwise.plans import business, lookups, research
-from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
+from shelfwise.schemas import MODEL, SOURCE_A, SOURCE_B, SOURCE_C, ddl
 from shelfwise.session import shared_folder
 from shelfwise.sources import adapters, media, pages
-from shelfwise.sources.csv import ARRIVAL, export_csv, read_csv
+from shelfwise.sources.csv import ARRIVAL, export_csv, read_csv, read_csv_replacing
+from shelfwise.sources.profiles import PUBLISHED_CUTS
 from shelfwise.sources.tables import run_sql, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,35 @@ def _genre_question(question) -> Query:
     return lambda spark, folder: question(*adapters.genre_model(spark, folder))
 
 
+def _with_unknown(question) -> Query:
+    """A genre question that leaves out the placeholder, here in place of one of the genres."""
+
+    def build(spark, folder):
+        games, links, genres = adapters.genre_model(spark, folder)
+        hidden = F.when(F.col("genre_name") == "ring", clean.UNKNOWN).otherwise(F.col("genre_name"))
+        return question(games, links, genres.withColumn("genre_name", hidden), exclude_unknown=True)
+
+    return build
+
+
+QUERIES["bq7_known"] = _with_unknown(business.genre_price)
+QUERIES["bq10_known"] = _with_unknown(business.genre_reviews)
+QUERIES["price_by_genre_known"] = _with_unknown(research.price_by_genre)
+QUERIES["discount_by_genre_source_known"] = _with_unknown(research.discount_by_genre_and_source)
+
+
+@query
+def bq9_known(spark, folder):
+    games = adapters.games(spark, folder)
+    hidden = F.when(F.col("id") % 3 == 0, clean.UNKNOWN).otherwise(F.col("platform"))
+    return business.cross_platform(games.withColumn("platform", hidden), exclude_unknown=True)
+
+
+@query
+def all_questions(spark, folder):
+    return business.long_form(business.all_questions(*adapters.genre_model(spark, folder)))
+
+
 for _name, _question in business.GAME_QUESTIONS.items():
     QUERIES[_name] = _game_question(_question)
 for _name, _question in business.GENRE_QUESTIONS.items():
@@ -72,8 +102,7 @@ def value_by_price_bucket(spark, folder):
 
 @query
 def rating_gap(spark, folder):
-    sources = adapters.landing_sources(spark, folder)
-    return research.rating_gap(conform.conform_all(sources, "ingest_ord"))
+    return research.rating_gap(conform.conform_renamed(adapters.landing_records(spark, folder), "ingest_ord"))
 
 
 @query
@@ -220,6 +249,27 @@ def model_games(spark, folder):
     )
 
 
+@query
+def audit_stored_model(spark, folder):
+    """A stored load, with media and reviews appended in two batches: violations per rule of all five tables."""
+    path = shared_folder(spark)
+    model.create_tables(spark, path)
+    model.load_if_empty(clean.final_records(_master(spark, folder), as_of()), path)
+    stored = model.Catalogue.load(spark, path)
+    files, reviews = adapters.media_listing(spark, folder), adapters.user_reviews(spark, folder)
+    for batch in (0, 1):
+        own = F.pmod(F.xxhash64("path"), F.lit(2)) == batch
+        model.append_media(files.filter(own), stored.games, f"{path}/media_files")
+        model.append_reviews(reviews.filter(F.col("id") % 2 == batch), stored.games, f"{path}/user_reviews", f"{path}/rejected")
+    intake = [spark.read.schema(ddl(MODEL[n])).parquet(f"{path}/{n}") for n in ("media_files", "user_reviews")]
+    keys = model.audit_keys("games", stored.games) | model.audit_keys("genres", stored.genres)
+    return (
+        model.audit_catalogue(stored.games, stored.genres, stored.game_genres).filter("rule <> 'games.id unique'")
+        .unionByName(model.violations(keys | model.audit_keys("game_genres", stored.game_genres)))
+        .unionByName(model.audit_intake(stored.games, *intake))
+    )
+
+
 @query
 def model_genres(spark, folder):
     """Genre names and links of the loaded model."""
@@ -416,7 +466,7 @@ def safe_name(spark, folder):
     docs = table(spark, folder, "documents")
     risky = F.concat(F.lit(' <a>:"b/\\|?*\x07 '), "text")
     return docs.select(
-        "doc_id", text.safe_name(risky).alias("short_name"),
+        "doc_id", text.safe_name(risky, 50).alias("short_name"),
         text.safe_name(risky, 80, control=True, strip_first=True).alias("long_name"),
     )
 
@@ -427,16 +477,16 @@ def description_clean(spark, folder):
     summary = (
         F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("  Originally released in 1999")))
         .when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit("....  ")))
-        .otherwise(F.left("text", F.lit(45)))
+        .otherwise(F.concat(F.lit("Short note from "), F.col("source")))
     )
-    return docs.select("doc_id", text.description(summary, F.concat("lang", F.lit(" "), "source", F.lit(": "), "text")).alias("description"))
+    return docs.select("doc_id", text.description(summary, F.concat("lang", F.lit(" "), "source", F.lit(": "), "text"), 1000).alias("description"))
 
 
 @query
 def requirements_text(spark, folder):
     docs = table(spark, folder, "documents")
     return docs.select(
-        "doc_id", text.requirements_text(F.col("text")).alias("short"),
+        "doc_id", text.requirements_text(F.col("text"), 300).alias("short"),
         text.requirements_list(F.split("text", "\n")).alias("listed"),
     )
 
@@ -481,11 +531,11 @@ def status_prefix(spark, folder):
 # --------------------------------------------------------------------------
 
 def _conformed(spark, folder) -> DataFrame:
-    return conform.conform_all(adapters.landing_sources(spark, folder), "ingest_ord")
+    return conform.conform_renamed(adapters.landing_records(spark, folder), "ingest_ord")
 
 
 def _master(spark, folder) -> DataFrame:
-    return conform.master_records(adapters.landing_sources(spark, folder), "ingest_ord")
+    return conform.master_of(_conformed(spark, folder), "ingest_ord")
 
 
 @query
@@ -511,7 +561,18 @@ def csv_round_trip(spark, folder):
     for remainder, charset in ((0, "UTF-8"), (1, "ISO-8859-1")):
         part = rows.filter(F.col("id").cast("bigint") % 2 == remainder)
         export_csv(part, path, "append", charset)
-    return read_csv(spark, path).drop(ARRIVAL)
+    return read_csv(spark, path, multi_line=True).drop(ARRIVAL)
+
+
+@query
+def csv_replacing(spark, folder):
+    """The listings written in Latin-1 and read as UTF-8."""
+    rows = adapters.listings(spark, folder).select(
+        F.concat("title_raw", F.lit(" é, \"ü\"\nß")).alias("title"), F.col("id").cast("string").alias("id")
+    )
+    path = shared_folder(spark)
+    export_csv(rows, path, "append", "ISO-8859-1")
+    return read_csv_replacing(spark, path, multi_line=True).drop(ARRIVAL)
 
 
 @query
@@ -690,7 +751,9 @@ def page_links(spark, folder):
 
 
 def _manifest(source: str) -> Query:
-    return lambda spark, folder: media.media_manifest(adapters.media_records(spark, folder), source, "id")
+    return lambda spark, folder: media.media_manifest(
+        adapters.media_records(spark, folder), source, "id", **media.PUBLISHED_COUNTS[source]
+    )
 
 
 QUERIES["media_manifest"] = _manifest(SOURCE_A)
@@ -702,7 +765,7 @@ QUERIES["media_manifest_c"] = _manifest(SOURCE_C)
 def video_candidates(spark, folder):
     rows = adapters.trailer_attributes(spark, folder)
     none = F.array().cast("array<string>")
-    found = urls.video_urls(none, F.col("attribute"), urls.page_video_urls(F.col("html")), F.col("url"))
+    found = urls.video_urls(none, F.col("attribute"), urls.page_video_urls(F.col("html"), 3), F.col("url"), 3)
     direct = urls.direct_video_urls(F.concat(F.lit("https://v/"), F.col("page_id"), F.lit("/hls_264.m3u8")))
     return rows.select("page_id", F.array_join(found, " ").alias("videos"), F.array_join(direct, " ").alias("direct"))
 
@@ -710,7 +773,8 @@ def video_candidates(spark, folder):
 def _records(source: str, *drop: str) -> Query:
     def build(spark, folder):
         found = pages.store_records(
-            adapters.listing_pages(spark, folder, source), adapters.detail_pages(spark, folder, source), source
+            adapters.listing_pages(spark, folder, source), adapters.detail_pages(spark, folder, source), source,
+            PUBLISHED_CUTS[source],
         )
         lists = [n for n, t in found.dtypes if t.startswith("array")]
         return found.withColumns({n: F.array_join(n, " ; ") for n in lists}).drop(*drop)

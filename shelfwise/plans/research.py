@@ -15,9 +15,11 @@ AGE_CLASSES = ((365, "0-1 years"), (1095, "1-3 years"), (1825, "3-5 years"))
 OLDEST_CLASS = "5+ years"
 
 
-def price_by_genre(games: DataFrame, game_genres: DataFrame, genres: DataFrame, n: int = 10) -> DataFrame:
+def price_by_genre(
+    games: DataFrame, game_genres: DataFrame, genres: DataFrame, n: int = 10, exclude_unknown: bool = False
+) -> DataFrame:
     """The ``n`` dearest and the ``n`` cheapest genres; both ends read one shared aggregate."""
-    stats = genre_price_stats(games, game_genres, genres).select("genre_name", "avg_price", "game_count")
+    stats = genre_price_stats(games, game_genres, genres, exclude_unknown).select("genre_name", "avg_price", "game_count")
     ends = []
     for side, price in (("highest", F.col("avg_price").desc()), ("lowest", F.col("avg_price").asc())):
         order = [price, F.col("genre_name")]
@@ -46,7 +48,9 @@ def value_by_price_bucket(games: DataFrame, low: float, high: float, buckets: in
     return stats.withColumn("value_rank", F.row_number().over(best).cast("int"))
 
 
-def discount_by_genre_and_source(games: DataFrame, game_genres: DataFrame, genres: DataFrame) -> DataFrame:
+def discount_by_genre_and_source(
+    games: DataFrame, game_genres: DataFrame, genres: DataFrame, exclude_unknown: bool = False
+) -> DataFrame:
     """Depth and number of discounts per genre and source."""
     facts = genre_facts(games, game_genres, "data_source", "discount_percentage")
     hundredths = cents(F.col("discount_percentage"))
@@ -59,7 +63,7 @@ def discount_by_genre_and_source(games: DataFrame, game_genres: DataFrame, genre
             F.max("discount_percentage").cast("double").alias("max_discount"),
         )
     )
-    return with_genre_name(stats, genres)
+    return with_genre_name(stats, genres, exclude_unknown)
 
 
 def rating_gap(records: DataFrame, n: int = 10) -> DataFrame:

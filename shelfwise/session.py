@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,21 +36,15 @@ def build_session(app_name: str = "shelfwise", master: str | None = None, **conf
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; local runs may make their own.
+    """Use the folder named by ``spark.checkpoint.dir``, or one in the warehouse if it is unset.
 
-    On a cluster the folder must be shared storage, so an unset value is an error there
-    rather than a silent fall back to one machine's disk.
+    Both are shared storage on a cluster; no folder of one machine is used.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    context.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shelfwise")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,12 +53,33 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
 
 
+_STAGING: list[str] = []
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of handed-over tables."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """What is stored inside the block goes to one folder, which is removed at its end."""
+    folder = shared_folder(spark)
+    _STAGING.append(folder)
+    try:
+        yield folder
+    finally:
+        _STAGING.remove(folder)
+        discard(spark, folder)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the shared folder, or that of the surrounding ``staging`` block, and read it back.
 
     This cuts the lineage like a checkpoint, but evaluates ``df`` once, and later readers
     prune columns and filter in the scan.
     """
-    path = shared_folder(df.sparkSession)
+    path = f"{_STAGING[-1]}/{uuid.uuid4().hex}" if _STAGING else shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

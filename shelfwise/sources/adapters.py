@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import null_if_token
 from shelfwise.operators.model import genre_pairs
-from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
+from shelfwise.schemas import COLUMN_MAPPINGS, SOURCE_A, SOURCE_B, SOURCE_C
 from shelfwise.sources.profiles import HOSTS
 from shelfwise.sources.tables import table
 
@@ -175,6 +175,26 @@ _LANDING = {
 }
 
 
+def landing_records(spark: SparkSession, folder: str) -> DataFrame:
+    """All landing rows in one frame, in standard names with their source: each table is read and joined once."""
+    rows = listings(spark, folder).join(raw_dates(spark, folder), "id", "left")
+    carriers: dict[str, dict[str, list[str]]] = {}  # standard name -> listing column -> sources
+    for source, columns in _LANDING.items():
+        for name, raw in columns.items():
+            carriers.setdefault(COLUMN_MAPPINGS[source].get(name, name), {}).setdefault(raw, []).append(source)
+
+    def standard(raws: dict[str, list[str]]) -> Column:
+        picked = [
+            F.col(raw) if len(sources) == len(_LANDING) else F.when(F.col("data_source").isin(sources), F.col(raw))
+            for raw, sources in raws.items()
+        ]
+        return null_if_token(F.coalesce(*picked) if len(picked) > 1 else picked[0])
+
+    return rows.select(
+        "data_source", *[standard(raws).alias(name) for name, raws in carriers.items()], F.col("id").alias("ingest_ord")
+    )
+
+
 def landing_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The three landing tables as a CSV scan would give them, arrival order in ``ingest_ord``."""
     rows = listings(spark, folder).join(raw_dates(spark, folder), "id", "left")
@@ -367,7 +387,7 @@ def media_records(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     hrefs = F.regexp_extract_all("html", F.lit(r'<a [^>]*?href="([^"]*)"'), 1)
     kind = F.element_at(F.array(F.lit(".PNG"), F.lit(".webp"), F.lit(".jpg")), (F.col("page_id") % 3 + 1).cast("int"))
-    video = F.transform(F.slice(hrefs, 1, (F.col("page_id") % 5).cast("int")), lambda h, i: F.concat(
+    video = F.transform(hrefs, lambda h, i: F.concat(
         h, F.element_at(F.array(F.lit(".mp4"), F.lit(".m3u8"), F.lit(".webm")), i % 3 + 1)))
     return pages.select(
         F.col("page_id").alias("id"), "url",

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import null_if_token
 
-OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false"}
+# Without an enforced schema a file whose header differs from the first one's is refused, not misread.
+OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false", "enforceSchema": "false"}
 ARRIVAL = "ingest_ord"
 
 
@@ -25,22 +26,22 @@ def _with_arrival(df: DataFrame) -> DataFrame:
     return df.select("*", place.alias(ARRIVAL))
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All-text CSV scan in which every file that is not valid UTF-8 is read as Latin-1.
 
     Bytes are scanned as Latin-1, which maps each byte to one character, and turned back into
     UTF-8 text unless the file has an invalid line. The check is one splittable pass that
-    aggregates per file, so no file is held in memory; the broadcast side has at most one row
-    per input file, and the driver's file listing already holds as many. Columns are taken by
-    header name; a byte-order mark on the first one is dropped. Missing tokens become null.
+    aggregates per file, so no file is held in memory. All files must have the same header; a file
+    with other names, another order, or a byte-order mark that the first file lacks stops the scan.
+    A byte-order mark on the first name is dropped. Missing tokens become null.
 
-    ``multi_line=False`` makes large files splittable when no cell holds a line break.
+    Files are split for reading; ``multi_line=True`` reads each file in one task, for cells that hold line breaks.
     """
     scanned = _with_arrival(_reader(spark, "ISO-8859-1", multi_line).csv(path))
     names = [c for c in scanned.columns if c != ARRIVAL]
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), "value")
     latin = lines.filter(~F.is_valid_utf8("value")).select("_file").distinct()
-    joined = scanned.join(F.broadcast(latin), F.col(f"{ARRIVAL}.file") == F.col("_file"), "left")
+    joined = scanned.join(latin, F.col(f"{ARRIVAL}.file") == F.col("_file"), "left")
 
     def text(name: str):
         raw = F.col(f"`{name}`")
@@ -51,7 +52,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     return joined.select(*[text(name) for name in names], ARRIVAL)
 
 
-def read_csv_replacing(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_replacing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All-text CSV scan as UTF-8; undecodable bytes become the replacement character."""
     scanned = _with_arrival(_reader(spark, "UTF-8", multi_line).csv(path))
     columns = [null_if_token(F.col(f"`{c}`")).alias(c.removeprefix("﻿")) for c in scanned.columns if c != ARRIVAL]

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from html import unescape
+from operator import attrgetter
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "code", "em", "font", "i", "img", "label", "mark", "small", "span", "strong", "sub", "sup", "u"}
@@ -61,6 +64,7 @@ class Page:
         self.count, self.pieces, self.index = 0, [], {}
         self.top = self._add("#document", {}, None)
         self.open = [self.top]
+        self.open_tags = Counter()
         at = 0
         while (match := _TAG.search(html, at)) is not None:
             self._text(html[at : match.start()])
@@ -78,7 +82,7 @@ class Page:
                     at = close.start() if close else len(html)
         self._text(html[at:])
         while self.open:
-            self._finish(self.open.pop())
+            self._finish(self._pop())
 
     def _add(self, tag, attrs, parent):
         node = Node(tag, attrs, parent, self.count, len(self.pieces))
@@ -93,6 +97,11 @@ class Page:
             index.setdefault(("id", attrs["id"]), []).append(node)
         return node
 
+    def _pop(self):
+        node = self.open.pop()
+        self.open_tags[node.tag] -= 1
+        return node
+
     def _finish(self, node):
         node.end, node.text_to = self.count, len(self.pieces)
 
@@ -102,7 +111,7 @@ class Page:
 
     def _start_tag(self, tag, raw):
         if tag in SELF_CLOSING_SIBLINGS and self.open[-1].tag == tag:
-            self._finish(self.open.pop())
+            self._finish(self._pop())
         if tag not in INLINE:
             self.pieces.append(" ")
         node = self._add(tag, _attributes(raw) if raw else {}, self.open[-1])
@@ -110,11 +119,12 @@ class Page:
             self._finish(node)
         else:
             self.open.append(node)
+            self.open_tags[tag] += 1
 
     def _end_tag(self, tag):
-        if any(node.tag == tag for node in self.open[1:]):
+        if self.open_tags[tag]:
             while True:
-                node = self.open.pop()
+                node = self._pop()
                 self._finish(node)
                 if node.tag == tag:
                     break
@@ -178,14 +188,20 @@ def matches(node, steps) -> bool:
     return False
 
 
+_START = attrgetter("start")
+
+
 def find_all(page: Page, root, selector) -> list:
     """Matching nodes below the root in document order, looked up by one condition each."""
     found = {}
     for steps in selector:
         kind, name, _, _ = steps[-1][1][0]
-        for node in page.index.get((kind, name), ()):
-            if root.start < node.start < root.end and matches(node, steps):
-                found[node.start] = node
+        nodes = page.index.get((kind, name), ())
+        at = bisect_right(nodes, root.start, key=_START)
+        while at < len(nodes) and nodes[at].start < root.end:
+            if matches(nodes[at], steps):
+                found[nodes[at].start] = nodes[at]
+            at += 1
     return [found[start] for start in sorted(found)]
 
 

@@ -6,16 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import urls
+from shelfwise.functions.arrays import first_items
 from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
 
 # --------------------------------------------------------------------------
-# Per source, the header's file name, how many screenshots and videos are
-# listed, whether images keep their own extension, and whether streams become notes.
+# Per source, the header's file name, whether images keep their own extension, and
+# whether streams become notes; then how many screenshots and videos the published rule lists.
 # --------------------------------------------------------------------------
 MANIFEST_RULES = {
-    SOURCE_A: {"header": "header.jpg", "screenshots": 5, "videos": 3, "typed_images": False, "stream_notes": True},
-    SOURCE_B: {"header": "cover.jpg", "screenshots": 10, "videos": 0, "typed_images": True, "stream_notes": False},
-    SOURCE_C: {"header": "header.jpg", "screenshots": 10, "videos": 5, "typed_images": False, "stream_notes": False},
+    SOURCE_A: {"header": "header.jpg", "typed_images": False, "stream_notes": True},
+    SOURCE_B: {"header": "cover.jpg", "typed_images": True, "stream_notes": False},
+    SOURCE_C: {"header": "header.jpg", "typed_images": False, "stream_notes": False},
+}
+PUBLISHED_COUNTS = {
+    SOURCE_A: {"screenshots": 5, "videos": 3},
+    SOURCE_B: {"screenshots": 10, "videos": 0},
+    SOURCE_C: {"screenshots": 10, "videos": 5},
 }
 STORED_NAME = r"game_(\d+)_(.+)$"
 
@@ -33,8 +39,10 @@ def _items(kind: str, links: Column, name) -> Column:
     )
 
 
-def media_manifest(records: DataFrame, source: str, key: str = "url") -> DataFrame:
-    """One row per file to fetch: header, screenshots and videos, by the source's rule.
+def media_manifest(
+    records: DataFrame, source: str, key: str = "url", screenshots: int | None = None, videos: int | None = None
+) -> DataFrame:
+    """One row per file to fetch: header, screenshots and videos (the first so many, if given), by the source's rule.
 
     ``records`` has the key, ``header_image`` (text), ``screenshots`` and ``videos`` (arrays).
     The lists are built per record, so nothing is shuffled.
@@ -44,14 +52,14 @@ def media_manifest(records: DataFrame, source: str, key: str = "url") -> DataFra
     header = F.when(
         F.col("header_image").isNotNull() & (F.col("header_image") != "N/A"), F.array("header_image")
     ).otherwise(none)
-    shots = F.slice(F.coalesce("screenshots", none), 1, rule["screenshots"])
-    videos = F.slice(F.coalesce("videos", none), 1, rule["videos"])
+    shots = first_items(F.coalesce("screenshots", none), screenshots)
+    clips = first_items(F.coalesce("videos", none), videos)
     image = urls.image_extension if rule["typed_images"] else lambda link: F.lit("jpg")
     video = urls.video_extension if rule["stream_notes"] else urls.plain_video_extension
     everything = F.concat(
         _items("header", header, lambda link, i: F.lit(rule["header"])),
         _items("image", shots, lambda link, i: F.concat(F.lit("screenshot_"), i, F.lit("."), image(link))),
-        _items("video", videos, lambda link, i: F.concat(F.lit("video_"), i, video(link))),
+        _items("video", clips, lambda link, i: F.concat(F.lit("video_"), i, video(link))),
     )
     return records.select(key, F.inline(everything))
 

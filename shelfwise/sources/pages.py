@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import arrays, numbers, text, urls
 from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
 from shelfwise.sources import html as html_helper
+from shelfwise.operators.dedup import first_seen, keep_first
 from shelfwise.sources.html import LIST_SEPARATOR, compile_selector, read_page
 from shelfwise.sources.profiles import DETAILS, GROUPS, HOSTS, LISTINGS
 
@@ -24,6 +25,7 @@ from shelfwise.sources.profiles import DETAILS, GROUPS, HOSTS, LISTINGS
 cloudpickle.register_pickle_by_value(html_helper)
 
 NA = "N/A"
+Cuts = dict[str, int]
 PAGES_AT_ONCE = 64
 
 # Badges and title words of add-ons, words of titles that are not games.
@@ -153,11 +155,12 @@ def listing_a(pages: DataFrame) -> DataFrame:
     )
 
 
-def details_a(pages: DataFrame) -> DataFrame:
-    linked = pages.withColumn("source_videos", urls.page_video_urls(F.col("html")))
+def details_a(pages: DataFrame, cuts: Cuts) -> DataFrame:
+    linked = pages.withColumn("source_videos", urls.page_video_urls(F.col("html"), cuts.get("videos")))
     raw = selected_values(linked, DETAILS[SOURCE_A], carry={"url": "string", "source_videos": "array<string>"})
-    shots = F.filter(arrays.first_items(F.col("shots"), 10), lambda u: u.contains("steam"))
+    shots = F.filter(arrays.first_items(F.col("shots"), cuts.get("screenshots")), lambda u: u.contains("steam"))
     genres = F.filter(F.transform("genres", text.strip), lambda g: g != "")
+    carousel = F.coalesce(*[_first(f"carousel_{i}") for i in range(1, 5)])  # the first selector that hits
     categories = F.filter(F.col("categories"), lambda c: c != "")
     return raw.select(
         "page_id",
@@ -165,13 +168,13 @@ def details_a(pages: DataFrame) -> DataFrame:
         arrays.delimited(genres, ", ").alias("genres"),
         _or_na(F.get(F.col("companies"), 0)).alias("developer"),
         _or_na(F.get(F.col("companies"), 1)).alias("publisher"),
-        arrays.delimited(arrays.distinct_items(categories, 10), ", ").alias("categories"),
+        arrays.delimited(arrays.distinct_items(categories, cuts.get("categories")), ", ").alias("categories"),
         arrays.yes_no(categories, "multi").alias("multiplayer"),
         arrays.yes_no(categories, "single").alias("singleplayer"),
-        _or_na(text.requirements_text(_first("requirements"))).alias("system_requirements_windows"),
+        _or_na(text.requirements_text(_first("requirements"), cuts.get("requirements"))).alias("system_requirements_windows"),
         _or_na(_first("header")).alias("header_image"),
         F.transform(shots, urls.full_size_screenshot).alias("screenshots"),
-        urls.video_urls(F.col("embedded"), _first("carousel"), F.col("source_videos"), F.col("url")).alias("videos"),
+        urls.video_urls(F.col("embedded"), carousel, F.col("source_videos"), F.col("url"), cuts.get("videos")).alias("videos"),
     )
 
 
@@ -186,7 +189,7 @@ def listing_b(pages: DataFrame) -> DataFrame:
     return game_titles(product_links(titled))
 
 
-def details_b(pages: DataFrame) -> DataFrame:
+def details_b(pages: DataFrame, cuts: Cuts) -> DataFrame:
     raw = selected_values(pages, DETAILS[SOURCE_B], groups=GROUPS[SOURCE_B], carry={"url": "string"})
     flat = lambda name: text.flat_text(_first(name))
     rows = F.arrays_zip("row_text", "row_second", "row_span", "row_span_second")
@@ -195,14 +198,12 @@ def details_b(pages: DataFrame) -> DataFrame:
         hits = F.filter(rows, lambda r: F.lower(r["row_text"]).contains(phrase) & (r[part] != ""))
         return F.substring_index(F.get(hits, 0)[part], LIST_SEPARATOR, 1)
 
-    limit = F.lit(text.DESCRIPTION_LIMIT)
-    described = F.nullif(text.flat_text(F.left(_first("description"), limit)), F.lit(NA))
-    product = F.nullif(text.flat_text(F.left(_first("product_text"), limit)), F.lit(NA))
+    def described(name: str) -> Column:
+        limit = cuts.get("description")
+        whole = _first(name) if limit is None else F.left(_first(name), F.lit(limit))
+        return F.nullif(text.flat_text(whole), F.lit(NA))
+
     total = flat("total")
-    both = F.filter(
-        arrays.first_items(F.arrays_zip("edition_name", "edition_price"), 5),
-        lambda e: (e["edition_name"] != "") & (e["edition_price"] != ""),
-    )
     return raw.select(
         "page_id",
         "url",
@@ -211,7 +212,7 @@ def details_b(pages: DataFrame) -> DataFrame:
         flat("platform").alias("platforms"),
         flat("genre").alias("genre"),
         flat("released").alias("release_date"),
-        F.coalesce(described, product, F.lit(NA)).alias("description"),
+        F.coalesce(described("description"), described("product_text"), F.lit(NA)).alias("description"),
         total.alias("current_price"),
         flat("retail").alias("original_price"),
         flat("discounted").alias("discount_percentage"),
@@ -224,15 +225,13 @@ def details_b(pages: DataFrame) -> DataFrame:
         _or_na(urls.count_in_brackets(cell("all steam reviews", "row_span_second"))).alias("steam_review_count"),
         _or_na(_first("video")).alias("video_url"),
         _or_na(_first("header")).alias("header_image"),
-        arrays.first_items(F.col("shots"), 10).alias("screenshots"),
-        arrays.user_tags(F.col("tags")).alias("user_tags"),
+        arrays.first_items(F.col("shots"), cuts.get("screenshots")).alias("screenshots"),
+        arrays.user_tags(F.col("tags"), cuts.get("tags")).alias("user_tags"),
         F.filter(F.col("features"), lambda f: f != "").alias("game_features"),
         text.requirements_list(F.col("minimal")).alias("system_requirements_min"),
         text.requirements_list(F.col("recommended")).alias("system_requirements_rec"),
         _or_na(urls.product_id(F.col("url"))).alias("product_id"),
-        F.transform(
-            both, lambda e: F.concat(text.flat_text(e["edition_name"]), F.lit(": "), text.flat_text(e["edition_price"]))
-        ).alias("editions"),
+        arrays.editions(F.col("edition_name"), F.col("edition_price"), cuts.get("editions")).alias("editions"),
         F.current_timestamp().alias("scrape_timestamp"),
     )
 
@@ -240,13 +239,16 @@ def details_b(pages: DataFrame) -> DataFrame:
 def listing_c(pages: DataFrame) -> DataFrame:
     raw = selected_values(pages, LISTINGS[SOURCE_C]["fields"], LISTINGS[SOURCE_C]["root"])
     href = _first("href")
-    linked = without_add_on_badges(
-        raw.filter(href.contains("/game/")).withColumn("badge", F.get(F.col("badge"), 0)), "badge"
+    absolute = F.when(F.startswith(href, F.lit("http")), href).otherwise(F.concat(F.lit(HOSTS[SOURCE_C]), href))
+    # A page's first entry of a link stands for it: if that is an add-on, later ones are not looked at.
+    first = keep_first(
+        raw.filter(href.contains("/game/")).withColumn("url", absolute), ["page_id", "url"], [F.col("position")]
     )
+    linked = without_add_on_badges(first.withColumn("badge", F.get(F.col("badge"), 0)), "badge")
     named = linked.select(
         "page_id",
         "position",
-        F.when(F.startswith(href, F.lit("http")), href).otherwise(F.concat(F.lit(HOSTS[SOURCE_C]), href)).alias("url"),
+        "url",
         text.status_tag(F.coalesce("badge", F.lit(""))).alias("status_tag"),
         F.coalesce(_first("title"), _first("aria")).alias("title"),
         numbers.price_text(_first("price")).alias("amount"),
@@ -264,7 +266,7 @@ def listing_c(pages: DataFrame) -> DataFrame:
     )
 
 
-def details_c(pages: DataFrame) -> DataFrame:
+def details_c(pages: DataFrame, cuts: Cuts) -> DataFrame:
     raw = selected_values(pages, DETAILS[SOURCE_C], groups=GROUPS[SOURCE_C], carry={"url": "string"})
     rows = F.arrays_zip("row_text", "row_label", "row_content", "row_links", "row_content_links")
     label_kind = lambda r: (  # noqa: E731  a row has the first kind its label names
@@ -284,10 +286,11 @@ def details_c(pages: DataFrame) -> DataFrame:
     company = F.try_element_at(F.filter(of_kind("company"), lambda r: r["row_content_links"] != ""), F.lit(-1))
     lone_publisher = F.get(F.filter(of_kind("publisher"), lambda r: r["row_content_links"] != ""), 0)
     systems = arrays.platforms_in(F.try_element_at(of_kind("systems"), F.lit(-1))["row_text"])
-    first_row = F.get(F.filter(rows, lambda r: F.lower(r["row_text"]).contains("genre:")), 0)
-    row_genres = arrays.delimited(arrays.short_genres(links_of(first_row, "row_links")), ", ")
+    genre_rows = F.arrays_zip("genre_row_text", "genre_row_links")
+    first_row = F.get(F.filter(genre_rows, lambda r: F.lower(r["genre_row_text"]).contains("genre:")), 0)
+    row_genres = arrays.delimited(arrays.short_genres(links_of(first_row, "genre_row_links"), cuts.get("genres")), ", ")
     link_genres = arrays.delimited(
-        F.filter(F.transform(arrays.first_items(F.col("genre_links"), 10), text.strip),
+        F.filter(F.transform(arrays.first_items(F.col("genre_links"), cuts.get("genres")), text.strip),
                  lambda g: (g != "") & (F.length(g) < 30)), ", "
     )
     score = F.coalesce(urls.first_decimal(_first("score")), urls.first_decimal(_first("inline_score")))
@@ -304,10 +307,10 @@ def details_c(pages: DataFrame) -> DataFrame:
 
     def shots(values: Column) -> Column:
         large = F.transform(values, urls.large_image)
-        return arrays.distinct_items(F.filter(large, lambda u: F.startswith(u, F.lit("http"))), 10)
+        return arrays.distinct_items(F.filter(large, lambda u: F.startswith(u, F.lit("http"))), cuts.get("screenshots"))
 
     def videos(values: Column) -> Column:
-        return arrays.distinct_items(F.filter(values, lambda u: F.lower(u).rlike(r"\.mp4|\.webm")), 5)
+        return arrays.distinct_items(F.filter(values, lambda u: F.lower(u).rlike(r"\.mp4|\.webm")), cuts.get("videos"))
 
     header = F.when(F.startswith(_first("header"), F.lit("http")), _first("header"))
     cover = F.when(F.size("header") == 0, F.when(
@@ -328,7 +331,7 @@ def details_c(pages: DataFrame) -> DataFrame:
         F.coalesce(F.nullif(systems, F.lit(NA)), icons).alias("platforms"),
         _or_na(developer).alias("developer"),
         _or_na(F.coalesce(publisher, alone)).alias("publisher"),
-        text.description(_first("summary"), _first("meta")).alias("description"),
+        text.description(_first("summary"), _first("meta"), cuts.get("description")).alias("description"),
         first_filled("shots", shots).alias("screenshots"),
         first_filled("videos", videos).alias("videos"),
         _or_na(F.coalesce(header, cover)).alias("header_image"),
@@ -347,18 +350,20 @@ def _default(name: str, kind: str) -> Column:
     return F.lit("No" if name in ("multiplayer", "singleplayer") else NA)
 
 
-def store_records(listing_pages: DataFrame, detail_pages: DataFrame, source: str) -> DataFrame:
+def store_records(
+    listing_pages: DataFrame, detail_pages: DataFrame, source: str, cuts: Cuts | None = None
+) -> DataFrame:
     """Listing entries with the fields of their detail page, in the source's column names.
 
-    Entries and pages are first reduced to one per link in arrival order, both partitioned by
-    the link, so the join shuffles nothing more. An entry whose page is
-    missing gets the defaults of a field that was not found. Source A keeps only records that have media.
+    Entries are reduced to one per link in arrival order, pages to the first of a link; only pages that
+    an entry links to are parsed. An entry whose page is missing gets the defaults of a field that was not
+    found. Source A keeps only records that have media. ``cuts`` limits parts of a detail page
+    (``profiles.PUBLISHED_CUTS`` has the published numbers); nothing is cut by default.
     """
-    from shelfwise.operators.dedup import first_seen, keep_first
-
     listing, read_details = EXTRACTORS[source]
     entries = first_seen(listing(listing_pages), "url")
-    details = keep_first(read_details(detail_pages), ["url"], [F.col("page_id")]).drop("page_id")
+    wanted = detail_pages.join(entries.select("url"), "url", "left_semi")
+    details = read_details(keep_first(wanted, ["url"], [F.col("page_id")]), cuts or {}).drop("page_id")
     records = entries.join(details, "url", "left").withColumns(
         {name: F.coalesce(F.col(name), _default(name, kind)) for name, kind in details.dtypes if name != "url"}
     )

@@ -58,12 +58,10 @@ DETAILS = {
         "header": (".game_header_image_full", "src"),
         "shots": (".highlight_screenshot img, .screenshot_holder img", "src"),
         "embedded": ("video source[src*='.webm'], video source[src*='.mp4']", "src"),
-        "carousel": (
-            ".gamehighlight_desktopcarousel[data-props], "
-            "[data-featuretarget='gamehighlight-desktopcarousel'][data-props], "
-            "div[data-props*='trailers'], [class*='gamehighlight'][data-props]",
-            "data-props",
-        ),
+        "carousel_1": (".gamehighlight_desktopcarousel[data-props]", "data-props"),
+        "carousel_2": ("[data-featuretarget='gamehighlight-desktopcarousel'][data-props]", "data-props"),
+        "carousel_3": ("div[data-props*='trailers']", "data-props"),
+        "carousel_4": ("[class*='gamehighlight'][data-props]", "data-props"),
     },
     SOURCE_B: {
         "total": (".amount .total", None),
@@ -134,8 +132,15 @@ GROUPS = {
                 "content_links": (".details__content a, .table__row-content a", None),
             },
         ),
+        "genre_row": (".table__row.details__row", {"text": ("", None), "links": (".details__link, a", None)}),
     },
 }
+# How much of a detail page the published extraction keeps, per source.
+PUBLISHED_CUTS = {
+    SOURCE_A: {"screenshots": 10, "categories": 10, "requirements": 300, "videos": 3},
+    SOURCE_B: {"description": 1000, "editions": 5, "screenshots": 10, "tags": 20},
+    SOURCE_C: {"genres": 10, "description": 1000, "screenshots": 10, "videos": 5},
+}
 HOSTS = {
     SOURCE_A: "https://store.steampowered.com",
     SOURCE_B: "https://www.instant-gaming.com",

@@ -38,7 +38,7 @@ def test_top_rows_are_taken_per_task(spark, small, name):
 
 def test_reports_scan_their_input_once(spark, small):
     plan = plan_of(spark, small, "field_completeness")
-    assert plan.count("rating_raw") and plan.count("Scan parquet") == 6  # three sources, listing and dates each
+    assert plan.count("rating_raw") and plan.count("Scan parquet") == 2  # listing and dates
 
 
 def test_scans_read_needed_columns_only(spark, small):

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from oracle import connect, differences
+from shelfwise.plans import oracles, registry
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
