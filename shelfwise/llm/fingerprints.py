@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in Spark expressions.
 
-A text is cut into pieces of a paragraph (up to 24 words of one line); a piece's digest holds 48
+A text is cut into pieces of a paragraph (up to 48 words of one line, fewer at its head); a piece's digest holds 48
 hash bits and 16 check bits. A sketch has three rows of cells; each digest enters one cell of each row, which
 keeps a count and the exclusive or of its digests. Two sketches subtract cell by cell; peeling
 single-digest cells then recovers the digests that only one text has. If cells remain, wider sketches are tried,
@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import text_or_empty
 from shelfwise.llm.pii import let
 
-PIECE = r"(?:[^\s]++[ \t]*+){1,24}\s*+"
-WIDTH = 32  # cells in a row of the sketch that is the fingerprint
-WIDTHS = (32, 128, 512)  # tried in this order
+PIECE = r"(?:[^\s]++[ \t]*+){1,48}\s*+"
+HEAD_CHARACTERS, HEAD_PIECE = 240, r"(?:[^\s]++[ \t]*+){1,8}\s*+"  # so that short texts have several pieces
+WIDTH = 16  # cells in a row of the sketch that is the fingerprint
+WIDTHS = (16, 64, 256)  # tried in this order
 PART_DIGESTS = 128
 PEEL_ROUNDS = 24
 CHECK_BITS = 16
@@ -31,7 +32,8 @@ MOST_BUCKETS = 20_000
 
 def digests(text: Column) -> Column:
     """The distinct digests of a text's pieces: hash bits above, check bits below."""
-    pieces = F.regexp_extract_all(text, F.lit(PIECE), 0)
+    head = F.regexp_extract_all(F.left(text, F.lit(HEAD_CHARACTERS)), F.lit(HEAD_PIECE), 0)
+    pieces = F.concat(head, F.regexp_extract_all(F.substr(text, F.lit(HEAD_CHARACTERS + 1)), F.lit(PIECE), 0))
     return F.array_distinct(F.transform(pieces, lambda p: let(F.shiftleft(F.xxhash64(p), CHECK_BITS), marked)))
 
 
@@ -189,7 +191,7 @@ def bucket_number(value: Column, bounds: list) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``next``: the text that follows in descending doc_id (null ids last); after the last, the first.
+    """doc_id, text, its digests ``a``, and ``next`` with digests ``c``: the text that follows in descending doc_id (null ids last); after the last, the first.
 
     Rows with one id follow each other by descending digest of their text. Buckets of ids are ordered each on its
     own; their first rows, one for each bucket, close the gaps between them.
@@ -197,6 +199,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn(
         "digest", F.xxhash64("text")
     )
+    rows = rows.withColumn("a", digests(F.col("text")))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(MOST_BUCKETS, math.ceil(total / BUCKET_BYTES))
     bounds: list = []
@@ -210,11 +213,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     following = heads.select("bucket").withColumn(
         "from", F.coalesce(F.lead("bucket").over(buckets_down), F.first("bucket").over(buckets_down))
     )
-    gaps = following.join(heads.select(F.col("bucket").alias("from"), F.col("head.text").alias("beyond")), "from")
+    gaps = following.join(
+        heads.select(F.col("bucket").alias("from"), F.col("head.text").alias("beyond"), digests(F.col("head.text")).alias("beyond_a")),
+        "from",
+    )
     within = Window.partitionBy("bucket").orderBy(*order)
-    linked = rows.withColumn("after", F.lead("text").over(within))
-    return linked.join(gaps.select("bucket", "beyond"), "bucket").select(
-        "doc_id", "text", F.coalesce("after", "beyond").alias("next")
+    linked = rows.withColumn("after", F.lead("text").over(within)).withColumn("after_a", F.lead("a").over(within))
+    return linked.join(gaps.select("bucket", "beyond", "beyond_a"), "bucket").select(
+        "doc_id", "text", "a", F.coalesce("after", "beyond").alias("next"), F.coalesce("after_a", "beyond_a").alias("c")
     )
 
 
@@ -227,14 +233,14 @@ def report(docs: DataFrame, measure: Callable[..., Column] = likeness) -> DataFr
     """
     n = F.length("text")
     edited = F.concat(F.expr("left(text, length(text) - length(text) div 3)"), F.expr("left(next, cast(length(text) div 3 as int))"))
-    frame = with_next(docs).select("doc_id", "text", "next", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    frame = with_next(docs).select("doc_id", "a", "c", n.cast("long").alias("n_chars"), edited.alias("edited"))
     frame = frame.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("a"),
+        "a",
         digests(F.col("edited")).alias("b"),
-        digests(F.col("next")).alias("c"),
+        "c",
     )
     for name in "abc":
         frame = frame.withColumn(f"sketch_{name}", sketch(F.col(name), WIDTH))
