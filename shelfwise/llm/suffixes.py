@@ -248,7 +248,6 @@ def remove_repeats(
     )
     strings = (
         texts.join(holder, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("key")))
-        .dropDuplicates(digest)
         .select(
             *digest,
             "kinds",
@@ -258,6 +257,7 @@ def remove_repeats(
     strings = checkpointed(strings.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")))
 
     def compare(shard: pd.DataFrame) -> pd.DataFrame:
+        shard = shard.drop_duplicates(digest)  # a window of repeated rows comes once for each row
         starts = repeated_starts([bytes(s) for s in shard["string"]], least)
         rows = [(i, a, b) for i, s in enumerate(starts) for a, b in runs(s)]
         of = shard.iloc[[i for i, _, _ in rows]][digest].reset_index(drop=True)
@@ -278,7 +278,7 @@ def remove_repeats(
 
     ranges = "anchor long, d1 long, d2 long, begin long, end long"
     few = strings.filter(F.col("kinds") <= many_windows).groupBy("shard").applyInPandas(compare, ranges)
-    many = strings.filter(F.col("kinds") > many_windows).mapInPandas(every_start, ranges + ", s1 long, s2 long")
+    many = strings.filter(F.col("kinds") > many_windows).dropDuplicates(digest).mapInPandas(every_start, ranges + ", s1 long, s2 long")
     twice = many.groupBy("s1", "s2").agg(F.count("*").alias("n")).filter("n > 1").select("s1", "s2")
     partly = few.unionByName(many.join(twice, ["s1", "s2"]).select("anchor", "d1", "d2", "begin", "end"))
     parts = hits.filter("copies = 1 and kinds > 1").join(partly, digest)
