@@ -6,6 +6,7 @@ import numpy as np
 import corpus_pipeline
 import __spark_entry__ as entry_point
 from shelfwise.llm import mixing, queries, toxicity
+from test_pii import luhn
 
 
 def test_registered_queries_and_sql():
@@ -38,7 +39,8 @@ def test_stages_pass_documents_on(spark, small, tmp_path):
     texts = {r["doc_id"]: r["text"] for r in seen["personal_data"][1].collect()}
     for row in seen["personal_data"][0].collect():
         for value in re.findall(r"(?<!\w)(?:\d{16}|\+1 \(\d{3}\) \d{3}-\d{4})(?!\w)", row["text"]):
-            assert value not in texts[row["doc_id"]]
+            if "+" in value or luhn(value):
+                assert value not in texts[row["doc_id"]]
     assert ids["personal_data"][0] == ids["personal_data"][1]
 
     taken = {r["doc_id"]: r["mix"] for r in mixing.mix(seen["mixing"][0]).collect()}
