@@ -20,12 +20,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import checkpointed, learned, pieces, text_or_empty
+from shelfwise.llm.common import learned, pieces, text_or_empty
+from shelfwise.session import stored
 
 DEPTH = 4  # bytes of context
 TOP = 2  # contexts up to here are weighted in shards, shorter ones at once
 END = 255  # no byte of UTF-8; stands before and after every text
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 32_000_000
 CHUNK_BYTES = 2_000_000
 SHARD_GRAMS = 300_000
 SMOOTHING = 0.1
@@ -205,23 +206,21 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     blocks = pieces(rows, "text", BLOCK_BYTES)
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    counted = checkpointed(
-        blocked.groupBy("block").applyInPandas(block_counts, "block int, gram long, word binary, n long")
-    )
+    counted = stored(blocked.groupBy("block").applyInPandas(block_counts, "block int, gram long, word binary, n long"))
 
-    words = counted.filter("word is not null")
-    of_word = words.groupBy("word").agg(F.sum("n").alias("count"))
+    # One shuffle adds up the counts and gathers the blocks that need them: a block lists a word or n-gram once.
+    everywhere = [F.sum("n").alias("count"), F.collect_list("block").alias("blocks")]
+    of_word = stored(counted.filter("word is not null").groupBy("word").agg(*everywhere))
     sums = of_word.agg(F.sum("count").alias("tokens"), F.sum((F.col("count") > 0).cast("long")).alias("distinct")).first()
     tokens, distinct = int(sums["tokens"] or 0), int(sums["distinct"] or 0)
 
-    grams = counted.filter("word is null").select("block", "gram", "n")
-    of_gram = checkpointed(grams.groupBy("gram").agg(F.sum("n").alias("n")))
+    of_gram = stored(counted.filter("word is null").groupBy("gram").agg(*everywhere))
     shards = max(1, math.ceil(of_gram.count() / SHARD_GRAMS))
     context = F.shiftright("gram", 8 * (DEPTH + 1 - TOP))
-    sharded = of_gram.withColumn("shard", F.pmod(F.xxhash64(context), F.lit(shards)))
+    sharded = of_gram.select("gram", "count", F.pmod(F.xxhash64(context), F.lit(shards)).alias("shard"))
 
     def roots(part: pd.DataFrame) -> pd.DataFrame:
-        _, levels = shard_levels(part["gram"].to_numpy().astype(np.uint64), part["n"].to_numpy(float))
+        _, levels = shard_levels(part["gram"].to_numpy().astype(np.uint64), part["count"].to_numpy(float))
         return pd.DataFrame(
             {
                 "nearest": np.concatenate([(x.keys >> np.uint64(8 * TOP)).astype(np.int32) for x in levels]),
@@ -242,18 +241,21 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
 
     def chances(part: pd.DataFrame) -> pd.DataFrame:
         codes = part["gram"].to_numpy().astype(np.uint64)
-        mixed, _ = shard_levels(codes, part["n"].to_numpy(float))
+        mixed, _ = shard_levels(codes, part["count"].to_numpy(float))
         return pd.DataFrame({"gram": part["gram"].to_numpy(), "value": log_chances(codes, mixed, top)})
 
     of_gram_value = sharded.groupBy("shard").applyInPandas(chances, "gram long, value double")
     known = (
-        grams.select("block", "gram")
+        of_gram.select("gram", "blocks")
         .join(of_gram_value, "gram")
-        .select("block", "gram", F.lit(None).cast("binary").alias("word"), "value")
+        .select(F.explode("blocks").alias("block"), "gram", F.lit(None).cast("binary").alias("word"), "value")
         .unionByName(
-            words.select("block", "word")
-            .join(of_word, "word")
-            .select("block", F.lit(0).cast("long").alias("gram"), "word", F.col("count").cast("double").alias("value"))
+            of_word.select(
+                F.explode("blocks").alias("block"),
+                F.lit(0).cast("long").alias("gram"),
+                "word",
+                F.col("count").cast("double").alias("value"),
+            )
         )
     )
     floor = tokens + SMOOTHING * (distinct + 1)
