@@ -12,7 +12,7 @@ from shelfwise.functions.numbers import zero_to_null
 from shelfwise.functions.text import genre_names
 from shelfwise.operators.numbering import numbered
 from shelfwise.schemas import MODEL, ddl
-from shelfwise.session import staging
+from shelfwise.session import exists, staging
 from shelfwise.sources.csv import save_table
 from shelfwise.sources.media import register_media
 
@@ -83,9 +83,11 @@ def bridge_table(pairs: DataFrame, genres: DataFrame) -> DataFrame:
     return pairs.join(named, "genre_name").select("game_id", "genre_id")
 
 
-def next_id(table: DataFrame) -> int:
-    """The highest id of a stored table, after which new ones continue; 0 for an empty one."""
-    return table.agg(F.max("id")).first()[0] or 0
+def highest_id(spark, name: str, path: str) -> int:
+    """The highest id of a stored table, after which new ones continue; 0 for an empty or missing one."""
+    if not exists(spark, path):
+        return 0
+    return spark.read.schema(ddl(MODEL[name])).parquet(path).agg(F.max("id")).first()[0] or 0
 
 
 def build_catalogue(final: DataFrame, zero_is_null: bool = True) -> Catalogue:
@@ -224,20 +226,18 @@ def append_reviews(batch: DataFrame, games: DataFrame, path: str, quarantine: st
 
     Ids continue after the highest stored one; a missing review date is the time of the append.
     """
-    stored_reviews = batch.sparkSession.read.schema(ddl(MODEL["user_reviews"])).parquet(path)
     accepted = accepted_reviews(batch.drop("id"), games)
     if "review_date" not in accepted.columns:
         accepted = accepted.withColumn("review_date", F.lit(None).cast("timestamp"))
     dated = accepted.withColumn("review_date", F.coalesce("review_date", F.current_timestamp()))
     named = [F.col(c).cast(kind).alias(c) for c, kind in MODEL["user_reviews"].items() if c in dated.columns]
     with staging(batch.sparkSession):
-        save_table(numbered(dated.select(*named), start=next_id(stored_reviews)), path, "append")
+        save_table(numbered(dated.select(*named), start=highest_id(batch.sparkSession, "user_reviews", path)), path, "append")
     rejected_reviews(batch, games).write.mode("append").parquet(quarantine)
 
 
 def append_media(files: DataFrame, games: DataFrame, path: str) -> None:
     """Append the media rows of a ``(path, length)`` listing, stamped; ids continue after the highest stored one."""
-    stored_media = files.sparkSession.read.schema(ddl(MODEL["media_files"])).parquet(path)
     rows = register_media(files, games).withColumn("uploaded_at", F.current_timestamp())
     with staging(files.sparkSession):
-        save_table(numbered(rows, start=next_id(stored_media)), path, "append")
+        save_table(numbered(rows, start=highest_id(files.sparkSession, "media_files", path)), path, "append")

@@ -523,6 +523,7 @@ SELECT id, tag, CASE WHEN tag <> '' AND NOT starts_with(title, tag) THEN tag ||
 ORACLES["conform_union"] = f"WITH {CONFORMED} SELECT * FROM conformed"
 ORACLES["column_mapping"] = f"""WITH {LISTINGS} SELECT {present('url_raw')} AS game_url, {present('rating_raw')} AS rating_raw,
  {present('price_raw')} AS current_price_raw, genres_raw AS genres, data_source FROM listings WHERE data_source = 'instant_gaming'"""
+ORACLES["csv_mixed_headers"] = f"WITH {LISTINGS} SELECT CAST(id AS VARCHAR) AS id, {present('title_raw')} AS title_raw, genres_raw FROM listings"
 ORACLES["csv_replacing"] = f"""WITH {LISTINGS} SELECT title_raw || ' ' || chr(65533) || ', "' || chr(65533) || '"' || chr(10) || chr(65533) AS title,
  CAST(id AS VARCHAR) AS id FROM listings"""
 ORACLES["csv_round_trip"] = f"""WITH {LISTINGS} SELECT title_raw || ' é, "ü"' || chr(10) || 'ß' AS title, CAST(id AS VARCHAR) AS id,

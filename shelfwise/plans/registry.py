@@ -564,6 +564,16 @@ def csv_round_trip(spark, folder):
     return read_csv(spark, path, multi_line=True).drop(ARRIVAL)
 
 
+@query
+def csv_mixed_headers(spark, folder):
+    """The listings written in two file sets with their columns in opposite orders."""
+    rows = adapters.listings(spark, folder).select(F.col("id").cast("string").alias("id"), "title_raw", "genres_raw")
+    path = shared_folder(spark)
+    for remainder, columns in ((0, rows.columns), (1, rows.columns[::-1])):
+        export_csv(rows.filter(F.col("id").cast("bigint") % 2 == remainder).select(*columns), path, "append")
+    return read_csv(spark, path).drop(ARRIVAL)
+
+
 @query
 def csv_replacing(spark, folder):
     """The listings written in Latin-1 and read as UTF-8."""

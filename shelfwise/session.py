@@ -56,6 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
 _STAGING: list[str] = []
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder of handed-over tables."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import null_if_token
 
-# Without an enforced schema a file whose header differs from the first one's is refused, not misread.
-OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false", "enforceSchema": "false"}
+OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false"}
 ARRIVAL = "ingest_ord"
 
 
@@ -26,35 +25,53 @@ def _with_arrival(df: DataFrame) -> DataFrame:
     return df.select("*", place.alias(ARRIVAL))
 
 
+def _header_names(line: Column) -> Column:
+    """Names of a header line, without quotes and byte-order mark."""
+    cells = F.regexp_extract_all(F.ltrim(line, F.lit("\ufeff")), F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), 1)
+    return F.transform(cells, lambda c: F.replace(F.regexp_replace(c, r'^"|"$', ""), F.lit('""'), F.lit('"')))
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All-text CSV scan in which every file that is not valid UTF-8 is read as Latin-1.
 
     Bytes are scanned as Latin-1, which maps each byte to one character, and turned back into
-    UTF-8 text unless the file has an invalid line. The check is one splittable pass that
-    aggregates per file, so no file is held in memory. All files must have the same header; a file
-    with other names, another order, or a byte-order mark that the first file lacks stops the scan.
-    A byte-order mark on the first name is dropped. Missing tokens become null.
+    UTF-8 text unless the file has an invalid line. One splittable pass over the lines, aggregated
+    per file, finds that and each file's header, so no file is held in memory and files may have
+    their columns in different orders: a value goes to the name its own file gives it. The columns are
+    those of all headers, null where a file lacks one. Missing tokens become null.
 
     Files are split for reading; ``multi_line=True`` reads each file in one task, for cells that hold line breaks.
     """
-    scanned = _with_arrival(_reader(spark, "ISO-8859-1", multi_line).csv(path))
-    names = [c for c in scanned.columns if c != ARRIVAL]
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), "value")
-    latin = lines.filter(~F.is_valid_utf8("value")).select("_file").distinct()
-    joined = scanned.join(latin, F.col(f"{ARRIVAL}.file") == F.col("_file"), "left")
-
-    def text(name: str):
-        raw = F.col(f"`{name}`")
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"), "value")
+    files = lines.groupBy("_file").agg(
+        F.max(~F.is_valid_utf8("value")).alias("_latin"), F.min_by("value", "_place").alias("_line")
+    )
+    latin_text = F.decode(F.col("_line").cast("binary"), "ISO-8859-1")
+    named = files.select(
+        "_file", "_latin", _header_names(F.when(F.col("_latin"), latin_text).otherwise(F.col("_line"))).alias("_names")
+    )
+    headers = [r["_names"] for r in named.groupBy("_names").agg(F.min("_file").alias("f")).orderBy("f").collect()]
+    names = list(dict.fromkeys(name for header in headers for name in header))
+    places = [f"_c{i}" for i in range(max(map(len, headers), default=1))]
+    schema = ", ".join(f"{c} string" for c in places)
+    scanned = _with_arrival(_reader(spark, "ISO-8859-1", multi_line).schema(schema).csv(path))
+    joined = scanned.join(named, F.col(f"{ARRIVAL}.file") == F.col("_file"))
+
+    def text(name: str) -> Column:
+        raw = F.get(F.array(*places), F.array_position("_names", F.lit(name)).cast("int") - 1)
         utf8 = F.decode(F.encode(raw, "ISO-8859-1"), "UTF-8")
-        clean = name.removeprefix("ï»¿").removeprefix("﻿").strip('"')
-        return null_if_token(F.when(F.col("_file").isNull(), utf8).otherwise(raw)).alias(clean)
+        return null_if_token(F.when(F.col("_latin"), raw).otherwise(utf8)).alias(name)
 
     return joined.select(*[text(name) for name in names], ARRIVAL)
 
 
 def read_csv_replacing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All-text CSV scan as UTF-8; undecodable bytes become the replacement character."""
-    scanned = _with_arrival(_reader(spark, "UTF-8", multi_line).csv(path))
+    """All-text CSV scan as UTF-8; undecodable bytes become the replacement character.
+
+    A file whose header differs from the first one's stops the scan.
+    """
+    scanned = _with_arrival(_reader(spark, "UTF-8", multi_line).option("enforceSchema", "false").csv(path))
     columns = [null_if_token(F.col(f"`{c}`")).alias(c.removeprefix("﻿")) for c in scanned.columns if c != ARRIVAL]
     return scanned.select(*columns, ARRIVAL)
 

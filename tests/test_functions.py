@@ -162,10 +162,12 @@ def test_description(spark):
     long = "word " * 30
     cases = {
         long + "...": long.strip(), "short": "N/A", long + "Originally released in 1990": long.strip(),
-        "Originally released in " + long: "N/A", "z" * 2000: "z" * 1000, None: "N/A",
+        "Originally released in " + long: "N/A", "z" * 2000: "z" * 2000, None: "N/A",
     }
     assert apply(spark, text.description, list(cases)) == list(cases.values())
     assert apply(spark, lambda c: text.description(c, F.lit(long)), ["short"]) == [long.strip()]
+    assert apply(spark, lambda c: text.description(c, limit=1000), ["z" * 2000]) == ["z" * 1000]
+    assert apply(spark, lambda c: text.requirements_text(c, 3), [" abcd "]) == ["abc"]
 
 
 def test_urls(spark):
@@ -194,7 +196,7 @@ def test_video_precedence(spark):
     ]
     frame = spark.createDataFrame(rows, "e array<string>, j string, h string")
     found = frame.select(
-        urls.video_urls(F.col("e"), F.col("j"), urls.page_video_urls(F.col("h")), F.lit("https://s/app/7/x/")).alias("v")
+        urls.video_urls(F.col("e"), F.col("j"), urls.page_video_urls(F.col("h"), 3), F.lit("https://s/app/7/x/"), 3).alias("v")
     ).collect()
     extras = "https://shared.fastly.steamstatic.com/store_item_assets/steam/apps/7/extras/e.webm"
     assert found[0]["v"] == [embedded, "https://v/1/movie_max_vp9.webm", extras]

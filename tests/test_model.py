@@ -63,12 +63,37 @@ def test_model_passes_its_audits(catalogue):
     assert model.audit_foreign_key(reviews, "game_id", catalogue.games, "id").count() == 0
 
 
-def test_bridge_is_the_same_without_broadcast(spark, catalogue, final):
+def test_bridge_links_by_name(spark):
     pairs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "game_id bigint, genre_name string")
-    genres = model.genre_table(pairs)
-    for limit in (0, 10):
-        links = model.bridge_table(pairs, genres, broadcast_rows=limit)
-        assert sorted(tuple(r) for r in links.collect()) == [(1, 1), (1, 2), (2, 1)]
+    links = model.bridge_table(pairs, model.genre_table(pairs))
+    assert sorted(tuple(r) for r in links.collect()) == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_links_have_keys(catalogue):
+    ids = [r["id"] for r in catalogue.game_genres.select("id").collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+def test_media_ids_continue_and_are_stamped(spark, tmp_path):
+    games = spark.createDataFrame([(1,)], "id bigint")
+    files = spark.createDataFrame([("/m/images/game_1_a.jpg", 5), ("/m/videos/game_1_b.mp4", 6), ("/m/images/game_9_c.jpg", 7)], "path string, length bigint")
+    for _ in range(2):
+        model.append_media(files, games, str(tmp_path / "media"))
+    rows = spark.read.parquet(str(tmp_path / "media")).collect()
+    assert sorted(r["id"] for r in rows) == [1, 2, 3, 4] and all(r["uploaded_at"] for r in rows)
+
+
+def test_staging_leaves_nothing(spark, final, tmp_path):
+    from pathlib import Path
+
+    from shelfwise.session import shared_folder
+
+    folder = str(tmp_path / "model")
+    model.create_tables(spark, folder)
+    scratch = Path(shared_folder(spark).removeprefix("file:")).parent
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    model.load_if_empty(final, folder)
+    assert set(scratch.iterdir()) == before
 
 
 def test_tables_are_written_once(spark, catalogue, tmp_path):
@@ -113,6 +138,8 @@ def test_review_append(spark, tmp_path):
     model.append_reviews(batch, games, *paths)
     assert spark.read.parquet(paths[0]).select("helpful_count").collect() == [(0,), (0,)]
     assert spark.read.parquet(paths[1]).count() == 4
+    stored = spark.read.parquet(paths[0])
+    assert sorted(r["id"] for r in stored.collect()) == [1, 2] and stored.filter("review_date is null").count() == 0
 
 
 def test_all_questions_build(spark, small):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
@@ -18,7 +20,7 @@ def rows(frame, *order):
 def test_csv_charset_is_chosen_per_file(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("﻿title,note\nCafé,\"two\nlines, \"\"q\"\"\"\nN/A,nan\n".encode("utf-8"))
     (tmp_path / "b.csv").write_bytes("title,note\nCafé,plain\nÜber,\n".encode("latin-1"))
-    frame = read_csv(spark, str(tmp_path))
+    frame = read_csv(spark, str(tmp_path), multi_line=True)
     assert frame.columns == ["title", "note", ARRIVAL]
     found = {(r["title"], r["note"]) for r in frame.collect()}
     assert found == {("Café", 'two\nlines, "q"'), (None, None), ("Café", "plain"), ("Über", None)}
@@ -31,6 +33,51 @@ def test_csv_arrival_order_is_file_then_row(spark, tmp_path):
     assert ordered == list(range(50)) + list(range(100, 150))
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_values_go_to_their_own_names(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("title,url\nT1,U1\ntitle,url\n")
+    (tmp_path / "b.csv").write_text('"url","title","no, te"\nU2,T2,"N,2"\n')
+    found = {tuple(r) for r in read_csv(spark, str(tmp_path), multi_line).drop(ARRIVAL).select("title", "url", "no, te").collect()}
+    assert found == {("T1", "U1", None), ("title", "url", None), ("T2", "U2", "N,2")}
+
+
+def test_csv_replacing_refuses_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,url\nT1,U1\n")
+    (tmp_path / "b.csv").write_text("url,title\nU2,T2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_replacing(spark, str(tmp_path)).collect()
+
+
+def test_page_helper_is_linear():
+    import time
+
+    def seconds(html, css=None):
+        start = time.perf_counter()
+        page = Page(html)
+        if css:
+            for row in find_all(page, page.top, compile_selector("tr")):
+                find_all(page, row, compile_selector(css))
+        return time.perf_counter() - start
+
+    rows_of = lambda n: "<table>" + "<tr><th>a</th><th><span>b</span></th></tr>" * n + "</table>"
+    stray = lambda n: "<b>" * n + "</i>" * n
+    assert seconds(rows_of(20000), "span") < 16 * max(0.05, seconds(rows_of(2500), "span"))
+    assert seconds(stray(20000)) < 16 * max(0.05, seconds(stray(2500)))
+
+
+def test_first_entry_of_a_link_decides(spark):
+    card = '<a class="product-tile" href="/en/game/one"><span class="badge">{}</span><h3>One</h3></a>'
+    listing = frame_of(spark, ("list", card.format("DLC") + card.format("")), ("list", card.format("")))
+    assert [r["page_id"] for r in rows(pages.listing_c(listing), "position")] == [1]
+
+
+def test_carousel_candidates_in_order(spark):
+    props = lambda n: '{&quot;trailers&quot;:[{&quot;hlsManifest&quot;:&quot;https://v/%d/hls_1&quot;}]}' % n
+    details = frame_of(spark, ("https://s/app/7/x/", f'<div class="gamehighlight_other" data-props="{props(1)}"></div>'
+                               f'<div class="gamehighlight_desktopcarousel" data-props="{props(2)}"></div>'))
+    assert rows(pages.details_a(details, {}), "url")[0]["videos"] == ["https://v/2/movie_max_vp9.webm"]
+
+
 def test_csv_replaces_bad_bytes(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"title\nCaf\xe9\n")
     assert [r["title"] for r in read_csv_replacing(spark, str(tmp_path)).collect()] == ["Caf�"]
@@ -41,7 +88,7 @@ def test_csv_export_round_trip(spark, tmp_path):
     export_csv(original, str(tmp_path / "out"))
     first = next((tmp_path / "out").glob("*.csv")).read_bytes()
     assert not first.startswith(b"\xef\xbb\xbf")
-    assert sorted(map(str, read_csv(spark, str(tmp_path / "out")).drop(ARRIVAL).collect())) == sorted(map(str, original.collect()))
+    assert sorted(map(str, read_csv(spark, str(tmp_path / "out"), multi_line=True).drop(ARRIVAL).collect())) == sorted(map(str, original.collect()))
 
 
 def test_selectors():
@@ -117,7 +164,7 @@ def test_source_c_rows_and_add_ons(spark):
         <div class="details__row"><div class="details__category">Release date:</div><div class="details__content">May 1, 2024</div></div>
         <span class="productcard-os-support__system productcard-os--linux"></span>
         <div class="productcard-rating__details">(76 Reviews)</div>"""))
-    record, = rows(pages.details_c(details), "url")
+    record, = rows(pages.details_c(details, {}), "url")
     assert (record["developer"], record["publisher"], record["release_date"]) == ("D", "P", "May 1, 2024")
     assert record["platforms"] == "Linux" and record["rating_count"] == "76" and record["rating"] == "N/A"
     assert record["description"] == "N/A" and record["screenshots"] == [] and record["header_image"] == "N/A"
