@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import bpe, jaccard, mixing, pii, toxicity
 from shelfwise.llm.common import table, tokenizer_path
-from shelfwise.session import stored
+from shelfwise.session import discard, shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +26,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with pseudonyms in place of personal data, their characters counted anew."""
-    replaced = pii.pseudonymise(docs, count=None)
-    return replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    """Documents with pseudonyms in place of personal data; where there were any, characters are counted anew."""
+    replaced = pii.pseudonymise(docs, count="__found")
+    counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return replaced.withColumn("n_chars", F.when(F.col("__found") > 0, counted).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over ``documents``; what one stage has stored is removed when the next one's rows are."""
+    docs, path = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        rows, before, path = stage(spark, docs, sf_dir), path, shared_folder(spark)
+        rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before:
+            discard(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)
