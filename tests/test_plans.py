@@ -6,9 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
+from shelfwise.plans import registry
 
-QUERIES = entry_point.queries()
+
+QUERIES = registry.queries()
 PYTHON_QUERIES = ("store_page_records", "crawl_", "fix_encoding", "clean_catalog", "model_", "missing_by", "unknown_by", "step_retention")
 
 
