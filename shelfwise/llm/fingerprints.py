@@ -1,7 +1,7 @@
-"""Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in Spark expressions.
+"""Document fingerprints: invertible Bloom lookup sketches of digests of text pieces, in Spark expressions.
 
-A text is cut into pieces of a paragraph (up to 48 words of one line, fewer at its head); a piece's digest holds 48
-hash bits and 16 check bits. A sketch has three rows of cells; each digest enters one cell of each row, which
+A text is cut where the hash of a word and the one before says so, after one word in six, so that a change costs the pieces it touches and no
+others, wherever it stands; a piece's digest holds 48 hash bits and 16 check bits. A sketch has three rows of cells; each digest enters one cell of each row, which
 keeps a count and the exclusive or of its digests. Two sketches subtract cell by cell; peeling
 single-digest cells then recovers the digests that only one text has. If cells remain, wider sketches are tried,
 and after the widest the digests are compared as they are. Long texts are dealt into parts first, by
@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import text_or_empty
 from shelfwise.llm.pii import let
 
-PIECE = r"(?:[^\s]++[ \t]*+){1,48}\s*+"
-HEAD_CHARACTERS, HEAD_PIECE = 240, r"(?:[^\s]++[ \t]*+){1,8}\s*+"  # so that short texts have several pieces
-WIDTH = 16  # cells in a row of the sketch that is the fingerprint
-WIDTHS = (16, 64, 256)  # tried in this order
+# Scripts written without blanks, whose signs count as words: Thai to Lao, Burmese, Khmer, Japanese, Chinese.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\x{20000}-\x{323AF}"
+PIECE_WORD = rf"[{UNSPACED}]|[^\s{UNSPACED}]++"
+CUT_ONE_IN = 6
+MOST_WORDS = 48  # of a piece, counted from the last cut: only where words repeat is it reached
+WIDTH = 32  # cells in a row of the sketch that is the fingerprint
+WIDTHS = (32, 128, 512)  # tried in this order
 PART_DIGESTS = 128
 PEEL_ROUNDS = 24
 CHECK_BITS = 16
@@ -31,10 +34,25 @@ MOST_BUCKETS = 20_000
 
 
 def digests(text: Column) -> Column:
-    """The distinct digests of a text's pieces: hash bits above, check bits below."""
-    head = F.regexp_extract_all(F.left(text, F.lit(HEAD_CHARACTERS)), F.lit(HEAD_PIECE), 0)
-    pieces = F.concat(head, F.regexp_extract_all(F.substr(text, F.lit(HEAD_CHARACTERS + 1)), F.lit(PIECE), 0))
-    return F.array_distinct(F.transform(pieces, lambda p: let(F.shiftleft(F.xxhash64(p), CHECK_BITS), marked)))
+    """The distinct digests of a text's pieces: hash bits above, check bits below. White space is not counted."""
+    words = F.transform(F.regexp_extract_all(text, F.lit(PIECE_WORD), F.lit(0)), lambda w: F.xxhash64(w))
+    pair = lambda hashes, h, i: h.bitwiseXOR(F.shiftright(F.coalesce(F.get(hashes, i - 1), F.lit(0)), 3))
+    last = lambda hashes, h, i: (
+        (F.pmod(pair(hashes, h, i), F.lit(CUT_ONE_IN)) == 0) | (i == F.size(hashes) - 1)
+    )
+    ends = lambda hashes: F.filter(
+        F.transform(hashes, lambda h, i: F.when(last(hashes, h, i), i + 1)), lambda end: end.isNotNull()
+    )
+    piece = lambda hashes, start, end: F.shiftleft(
+        F.xxhash64(F.slice(hashes, start + 1, F.least(F.lit(MOST_WORDS), end - start))), CHECK_BITS
+    )
+    between = lambda hashes, start, end: F.transform(
+        F.sequence(start, end - 1, F.lit(MOST_WORDS)), lambda at: let(piece(hashes, at, end), marked)
+    )
+    cut = lambda hashes, ends: F.flatten(
+        F.transform(ends, lambda end, k: let(F.coalesce(F.get(ends, k - 1), F.lit(0)), lambda start: between(hashes, start, end)))
+    )
+    return F.array_distinct(let(words, lambda hashes: let(ends(hashes), lambda found: cut(hashes, found))))
 
 
 def check(bits: Column) -> Column:
@@ -59,16 +77,26 @@ def together(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(d))
 
 
-def sketch(values: Column, width: int) -> Column:
-    """Three rows of cells: count and exclusive or of the digests in each."""
+def dealt(values: Column, key: Callable[[Column], Column], low: int, bits: Column) -> Column:
+    """``values`` in 2^bits groups by the bits of their key from ``low`` on, halved once for each bit."""
+    one = lambda v, bit: F.call_function("shiftright", key(v), bit).bitwiseAND(F.lit(1))
+    half = lambda group, bit, h: F.filter(group, lambda v: one(v, bit) == h)
+    halves = lambda group, bit: F.array(half(group, bit, 0), half(group, bit, 1))
+    places = F.when(bits > 0, F.sequence(bits + (low - 1), F.lit(low))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(
+        places, F.array(values), lambda groups, bit: F.flatten(F.transform(groups, lambda group: halves(group, bit)))
+    )
 
-    def cells(row: int) -> Column:
-        places = F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))
-        inside = lambda place: F.filter(values, lambda d: cell_of(d, row, width) == place)
-        content = lambda own: F.struct(F.size(own).alias("n"), together(own).alias("x"))
-        return F.transform(places, lambda place: let(inside(place), content))
 
-    return F.array(*[cells(row) for row in range(3)])
+def in_cells(values: Column, key: Callable[[Column], Column], row: int, width: int) -> Column:
+    """``values`` in groups by their cell."""
+    return dealt(values, key, CHECK_BITS + 16 * row, F.lit(width.bit_length() - 1))
+
+
+def sketch(values: Column, width: int) -> Column:
+    """Three rows of cells: count and exclusive or of the digests in each."""
+    cell = lambda own: F.struct(F.size(own).alias("n"), together(own).alias("x"))
+    return let(values, lambda own: F.array(*[F.transform(in_cells(own, lambda d: d, row, width), cell) for row in range(3)]))
 
 
 def subtracted(a: Column, b: Column) -> Column:
@@ -92,18 +120,13 @@ def peeled(cells: Column, width: int) -> Column:
         return F.array_distinct(F.concat(*[alone(row) for row in range(3)]))
 
     def without(state: Column, pure: Column) -> Column:
+        left = lambda c, own: F.struct(
+            (c["n"] - F.aggregate(own, F.lit(0), lambda a, p: a + p["n"])).alias("n"),
+            F.aggregate(own, c["x"], lambda a, p: a.bitwiseXOR(p["x"])).alias("x"),
+        )
+
         def row_without(row: int) -> Column:
-            held = lambda i: F.filter(pure, lambda p: cell_of(p["x"], row, width) == i)
-            left = lambda c, own: F.struct(
-                (c["n"] - F.aggregate(own, F.lit(0), lambda a, p: a + p["n"])).alias("n"),
-                F.aggregate(own, c["x"], lambda a, p: a.bitwiseXOR(p["x"])).alias("x"),
-            )
-            return F.transform(
-                state["cells"][row],
-                lambda c, i: F.when(c["n"].isNotNull() & (c["x"] == 0) & (c["n"] == 0), c).otherwise(
-                    let(held(i), lambda own: left(c, own))
-                ),
-            )
+            return F.zip_with(state["cells"][row], in_cells(pure, lambda p: p["x"], row, width), left)
 
         return F.array(*[row_without(row) for row in range(3)])
 
@@ -146,17 +169,15 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
     tried = lambda x, y, widths: F.coalesce(
         *[peeled(subtracted(sketch(x, w), sketch(y, w)), w) for w in widths], compared(x, y)
     )
-    parts = F.ceil((F.size(a) + F.size(b)) / PART_DIGESTS).cast("int")
-    own = lambda values, p: F.filter(values, lambda d: F.pmod(F.xxhash64(d, F.lit(7)), parts) == p)
-    add = lambda s, p: let(
-        F.struct(own(a, p).alias("a"), own(b, p).alias("b")),
-        lambda both: let(
-            tried(both["a"], both["b"], WIDTHS[1:]),
-            lambda d: F.struct((s["plus"] + d["plus"]).alias("plus"), (s["minus"] + d["minus"]).alias("minus")),
-        ),
+    parts = F.greatest(F.size(a) + F.size(b), F.lit(1)) / PART_DIGESTS
+    halvings = F.greatest(F.ceil(F.log2(parts)), F.lit(0)).cast("int")
+    own = lambda values: dealt(values, lambda d: F.xxhash64(d, F.lit(7)), 0, halvings)
+    add = lambda s, both: let(
+        tried(both["a"], both["b"], WIDTHS[1:]),
+        lambda d: F.struct((s["plus"] + d["plus"]).alias("plus"), (s["minus"] + d["minus"]).alias("minus")),
     )
     nothing = F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"))
-    in_parts = F.aggregate(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1), nothing, add)
+    in_parts = F.aggregate(F.zip_with(own(a), own(b), lambda x, y: F.struct(x.alias("a"), y.alias("b"))), nothing, add)
     # a fingerprint cannot hold more than its cells: that many more on one side need no trial
     hopeful = F.abs(F.size(a) - F.size(b)) <= 3 * WIDTH
     return F.coalesce(F.when(hopeful, peeled(subtracted(sketch_a, sketch_b), WIDTH)), in_parts)

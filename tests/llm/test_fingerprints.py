@@ -85,3 +85,33 @@ def test_plan_has_no_python_and_query_equals_brute_force(spark, small):
     result = queries.op6_fingerprints(spark, small)
     assert "Python" not in result._jdf.queryExecution().executedPlan().toString()
     assert_close({r["doc_id"]: (r["n_chars"], r["edited_sha256"], r["near_edited"], r["near_next"]) for r in result.collect()}, expected(rows))
+
+
+def alike(spark, pairs):
+    """likeness of pairs of texts and their digests' Jaccard coefficient."""
+    table = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "id int, a string, b string")
+    table = table.select("id", *[fingerprints.digests(F.col(c)).alias(c) for c in "ab"])
+    sketches = [fingerprints.sketch(F.col(c), fingerprints.WIDTH) for c in "ab"]
+    exact = F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))
+    rows = table.select("id", fingerprints.likeness(F.col("a"), F.col("b"), *sketches).alias("got"), exact.alias("exact")).collect()
+    return [(r["got"], r["exact"]) for r in sorted(rows)]
+
+
+def test_near_copies_are_near(spark):
+    texts = [prose(i, 400 if i else 9000) for i in range(20)]
+    ahead = alike(spark, [(t, f"new {t}") for t in texts])
+    replaced = alike(spark, [(t, " ".join(f"w{k}" if k % 50 == 7 else w for k, w in enumerate(t.split()))) for t in texts])
+    for got, exact in ahead + replaced:
+        assert got == pytest.approx(exact, abs=1e-12)
+    assert min(got for got, _ in ahead) > 0.9
+    assert sum(got for got, _ in replaced) / len(replaced) > 0.7
+    unspaced = "".join(chr(0x4E00 + k * k % 5003) for k in range(600))
+    assert alike(spark, [(unspaced, f"日{unspaced}")])[0][0] > 0.9
+
+
+def test_edited_texts_and_order_with_pieces_cut_by_content(spark, awkward_texts):
+    ids = [5, 17, 3, 900, 44, 45, 46, None, 1, 2]
+    rows = {r["doc_id"]: r for r in fingerprints.report(frame(spark, awkward_texts, ids)).collect()}
+    for i, (length, digest, *_) in expected(list(zip(ids, awkward_texts))).items():
+        assert (rows[i]["n_chars"], rows[i]["edited_sha256"]) == (length, digest)
+    assert rows[900]["near_next"] < 0.5 < rows[44]["near_edited"]
