@@ -1,9 +1,9 @@
 """Secret scan: fixed patterns, and strings that zstandard cannot explain from their surroundings.
 
 Assignments, access keys and hex runs are found by pattern. Other candidates are long mixed
-strings that follow a sensitive word. Each is compressed together with the text around it, the
+strings that follow a sensitive word, or a string that does, or stand in a BEGIN/END block. Each is compressed together with the text around it, the
 compressor primed with a dictionary of identifiers; its marginal bytes are what it adds. A name
-or a word that occurs nearby adds little, a random string adds nearly its own length.
+or a word whose parts occur nearby adds little, a random string adds nearly its own length.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = re.compile(r"passw|secret|token|key|credential|bearer|auth|private|signature|salt", re.IGNORECASE | re.ASCII)
 SENSITIVE_WORDS = ("passw", "secret", "token", "key", "credential", "bearer", "auth", "private", "signature", "salt")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----(.*?)-----END \1-----", re.DOTALL)
+BLOCK_LINE = re.compile(r"^[ \t>]*(=?[A-Za-z0-9+/]{4,}={0,2})[ \t\r]*$", re.MULTILINE)
 
 # What the compressor knows beforehand: words of code and configuration.
 IDENTIFIERS = (
@@ -75,10 +77,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def surroundings(text: str, start: int, end: int, window: int) -> str:
+    """The text around a candidate, its own other occurrences blanked, also those that the window's edge divides."""
+    value = text[start:end]
+    own = value.rstrip("=").rpartition("=")[2]  # behind a name
+    own = own if len(own) >= 16 else value
+    whole = re.compile(rf"(?<![A-Za-z0-9+/_-]){re.escape(own)}(?![A-Za-z0-9+/_-])")  # not as part of another name
+    without = lambda part: whole.sub(" " * len(own), part) if own in part else part
+    low = max(0, start - window)
+    further = max(0, low - len(own))
+    return without(text[further:start])[low - further :] + without(text[end : end + window + len(own)])[:window]
+
+
 def novel_spans(
     text: str, taken: list[tuple[int, int, int]], judge: Novelty, reach: int, window: int, least: float
 ) -> list[tuple[int, int, int]]:
-    """Candidates after a sensitive word that no base span touches and that do not compress."""
+    """Candidates in a sensitive context that no base span touches and that do not compress.
+
+    The context is a sensitive word before, a string found before, a string with a sensitive context and no
+    word in between, or a BEGIN/END block with a sensitive name. Of a block with a string found, every line is given.
+    """
     low = text.lower()
     if not any(w in low for w in SENSITIVE_WORDS):
         return []
@@ -89,20 +107,40 @@ def novel_spans(
             covered[-1][1] = max(covered[-1][1], end)
         else:
             covered.append([start, end])
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
+
+    def free(start: int, end: int) -> bool:
+        nonlocal at
         while at < len(covered) and covered[at][1] <= start:
             at += 1
-        if at < len(covered) and covered[at][0] < end:
+        return at == len(covered) or covered[at][0] >= end
+
+    blocks = [m.span(2) for m in BLOCK.finditer(text) if SENSITIVE.search(m[1])] if "-----BEGIN " in text else []
+    block = 0
+    told = last = -1  # ends of the last string found and of the last one with a sensitive context
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while block < len(blocks) and blocks[block][1] <= start:
+            block += 1
+        inside = block < len(blocks) and blocks[block][0] <= start
+        near = told >= 0 and start - told <= reach
+        adjoining = last >= 0 and start - last <= reach and not any(c.isalnum() for c in text[last:start])
+        if not (inside or near or adjoining or SENSITIVE.search(text, max(0, start - reach), start)):
+            continue
+        last = end
+        if not free(start, end):
             continue
         value = m[0]
         if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
             continue
-        if not SENSITIVE.search(text, max(0, start - reach), start):
-            continue
-        around = text[max(0, start - window) : start] + text[end : end + window]
-        if judge.share(value, around) >= least:
+        if judge.share(value, surroundings(text, start, end, window)) >= least:
             found.append((start, 3, end))
+            told = end
+    at = 0
+    for first, behind in blocks:
+        if any(first <= start < behind for start, _, _ in found):
+            lines = [m.span(1) for m in BLOCK_LINE.finditer(text, first, behind)]
+            have = {x for start, _, end in found if first <= start < behind for x in range(start, end)}
+            found += [(start, 3, end) for start, end in lines if free(start, end) and start not in have]
     return found
 
 
@@ -111,13 +149,13 @@ def scan(
     into: str = "secrets",
     text: str = "text",
     identifiers: str = IDENTIFIERS,
-    reach: int = 48,
+    reach: int = 160,
     window: int = 512,
     least: float = 0.7,
 ) -> DataFrame:
     """Rows of ``docs`` plus ``into``: spans (kind, start, end) by start, then kind; code points, end exclusive.
 
-    ``reach``: how far before a candidate the sensitive word may stand. ``window``: code points of
+    ``reach``: how far before a candidate the sensitive word, or a string found, may stand. ``window``: code points of
     surroundings on each side. ``least``: marginal bytes a byte from which a candidate is reported.
     Every text is scanned whole. Null and empty texts have no spans (an empty list). Repeated rows
     get equal spans. A column already named ``into`` is replaced, others are carried along.
