@@ -22,15 +22,19 @@ ROUNDS = 8
 # Fixed patterns of the scan, tried in this order at each place.
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
 IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-NANP = r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4}"
+NANP = (
+    r"\+1[ .-]?(?:\([0-9]{3}\)|[2-9][0-9]{2})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+    r"|(?:1[ .-]?)?(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4}"
+)
 PHONE = r"\+[2-9][0-9]{0,2}(?:[ -]?\(?[0-9]{2,4}\)?){2,5}"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
-DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
+ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+DATE = ISO + r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
-ANY = (
-    rf"(?<![A-Za-z0-9._%+@-])(?:{EMAIL}|(?:{IBAN}|{NANP}|{PHONE}|{IPV4}|{DATE}|{SSN}|{CARD})(?![A-Za-z0-9_])(?!\.[0-9]))"
-)
+NUMBER = rf"(?:{ISO}(?=[Tt][0-9]{{2}})|(?:{IBAN}|{NANP}|{PHONE}|{IPV4}|{DATE}|{SSN}|{CARD})(?![A-Za-z0-9])(?!\.[0-9]))"
+# Signs may precede a value, unless they continue an address's name or a number.
+ANY = rf"(?:(?<![A-Za-z0-9])(?<![A-Za-z0-9][._%+-]{{1,3}}){EMAIL}|(?<![A-Za-z0-9+])(?<![0-9][.-]){NUMBER})"
 FIRST_SIGNS = r"[0-9@]"
 
 # Alphabets that a place may move in: first code and size. The last two hold the digits 2-9 and
@@ -156,7 +160,9 @@ def card(value: Column, key: str) -> Column:
 def phone(value: Column, key: str) -> Column:
     """The country code stays; of ten-digit North American numbers area and exchange keep a lawful first digit."""
     digits = only("0-9", value)
-    country = F.regexp_extract(value, r"^\+(1|[0-9]{1,3})", 1)
+    country = F.when(value.startswith("+"), F.regexp_extract(value, r"^\+(1|[0-9]{1,3})", 1)).otherwise(
+        F.regexp_extract(value, "^(1)", 1)
+    )
     american = ~value.startswith("+") | value.startswith("+1")
     national = F.substr(digits, F.length(digits) - 9)
     to, back = ("".join(chr(200 + i) for i in range(2)) + "".join(chr(192 + i) for i in range(8)), "0123456789")

@@ -95,3 +95,22 @@ def test_query_leaves_no_card_or_address(spark, small):
 
 def test_plan_has_no_python(spark, small):
     assert "Python" not in queries.op2_pseudonyms(spark, small)._jdf.queryExecution().executedPlan().toString()
+
+
+BESIDE = [
+    ("at {}T10:00:00Z", "2024-01-05"), ("call {} now", "+12125551234"), ("call {} now", "+1 2125551234"), ("call {} now", "1-800-555-0199"),
+    ("tel.{}", "212-555-1234"), ("_{}_", "john@example.com"), ("-{}", "4111111111111111"), ("no.{}", "4111111111111111"),
+    ("id_{}_x", "4111111111111111"), ("root@{}:", "10.0.0.5"),
+]
+
+
+def test_values_beside_signs_and_further_telephone_forms(spark):
+    for (around, value), (text, n) in zip(BESIDE, replaced(spark, [a.format(v) for a, v in BESIDE])):
+        before, behind = around.split("{}")
+        made = text[len(before) : len(text) - len(behind)]
+        assert n == 1 and text == before + made + behind and made != value, (value, text)
+        assert "." in value or shape(made) == shape(value)
+    linked = [t for t, _ in replaced(spark, ["+12125551234", "1-212-555-1234", "212-555-1234"])]
+    assert len({re.sub(r"\D", "", t)[-10:] for t in linked}) == 1 and all(t.lstrip("+").startswith("1") for t in linked[:2])
+    parts = ["v1.2.3.4.5", "a4111111111111111", "4111111111111111b", "2024-01-05Tuesday", "x2024-01-05"]
+    assert replaced(spark, parts) == [(p, 0) for p in parts]
