@@ -36,6 +36,15 @@ NUMBER = rf"(?:{ISO}(?=[Tt][0-9]{{2}})|(?:{IBAN}|{NANP}|{PHONE}|{IPV4}|{DATE}|{S
 # Signs may precede a value, unless they continue an address's name or a number.
 ANY = rf"(?:(?<![A-Za-z0-9])(?<![A-Za-z0-9][._%+-]{{1,3}}){EMAIL}|(?<![A-Za-z0-9+])(?<![0-9][.-]){NUMBER})"
 FIRST_SIGNS = r"[0-9@]"
+SEPARATED = rf"^(?:{IBAN}|{CARD})$"  # may hold more than one value
+BREAK = "\ufdd0\ufdef\ufdd0"  # noncharacters: set between values while a text is scanned
+
+# Lengths of account numbers by country.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 "
+    "GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 "
+    "MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+)
 
 # Alphabets that a place may move in: first code and size. The last two hold the digits 2-9 and
 # 0-1 of places where a telephone number allows only these.
@@ -136,6 +145,10 @@ def digit(digits: Column, from_right: Column) -> Column:
     return F.substr(digits, F.length(digits) - from_right, F.lit(1)).cast("int")
 
 
+def valid_card(digits: Column) -> Column:
+    return digit_sum(digits, 1) % 10 == 0
+
+
 def email(value: Column, key: str) -> Column:
     return let(
         F.substring_index(value, "@", 1),
@@ -151,9 +164,7 @@ def card(value: Column, key: str) -> Column:
     checked = lambda x: F.concat(x, ((10 - digit_sum(x, 0) % 10) % 10).cast("string"))
     return let(
         only("0-9", value),
-        lambda digits: F.when(
-            digit_sum(digits, 1) % 10 == 0, refilled(value, "0-9", let(body(digits), checked))
-        ),
+        lambda digits: F.when(valid_card(digits), refilled(value, "0-9", let(body(digits), checked))),
     )
 
 
@@ -256,6 +267,10 @@ def remainder_97(value: Column) -> Column:
     )
 
 
+def valid_iban(bare: Column) -> Column:
+    return F.length(bare).between(15, 34) & (remainder_97(bare) == 1)
+
+
 def iban(value: Column, key: str) -> Column:
     bare = F.regexp_replace(value, " ", "")
     country = F.substr(bare, F.lit(1), F.lit(2))
@@ -264,7 +279,66 @@ def iban(value: Column, key: str) -> Column:
         let(F.substr(bare, F.lit(5)), lambda x: permute_text(x, key + ":iban")),
         lambda body: F.concat(country, F.lpad(check(body).cast("string"), 2, "0"), body),
     )
-    return F.when(F.length(bare).between(15, 34) & (remainder_97(bare) == 1), refilled(value, "A-Z0-9", made))
+    return F.when(valid_iban(bare), refilled(value, "A-Z0-9", made))
+
+
+def whole_value(value: Column) -> Column:
+    """True for a card number, or an account number of its country's length, without anything else."""
+    digits = only("0-9", value)
+    bare = F.regexp_replace(value, " ", "")
+    known = F.concat(F.substr(bare, F.lit(1), F.lit(2)), F.lit("([0-9]{2})"))
+    length = F.call_function("regexp_extract", F.lit(IBAN_LENGTHS), known, F.lit(1))
+    lawful = F.when(length == "", F.length(bare).between(15, 34)).otherwise(F.length(bare) == length.try_cast("int"))
+    return (
+        F.when(value.rlike(f"^{CARD}$"), valid_card(digits))
+        .when(value.rlike(f"^{IBAN}$"), lawful & valid_iban(bare))
+        .otherwise(False)
+    )
+
+
+def parted(value: Column) -> Column:
+    """A found run that fails validation with breaks around the first, and then longest, valid value between its separators."""
+    places = F.filter(F.sequence(F.lit(1), F.length(value)), lambda i: F.substr(value, i, F.lit(1)).isin(" ", "-"))
+    starts = lambda at: F.concat(F.array(F.lit(1)), F.transform(at, lambda i: i + 1))
+    ends = lambda at: F.reverse(F.concat(at, F.array(F.length(value) + 1)))
+    runs = lambda at: F.flatten(
+        F.transform(
+            starts(at),
+            lambda start: F.transform(
+                F.filter(ends(at), lambda end: (end - start).between(13, 44)),
+                lambda end: F.struct(start.alias("start"), F.substr(value, start, end - start).alias("own")),
+            ),
+        )
+    )
+    broken = lambda run: F.concat(
+        F.substr(value, F.lit(1), run["start"] - 1),
+        F.when(run["start"] > 1, BREAK).otherwise(""),
+        run["own"],
+        F.lit(BREAK),
+        F.substr(value, run["start"] + F.length(run["own"])),
+    )
+    found = let(places, lambda at: F.get(F.filter(runs(at), lambda run: whole_value(run["own"])), F.lit(0)))
+    several = value.rlike(SEPARATED) & value.rlike("[ -]") & ~value.rlike(f"^(?:{NANP}|{PHONE}|{DATE}|{SSN})$")
+    invalid = F.when(value.rlike("^[A-Z]"), ~valid_iban(F.regexp_replace(value, " ", ""))).otherwise(~valid_card(only("0-9", value)))
+    return F.when(several & invalid, let(found, lambda run: F.when(run.isNull(), value).otherwise(broken(run)))).otherwise(value)
+
+
+def with_breaks(text: Column) -> Column:
+    """``text`` with breaks inside runs that hold a valid value and more, scanned again behind each until nothing changes."""
+
+    def again(state: Column) -> Column:
+        found = lambda t: F.transform(F.regexp_extract_all(t, F.lit(ANY), 0), parted)
+        made = let(
+            state["text"],
+            lambda t: F.array_join(
+                F.zip_with(F.split(t, ANY, -1), found(t), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
+            ),
+        )
+        return let(made, lambda new: F.struct(new.alias("text"), (new != state["text"]).alias("going")))
+
+    rounds = F.sequence(F.lit(1), F.greatest(F.floor(F.length(text) / 13).cast("int"), F.lit(1)))  # a value has 13 signs at least
+    start = F.struct(text.alias("text"), F.lit(True).alias("going"))
+    return F.aggregate(rounds, start, lambda s, _: F.when(s["going"], again(s)).otherwise(s), lambda s: s["text"])
 
 
 def pseudonym(value: Column, key: str) -> Column:
@@ -288,6 +362,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", count: str
     null (count 0), empty ones empty. Equal rows give equal rows. Other columns are carried along.
     """
     whole = text_or_empty(text)
+    several = whole.rlike(r"[A-Z0-9](?:[ -]?[A-Z0-9]){12}") & whole.rlike(r"[0-9][ -]") & ~whole.contains(BREAK)
+    docs = docs.withColumn("__scanned", F.when(several, with_breaks(whole)).otherwise(whole))
+    whole = F.col("__scanned")
     candidate = whole.rlike(FIRST_SIGNS)
     found = F.when(candidate, F.regexp_extract_all(whole, F.lit(ANY), 0))
     working = docs.select("*", F.struct(found.alias("found")).alias("__pii"))
@@ -298,8 +375,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", count: str
     between = F.split(whole, ANY, -1)
     chosen = F.zip_with(F.col("__pii.found"), F.col("__pii.made"), lambda old, new: F.coalesce(new, old))
     joined = F.array_join(F.zip_with(between, chosen, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = working.withColumn(text, F.when(F.col("__pii").isNull(), F.col(text)).otherwise(joined))
+    out = working.withColumn(text, F.when(F.col("__pii").isNull(), F.col(text)).otherwise(F.when(F.col(text).contains(BREAK), joined).otherwise(F.replace(joined, F.lit(BREAK), F.lit("")))))
     if count:
         number = F.size(F.filter(F.col("__pii.made"), lambda x: x.isNotNull()))
         out = out.withColumn(count, F.when(F.col("__pii").isNull(), 0).otherwise(number).cast("long"))
-    return out.drop("__pii")
+    return out.drop("__pii", "__scanned")

@@ -114,3 +114,21 @@ def test_values_beside_signs_and_further_telephone_forms(spark):
     assert len({re.sub(r"\D", "", t)[-10:] for t in linked}) == 1 and all(t.lstrip("+").startswith("1") for t in linked[:2])
     parts = ["v1.2.3.4.5", "a4111111111111111", "4111111111111111b", "2024-01-05Tuesday", "x2024-01-05"]
     assert replaced(spark, parts) == [(p, 0) for p in parts]
+
+
+FOLLOWED = [
+    ("4111111111111111", " 123"), ("4111 1111 1111 1111", " 12/25"), ("4111111111111111", " 2 items"), ("ES91 2100 0418 4502 0005 1332", " PARA"),
+    ("4111111111111111", " 12 x"),
+]
+
+
+def test_runs_of_a_valid_value_and_more(spark):
+    texts = [value + more for value, more in FOLLOWED]
+    for (value, more), (text, n) in zip(FOLLOWED, replaced(spark, texts)):
+        assert n == 1 and text.endswith(more) and value not in text and shape(text) == shape(value + more), text
+    ((text, n), (other, m), (pair, k), *rest) = replaced(
+        spark, ["4111111111111111 123-45-6789", "no. 12 4111111111111111", "4111111111111111 123, 4111 1111 1111 1111 99", "4111111111111112 123"]
+    )
+    assert n == 2 and "123-45-6789" not in text and shape(text) == "9" * 16 + " 999-99-9999"
+    assert m == 1 and other.startswith("no. 12 ") and "4111111111111111" not in other
+    assert k == 2 and pair.endswith(" 99") and " 123, " in pair and rest == [("4111111111111112 123", 0)]
