@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, ctw, fingerprints, jaccard, knn, mixing, pii, secret_scan, suffixes, toxicity
+from shelfwise.llm import alignment, bpe, ctw, fingerprints, jaccard, knn, mixing, pii, secret_scan, suffixes, toxicity
 from shelfwise.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.report(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_knn": op1_knn,
     "op2_pseudonyms": op2_pseudonyms,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_suffixes": op10_suffixes,
+    "op12_alignment": op12_alignment,
 }
 
 OP1_SQL = """
