@@ -18,6 +18,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ CHUNK_BYTES = 16_384
 BLOCK_BYTES = 32_000_000
 SLICE_BYTES = 1_000_000
 FAN = 8
-KNOWN_WORDS = 150_000  # words whose groups a worker keeps; it starts anew beyond
+KNOWN_WORDS = 300_000  # words whose groups a worker keeps; it starts anew beyond
 
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>$")
@@ -70,7 +71,6 @@ class Tokenizers:
         """Start with no known words."""
         self.place: dict[str, int] = {}
         self.groups: list[str] = []
-        self.ids: list[tuple[list[int], list[int]]] = []
         self.keys = np.zeros(0, np.uint32)
         self.links, self.n_a, self.n_b, self.valid = (np.zeros(0, int) for _ in range(4))
 
@@ -80,35 +80,35 @@ class Tokenizers:
 
     def learn(self, words: list[str]) -> None:
         """Groups of new words. A word is valid if both tokenizers give back a blank and its bytes."""
-        a, b = self.encode(words)
+        lists = self.encode(words)
         raw = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
-        same = [
-            b"".join(map(self.bytes_a.__getitem__, x)) == r == b"".join(map(self.bytes_b.__getitem__, y))
-            for x, y, r in zip(a, b, raw)
-        ]
-        a, b = ([x if ok else [] for x, ok in zip(ids, same)] for ids in (a, b))
-        count_a, count_b = (np.array([len(x) for x in ids], int) for ids in (a, b))
-        flat_a, flat_b = (np.array([i for x in ids for i in x], int) for ids in (a, b))
-        ends_a, ends_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        last_a, last_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
-        named_a, named_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        texts, i, j = [], 0, 0
-        for p, q in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
-            texts.append(f"{','.join(named_a[i:p])}|{','.join(named_b[j:q])}")
-            i, j = p, q
-        word_ends = np.cumsum([len(r) if ok else 0 for r, ok in zip(raw, same)])
-        upto = np.searchsorted(shared, word_ends, "right")
+        sizes = np.array(list(map(len, raw)), int)
+        same = np.ones(len(words), bool)
+        for ids, table in zip(lists, (self.bytes_a, self.bytes_b)):
+            made = [b"".join(map(table.__getitem__, x)) for x in ids]
+            if made != raw:
+                same &= np.array([x == r for x, r in zip(made, raw)])
+        flat, ends, counts = [], [], []
+        for ids, table in zip(lists, (self.size_a, self.size_b)):
+            kept = [x if ok else () for x, ok in zip(ids, same.tolist())] if not same.all() else ids
+            counts.append(np.array(list(map(len, kept)), int))
+            flat.append(np.fromiter(chain.from_iterable(kept), int, int(counts[-1].sum())))
+            ends.append(np.cumsum(table[flat[-1]]))
+        shared = np.intersect1d(*ends, assume_unique=True)
+        last = [np.searchsorted(e, shared) for e in ends]
+        texts = group_texts(*(list(map(str, ids.tolist())) for ids in flat), *((x + 1).tolist() for x in last))
+        upto = np.searchsorted(shared, np.cumsum(np.where(same, sizes, 0)), "right")
         first = 0
-        for k, (w, end) in enumerate(zip(words, upto.tolist())):
-            self.place[w] = len(self.groups)
-            self.groups.append(";".join(texts[first:end]))
-            self.ids.append((a[k], b[k]))
+        known = len(self.groups)
+        for w, end in zip(words, upto.tolist()):
+            self.groups.append(";".join(texts[first:end]) if end - first != 1 else texts[first])
             first = end
-        self.keys = np.concatenate((self.keys, (flat_a[last_a] * len(self.bytes_b) + flat_b[last_b]).astype(np.uint32)))
+        self.place.update(zip(words, range(known, len(self.groups))))
+        keys = flat[0][last[0]] * len(self.bytes_b) + flat[1][last[1]]
+        self.keys = np.concatenate((self.keys, keys.astype(np.uint32)))
         self.links = np.concatenate((self.links, np.diff(upto, prepend=0)))
-        self.n_a, self.n_b = np.concatenate((self.n_a, count_a)), np.concatenate((self.n_b, count_b))
-        self.valid = np.concatenate((self.valid, np.array(same, int)))
+        self.n_a, self.n_b = np.concatenate((self.n_a, counts[0])), np.concatenate((self.n_b, counts[1]))
+        self.valid = np.concatenate((self.valid, same.astype(int)))
         self.starts = np.cumsum(self.links) - self.links
 
     def places(self, lists: list[list[str]]) -> list[np.ndarray]:
@@ -121,6 +121,18 @@ class Tokenizers:
         return [np.array(list(map(self.place.__getitem__, words)), int) for words in lists]
 
 
+def group_texts(a: list[str], b: list[str], upto_a: list[int], upto_b: list[int]) -> list[str]:
+    """Texts of groups that end before the given places of both lists of ids."""
+    texts, i, j = [], 0, 0
+    for p, q in zip(upto_a, upto_b):
+        if p - i == 1 == q - j:
+            texts.append(f"{a[i]}|{b[j]}")
+        else:
+            texts.append(f"{','.join(a[i:p])}|{','.join(b[j:q])}")
+        i, j = p, q
+    return texts
+
+
 def piece_bytes(piece: str) -> bytes:
     byte = BYTE_PIECE.match(piece)
     return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
@@ -174,7 +186,7 @@ def ids_text(ids: list[int]) -> str:
     return ",".join(map(str, ids))
 
 
-def part_fragment(known: Tokenizers, places: np.ndarray, sizes: np.ndarray, part: int, base: int, low: int, high: int):
+def part_fragment(known: Tokenizers, words: list[str], places: np.ndarray, sizes: np.ndarray, part: int, base: int, low: int, high: int):
     """The fragment of bytes low to high of a document, from the words that overlap them.
 
     Returns it with its closed groups' text, numbers of tokens, and link keys.
@@ -187,12 +199,13 @@ def part_fragment(known: Tokenizers, places: np.ndarray, sizes: np.ndarray, part
     n_a, n_b = int(known.n_a[places[whole]].sum()), int(known.n_b[places[whole]].sum())
     n_links = known.links[places[whole]]
     keys = [known.keys[spread(known.starts[places[whole]], n_links)]]
-    ends_of = lambda chosen, side, table: [
-        t for k in chosen for t in edge_tokens(known.ids[places[k]][side], table, int(starts[k]), low, high)
-    ]
     runs, tails = [], []
     for chosen in (before, after):
-        a, b = ends_of(chosen, 0, known.size_a), ends_of(chosen, 1, known.size_b)
+        lists = known.encode([words[k] for k in chosen]) if chosen else ([], [])
+        a, b = (
+            [t for k, x in zip(chosen, ids) for t in edge_tokens(x, table, int(starts[k]), low, high)]
+            for ids, table in zip(lists, (known.size_a, known.size_b))
+        )
         groups, rest_a, rest_b = closed(a, b)
         n_a, n_b = n_a + len(a), n_b + len(b)
         keys.append(np.array([x[-1] * len(known.bytes_b) + y[-1] for x, y in groups], np.uint32))
@@ -208,10 +221,9 @@ def part_fragment(known: Tokenizers, places: np.ndarray, sizes: np.ndarray, part
     return Fragment(True, part, *head.split("|"), *tail), text, n_a, n_b, np.concatenate(keys)
 
 
-def split_words(text: str) -> tuple[list[str], np.ndarray]:
-    """Words of a text and their sizes in bytes, the blank before each included."""
-    words = BETWEEN_WORDS.split(text)
-    return words, np.array([len(w.encode("utf-8", "surrogatepass")) + 1 for w in words], int)
+def word_sizes(words: list[str]) -> np.ndarray:
+    """Sizes of words in bytes, the blank before each included."""
+    return np.array([len(w.encode("utf-8", "surrogatepass")) + 1 for w in words], int)
 
 
 def byte_ranges(ends: np.ndarray, chunk_bytes: int) -> np.ndarray:
@@ -255,7 +267,8 @@ def cut_documents(chunk_bytes: int, schema: pa.Schema):
         for batch in slices(batches, "text"):
             out = {f.name: [] for f in schema}
             for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
-                words, sizes = split_words(text)
+                words = BETWEEN_WORDS.split(text)
+                sizes = word_sizes(words)
                 ends = np.cumsum(sizes)
                 highs = byte_ranges(ends, chunk_bytes)
                 for part, (low, high) in enumerate(zip([0, *highs.tolist()], highs.tolist())):
@@ -276,21 +289,21 @@ def encode_units(vocabulary, model, keep_groups: bool, schema: pa.Schema):
         task, block, filled = TaskContext.get().partitionId() << 24, 0, 0
         for batch in slices(batches, "text"):
             rows = batch.to_pylist()
-            cut = [split_words(r["text"]) if r["text"] else ([], np.zeros(0, int)) for r in rows]
-            places = known.places([words for words, _ in cut])
+            cut = [BETWEEN_WORDS.split(r["text"]) if r["text"] else [] for r in rows]
+            places = known.places(cut)
             out = {f.name: [] for f in schema}
-            for r, (_, sizes), at in zip(rows, cut, places):
+            for r, words, at in zip(rows, cut, places):
                 valid = bool(known.valid[at].all())
                 unit = dict(row=r["row"], doc_id=r["doc_id"], valid=valid, n_a=0, n_b=0, n_groups=0, groups="", links=b"", part=r["part"])
                 if valid and r["part"] is not None:
-                    found = part_fragment(known, at, sizes, r["part"], r["base"], r["low"], r["high"])
+                    found = part_fragment(known, words, at, word_sizes(words), r["part"], r["base"], r["low"], r["high"])
                     unit |= vars(found[0]) | dict(groups=found[1], n_a=found[2], n_b=found[3], n_groups=len(found[4]), links=packed(found[4]))
                 elif valid and len(at):
                     text = ";".join(map(known.groups.__getitem__, at.tolist()))
                     keys = known.keys[spread(known.starts[at], known.links[at])]
                     unit |= dict(n_a=int(known.n_a[at].sum()), n_b=int(known.n_b[at].sum()), n_groups=len(keys), links=packed(keys))
                     unit["groups"] = text if keep_groups else hashlib.sha256(text.encode()).hexdigest()
-                filled += int(sizes.sum())
+                filled += len(r["text"])
                 for name, values in out.items():
                     values.append(unit.get(name) if name != "block" else task | block)
             yield rows_batch(out, schema)
