@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import alignment, bpe, ctw, fingerprints, jaccard, knn, mixing, pii, secret_scan, suffixes, toxicity
+from shelfwise.llm import alignment, bpe, ctw, filter_audit, fingerprints, jaccard, knn, mixing, pii, secret_scan, suffixes, toxicity, warc
 from shelfwise.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,10 +55,18 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.report(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.report(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_knn": op1_knn,
     "op2_pseudonyms": op2_pseudonyms,
@@ -70,7 +78,9 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_suffixes": op10_suffixes,
+    "op11_filter_audit": op11_filter_audit,
     "op12_alignment": op12_alignment,
+    "op13_warc": op13_warc,
 }
 
 OP1_SQL = """
@@ -114,7 +124,63 @@ SELECT doc_id, size, b.source_size, b.target,
 FROM drawn d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 """
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels GROUP BY doc_id),
+flags AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         len(words) < 100 AS a,
+         100 * len(list_distinct(words)) < 80 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(d.doc_id > MIN(d.doc_id) OVER (PARTITION BY text), false) AS e
+  FROM docs d LEFT JOIN marks m ON d.doc_id = m.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT v.x || w.x || x.x || y.x || z.x AS filter_order FROM letters v, letters w, letters x, letters y, letters z
+  WHERE len(list_distinct([v.x, w.x, x.x, y.x, z.x])) = 5),
+failing AS (
+  SELECT part, good, toxic, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END)
+         || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+         COUNT(*) AS n
+  FROM flags GROUP BY ALL),
+gone AS (
+  SELECT f.*, filter_order, CASE WHEN fails = '' THEN 6 ELSE list_min(list_transform(string_split(fails, ''),
+         lambda x: instr(filter_order, x))) END AS gone_at
+  FROM failing f, orders),
+steps AS (
+  SELECT part, filter_order, CAST(s.step AS INT) AS step, substr(filter_order, s.step, 1) AS x,
+         SUM(CASE WHEN gone_at > s.step THEN n ELSE 0 END) AS kept, SUM(CASE WHEN gone_at = s.step THEN n ELSE 0 END) AS removed,
+         SUM(CASE WHEN gone_at < s.step AND contains(fails, substr(filter_order, s.step, 1)) THEN n ELSE 0 END) AS redundant,
+         SUM(CASE WHEN fails = substr(filter_order, s.step, 1) THEN n ELSE 0 END) AS unique_fails,
+         SUM(CASE WHEN gone_at = s.step AND good THEN n ELSE 0 END) AS good_lost,
+         SUM(CASE WHEN gone_at = s.step AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM gone, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(SUM(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM steps
+"""
+
+OP13_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+ranked AS (
+  SELECT *, sha256(html) AS payload_digest, FIRST_VALUE(page_id) OVER same AS first_id, ROW_NUMBER() OVER same AS n
+  FROM payloads WINDOW same AS (PARTITION BY html ORDER BY page_id NULLS LAST))
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND n > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND n > 1 THEN first_id END AS refers_to
+FROM ranked
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_knn": OP1_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op13_warc": OP13_SQL,
 }
