@@ -524,6 +524,8 @@ ORACLES["conform_union"] = f"WITH {CONFORMED} SELECT * FROM conformed"
 ORACLES["column_mapping"] = f"""WITH {LISTINGS} SELECT {present('url_raw')} AS game_url, {present('rating_raw')} AS rating_raw,
  {present('price_raw')} AS current_price_raw, genres_raw AS genres, data_source FROM listings WHERE data_source = 'instant_gaming'"""
 ORACLES["csv_mixed_headers"] = f"WITH {LISTINGS} SELECT CAST(id AS VARCHAR) AS id, {present('title_raw')} AS title_raw, genres_raw FROM listings"
+ORACLES["csv_line_breaks"] = f"""SELECT CAST(doc_id AS VARCHAR) AS id, {present("replace(text, chr(13), ' ')")} AS text,
+ '5" ' || chr(10) || ', "' || source || '",' || chr(10) || chr(10) AS note FROM documents"""
 ORACLES["csv_replacing"] = f"""WITH {LISTINGS} SELECT title_raw || ' ' || chr(65533) || ', "' || chr(65533) || '"' || chr(10) || chr(65533) AS title,
  CAST(id AS VARCHAR) AS id FROM listings"""
 ORACLES["csv_round_trip"] = f"""WITH {LISTINGS} SELECT title_raw || ' é, "ü"' || chr(10) || 'ß' AS title, CAST(id AS VARCHAR) AS id,
@@ -701,7 +703,8 @@ _STORE_C = f"""{LISTINGS}, {_ITEMS}, {_DETAIL.format('GOG')}, e AS (
   CONCAT('https://www.gog.com/en/game/item_', app) AS url, CASE WHEN id % 12 = 2 AND id % 23 <> 0 THEN 'SOON' ELSE '' END AS tag,
   CASE WHEN id % 29 = 0 THEN shown || ' Season Pass' WHEN id % 10 = 1 THEN CONCAT('Item ', app) ELSE shown END AS name
  FROM items WHERE data_source = 'GOG'),
-k AS (SELECT * FROM e WHERE id % 29 <> 0 AND id % 23 <> 0 {_FIRST}),
+o AS (SELECT * FROM e QUALIFY ROW_NUMBER() OVER (PARTITION BY page_id, url ORDER BY position) = 1),
+k AS (SELECT * FROM o WHERE id % 29 <> 0 AND id % 23 <> 0 {_FIRST}),
 r AS (SELECT k.*, d.app AS found, d.developer_raw AS dev, d.publisher_raw AS pub FROM k LEFT JOIN d USING (app)),
 records_c AS (SELECT url, page_id, position, CASE WHEN tag = '' THEN name ELSE 'SOON   ' || name END AS title,
  CASE WHEN id % 7 = 0 THEN 'Free' WHEN id % 2 = 0 THEN CONCAT('$', id, '.99') ELSE CONCAT('$ ', id, '.49') END AS price,

@@ -564,6 +564,21 @@ def csv_round_trip(spark, folder):
     return read_csv(spark, path, multi_line=True).drop(ARRIVAL)
 
 
+@query
+def csv_line_breaks(spark, folder):
+    """Documents of several lines, with quotes and commas, in two charsets, read in splits by default."""
+    rows = table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.replace("text", F.lit("\r"), F.lit(" ")).alias("text"),
+        F.concat(F.lit('5" \n, "'), "source", F.lit('",\n\n')).alias("note"),
+    )
+    path = shared_folder(spark)
+    latin = F.coalesce((F.col("id").cast("bigint") % 2 == 1) & ~F.col("text").rlike(r"[^\x00-\xFF]"), F.lit(False))
+    export_csv(rows.filter(~latin), path, "append", "UTF-8")
+    export_csv(rows.filter(latin).select("note", "text", "id"), path, "append", "ISO-8859-1")
+    return read_csv(spark, path).drop(ARRIVAL)
+
+
 @query
 def csv_mixed_headers(spark, folder):
     """The listings written in two file sets with their columns in opposite orders."""

@@ -10,7 +10,7 @@ from shelfwise.plans import registry
 
 
 QUERIES = registry.queries()
-PYTHON_QUERIES = ("store_page_records", "crawl_", "fix_encoding", "clean_catalog", "model_", "missing_by", "unknown_by", "step_retention")
+PYTHON_QUERIES = ("csv_", "store_page_records", "crawl_", "fix_encoding", "clean_catalog", "model_", "missing_by", "unknown_by", "step_retention")
 
 
 def plan_of(spark, folder, name):

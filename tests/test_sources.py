@@ -78,6 +78,53 @@ def test_carousel_candidates_in_order(spark):
     assert rows(pages.details_a(details, {}), "url")[0]["videos"] == ["https://v/2/movie_max_vp9.webm"]
 
 
+LINES = [
+    ("plain", "a,b", "5 inch"), ("two\nlines", "U1", "x"), ('quoted "word"', "\n\nstarts and ends\n", "y"), ("T2", None, "N,2"),
+    ("é\n\"ü\",\n\"", "z", '"'), ("many\n" * 40 + "end", "w", "v"), ("\",\"\n\",\"", "q", ","), ("last", "one", "row"),
+]
+
+
+@pytest.mark.parametrize("size", ["32b", "64b", "1k", "1m"])
+@pytest.mark.parametrize("charset", ["utf-8", "latin-1"])
+def test_csv_cells_with_line_breaks_are_read_in_splits(spark, tmp_path, size, charset):
+    import csv
+
+    with open(tmp_path / "a.csv", "w", encoding=charset, newline="") as file:
+        writer = csv.writer(file, lineterminator="\r\n" if size == "64b" else "\n")
+        writer.writerows([("title", "url", "no, te"), *(row for _ in range(5) for row in LINES)])
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1b", "spark.sql.files.minPartitionNum": "1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        frame = read_csv(spark, str(tmp_path))
+        found = [tuple(r)[:3] for r in frame.orderBy(ARRIVAL).collect()]
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    whole = {tuple(r)[:3] for r in read_csv(spark, str(tmp_path), multi_line=True).collect()}
+    assert found == [row for _ in range(5) for row in LINES]
+    assert set(found) == whole or size == "64b"
+    assert tasks > (5 if size in ("32b", "64b") else 0)
+
+
+def test_csv_signs_amid_cells_are_no_borders_and_uneven_quotes_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('title,note\n5" disk,plain\nab"c"d,"x\ny"\n\n,\n')
+    found = {tuple(r)[:2] for r in read_csv(spark, str(tmp_path)).collect()}
+    assert found == {('5" disk', "plain"), ('ab"c"d', "x\ny"), (None, None)}
+    (tmp_path / "b.csv").write_text('title,note\n"open,plain\nnext,line\n')
+    with pytest.raises(ValueError, match="b.csv"):
+        read_csv(spark, str(tmp_path))
+    assert read_csv(spark, str(tmp_path), line_breaks=False).count() > 0
+
+
+def test_csv_of_one_kind_is_not_joined_or_shuffled(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,url\nT1,U1\n")
+    (tmp_path / "b.csv").write_text("title,url\nT2,U2\n")
+    plan = read_csv(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_csv_replaces_bad_bytes(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"title\nCaf\xe9\n")
     assert [r["title"] for r in read_csv_replacing(spark, str(tmp_path)).collect()] == ["Caf�"]
