@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import zero_to_null
 from shelfwise.functions.text import genre_names
+from shelfwise.operators import rules
 from shelfwise.operators.numbering import numbered
+from shelfwise.operators.store import Change, Store, next_start
 from shelfwise.schemas import MODEL, ddl
-from shelfwise.session import exists, staging
+from shelfwise.session import exists, staging, stored
 from shelfwise.sources.csv import save_table
 from shelfwise.sources.media import register_media
 
 RATING_RANGE = (0, 100)
 
+# Without the rules on ids that numbering keeps by itself.
+CATALOGUE_RULES = {
+    "games": rules.Rules(("game_title",), (("id",),)),
+    "genres": rules.Rules(("genre_name",), (("genre_name",),)),
+    "game_genres": rules.Rules((), (("game_id", "genre_id"),), (("game_id", "games", "id"), ("genre_id", "genres", "id"))),
+}
+
 
 @dataclass(frozen=True)
 class Catalogue:
@@ -42,6 +50,22 @@ class Catalogue:
         return cls(**tables)
 
 
+    def save_bucketed(self, folder: str, prefix: str, buckets: int) -> None:
+        """Write tables named ``prefix`` + name, games and links in buckets of the game's id, one file each.
+
+        Joins of games and links then need no shuffle. ``buckets`` should leave a bucket of links that fits a task.
+        """
+        for name, key in (("games", "id"), ("game_genres", "game_id")):
+            rows = getattr(self, name).repartition(buckets, key)
+            rows.write.bucketBy(buckets, key).sortBy(key).option("path", f"{folder}/{name}").saveAsTable(f"{prefix}{name}")
+        self.genres.write.option("path", f"{folder}/genres").saveAsTable(f"{prefix}genres")
+
+    @classmethod
+    def load_bucketed(cls, spark, prefix: str) -> Catalogue:
+        """The tables written by ``save_bucketed``."""
+        return cls(*(spark.table(f"{prefix}{name}") for name in ("games", "genres", "game_genres")))
+
+
 def game_rows(final: DataFrame, zero_is_null: bool = True) -> DataFrame:
     """Typed game columns; a zero rating, count, price or discount reads as missing."""
     numeric = ("rating", "review_count", "discounted_price", "original_price", "discount_percentage")
@@ -154,44 +178,9 @@ def cascade_delete(child: DataFrame, column: str, parent: DataFrame, key: str) -
     return child.join(parent.select(F.col(key).alias(column)), column, "left_semi")
 
 
-def audit_keys(name: str, table: DataFrame) -> dict[str, DataFrame]:
-    """Missing and repeated ids of one table."""
-    return {f"{name}.id not null": audit_not_null(table, ["id"], "id"), f"{name}.id unique": audit_unique(table.filter("id is not null"), ["id"])}
-
-
-def violations(checks: dict[str, DataFrame]) -> DataFrame:
-    """One row per rule with the number of rows that break it."""
-    counts = [df.agg(F.count("*").alias("violations")).select(F.lit(r).alias("rule"), "violations") for r, df in checks.items()]
-    return reduce(DataFrame.unionByName, counts)
-
-
-def audit_intake(games: DataFrame, media: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Violations per rule of the tables that are filled after the load."""
-    rating = F.col("rating").between(*RATING_RANGE)
-    return violations(
-        audit_keys("media_files", media)
-        | {"media_files.game_id references games": audit_foreign_key(media, "game_id", games, "id")}
-        | audit_keys("user_reviews", reviews)
-        | {
-            "user_reviews.user_name not null": audit_not_null(reviews, ["user_name"], "id"),
-            "user_reviews.rating in range": audit_check(reviews, rating),
-            "user_reviews.game_id references games": audit_foreign_key(reviews, "game_id", games, "id"),
-        }
-    )
-
-
 def audit_catalogue(games: DataFrame, genres: DataFrame, game_genres: DataFrame) -> DataFrame:
-    """Violations per rule of the model, one row per rule."""
-    checks = {
-        "games.game_title not null": audit_not_null(games, ["game_title"], "id"),
-        "games.id unique": audit_unique(games, ["id"]),
-        "genres.genre_name not null": audit_not_null(genres, ["genre_name"], "id"),
-        "genres.genre_name unique": audit_unique(genres, ["genre_name"]),
-        "game_genres pair unique": audit_unique(game_genres, ["game_id", "genre_id"]),
-        "game_genres.game_id references games": audit_foreign_key(game_genres, "game_id", games, "id"),
-        "game_genres.genre_id references genres": audit_foreign_key(game_genres, "genre_id", genres, "id"),
-    }
-    return violations(checks)
+    """Violations per rule of the model's keys, names and links, one row per rule."""
+    return rules.audit({"games": games, "genres": genres, "game_genres": game_genres}, CATALOGUE_RULES)
 
 
 # --------------------------------------------------------------------------
@@ -241,3 +230,91 @@ def append_media(files: DataFrame, games: DataFrame, path: str) -> None:
     rows = register_media(files, games).withColumn("uploaded_at", F.current_timestamp())
     with staging(files.sparkSession):
         save_table(numbered(rows, start=highest_id(files.sparkSession, "media_files", path)), path, "append")
+
+
+# --------------------------------------------------------------------------
+# A model in a store: batches that may be repeated, and deletions.
+# --------------------------------------------------------------------------
+
+# The model's tables and the reviews that were not accepted.
+STORE_TABLES = MODEL | {"rejected_reviews": MODEL["user_reviews"] | {"reason": "string"}}
+LINK = ("data_source", "game_url")
+
+
+def open_store(spark, root: str) -> Store:
+    return Store(spark, root, STORE_TABLES)
+
+
+def stored_catalogue(store: Store) -> Catalogue:
+    entries = store.entries()
+    return Catalogue(*(store.table(name, entries) for name in ("games", "genres", "game_genres")))
+
+
+def _same(left: DataFrame, right: DataFrame, columns: tuple[str, ...]) -> Column:
+    """Equal in all columns; nulls are equal to each other."""
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & left[c].eqNullSafe(right[c])
+    return condition
+
+
+def store_records(store: Store, batch: str, final: DataFrame, zero_is_null: bool = True) -> bool:
+    """Load final records into a store that may be filled: games by source and link, genres by name, links by pair.
+
+    What is stored keeps its id, what is not gets the next ones: a game whose source and link are known adds no row
+    (a null link is one link of its source), only links to genres it lacked. All three tables change together, and a batch
+    that was loaded before changes nothing (False).
+    """
+
+    def build(entries: list[dict]) -> Change:
+        games, genres, links = (store.table(name, entries) for name in ("games", "genres", "game_genres"))
+        known = games.groupBy(*LINK).agg(F.min("id").alias("id"))
+        rows = stored(game_rows(final, zero_is_null))
+        fresh = rows.join(known, _same(rows, known, LINK), "left_anti")
+        added = numbered(fresh.drop("genre_list"), start=next_start(games))
+        every = known.unionByName(added.groupBy(*LINK).agg(F.min("id").alias("id")))
+        linked = rows.join(every, _same(rows, every, LINK)).select(every["id"], rows["genre_list"])
+        pairs = stored(genre_pairs(linked).distinct())
+        names = pairs.select("genre_name").distinct().join(genres, "genre_name", "left_anti")
+        new_genres = numbered(names, "genre_name", start=next_start(genres)).withColumn("description", F.lit(None).cast("string"))
+        named = genres.select("id", "genre_name").unionByName(new_genres.select("id", "genre_name"))
+        bridge = bridge_table(pairs, named).join(links.select("game_id", "genre_id"), ["game_id", "genre_id"], "left_anti")
+        return Change(
+            add={
+                "games": added.withColumn("created_at", F.current_timestamp()),
+                "genres": new_genres,
+                "game_genres": numbered(bridge, start=next_start(links)),
+            }
+        )
+
+    return store.commit(batch, build)
+
+
+def store_reviews(store: Store, batch: str, reviews: DataFrame) -> bool:
+    """Store a batch of reviews, accepted and rejected ones together, once however often it is given (False after that)."""
+
+    def build(entries: list[dict]) -> Change:
+        games = store.table("games", entries)
+        accepted = accepted_reviews(reviews.drop("id"), games)
+        dates = F.col("review_date") if "review_date" in accepted.columns else F.lit(None).cast("timestamp")
+        dated = accepted.withColumn("review_date", F.coalesce(dates.cast("timestamp"), F.current_timestamp()))
+        start = next_start(store.table("user_reviews", entries))
+        return Change(add={"user_reviews": numbered(dated, start=start), "rejected_reviews": rejected_reviews(reviews, games)})
+
+    return store.commit(batch, build)
+
+
+def store_media(store: Store, batch: str, files: DataFrame) -> bool:
+    """Register the files of a ``(path, length)`` listing, once however often the batch is given (False after that)."""
+
+    def build(entries: list[dict]) -> Change:
+        rows = register_media(files, store.table("games", entries)).withColumn("uploaded_at", F.current_timestamp())
+        return Change(add={"media_files": numbered(rows, start=next_start(store.table("media_files", entries)))})
+
+    return store.commit(batch, build)
+
+
+def delete_games(store: Store, batch: str, ids: DataFrame) -> bool:
+    """Delete games (``ids``: one column) and all rows that refer to them; files without such rows stay as they are."""
+    columns = {"games": "id", "game_genres": "game_id", "media_files": "game_id", "user_reviews": "game_id"}
+    return store.delete_keys(batch, ids, columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import mean
@@ -110,6 +110,36 @@ def find_by_titles(games: DataFrame, wanted: DataFrame) -> DataFrame:
     return lowest.join(wanted.select(F.col("wanted").alias("game_title")), "game_title", "left_semi").select("id", "game_title")
 
 
+GRAM = 3
+
+
+def _grams(text: Column, n: int) -> Column:
+    """All runs of ``n`` signs of a text, without repeats."""
+    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1)))
+    return F.array_distinct(F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.substring(text, i, F.lit(n))))
+
+
+def find_by_title_parts(games: DataFrame, wanted: DataFrame) -> DataFrame:
+    """For each text of ``wanted``: the game with exactly this title, else the first whose title contains it, ignoring case.
+
+    Titles are listed under the runs of three signs in them. A text meets only the titles listed under its rarest
+    run, which are then checked; a text of fewer signs is listed itself. Texts without a game give no row, null ones neither.
+    """
+    texts = wanted.select("wanted").filter("wanted is not null").distinct().withColumn("low", F.lower("wanted"))
+    own = F.when(F.length("low") >= GRAM, _grams(F.col("low"), GRAM)).otherwise(F.array("low"))
+    keys = texts.select("wanted", "low", F.explode(own).alias("gram"))
+    titles = games.groupBy("game_title").agg(F.min("id").alias("id")).withColumn("low_title", F.lower("game_title"))
+    runs = F.concat(F.array(F.lit("")), *[_grams(F.col("low_title"), n) for n in range(1, GRAM + 1)])
+    listed = titles.select("id", "game_title", "low_title", F.explode(runs).alias("gram"))
+    lists = listed.join(keys.select("gram").distinct(), "gram", "left_semi")
+    sizes = lists.groupBy("gram").agg(F.count("*").alias("n"))
+    rank = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")
+    rarest = keys.join(sizes, "gram", "left").groupBy("wanted", "low").agg(F.min(rank)["gram"].alias("gram"))
+    hits = rarest.join(lists, "gram").filter(F.contains("low_title", "low"))
+    first = F.struct((F.col("game_title") != F.col("wanted")).alias("part"), "id", "game_title")
+    return hits.groupBy("wanted").agg(F.min(first).alias("first")).select("wanted", "first.id", "first.game_title")
+
+
 def database_stats(tables: dict[str, DataFrame], media_files: DataFrame) -> DataFrame:
     """Row counts and, per media type, files and bytes, in long form."""
     counts = record_counts(tables).select(

@@ -371,6 +371,11 @@ ORACLES["find_by_title"] = f"""WITH {GAMES}
 UNION ALL (SELECT 'partial', id, game_title FROM games WHERE contains(lower(game_title), 'd rin') ORDER BY id LIMIT 1)
 UNION ALL (SELECT 'literal', id, game_title FROM games WHERE contains(game_title, '%ring') ORDER BY id LIMIT 1)"""
 ORACLES["find_by_titles"] = f"WITH {GAMES} SELECT MIN(id) AS id, game_title FROM games GROUP BY game_title"
+ORACLES["find_by_title_parts"] = f"""WITH {GAMES}, wanted AS (
+ SELECT DISTINCT UNNEST([upper(substr(p_name, 3, 6)), p_name, substr(p_name, 1, 2), 'no ' || p_name]) AS wanted FROM part),
+titles AS (SELECT game_title, MIN(id) AS id FROM games GROUP BY game_title)
+SELECT wanted, id, game_title FROM wanted JOIN titles ON game_title ILIKE '%' || wanted || '%'
+QUALIFY ROW_NUMBER() OVER (PARTITION BY wanted ORDER BY game_title <> wanted, id) = 1"""
 ORACLES["append_reviews_valid"] = f"""WITH {GAMES}, {REVIEWS}
 SELECT id, game_id, user_name, rating, review_text, COALESCE(helpful_count, 0) AS helpful_count, review_date FROM reviews
 WHERE (rating BETWEEN 0 AND 100 OR rating IS NULL) AND user_name IS NOT NULL AND game_id IN (SELECT id FROM games)"""
@@ -385,12 +390,29 @@ _RULES = [
     "games.game_title not null", "genres.genre_name not null", "genres.genre_name unique", "game_genres pair unique",
     "game_genres.game_id references games", "game_genres.genre_id references genres",
     "media_files.game_id references games", "user_reviews.game_id references games", "user_reviews.user_name not null",
-    "user_reviews.rating in range",
+    "user_reviews.rating in range", "games.created_at not null", "media_files.uploaded_at not null", "user_reviews.review_date not null",
 ]
 ORACLES["audit_stored_model"] = f"SELECT UNNEST({_RULES}) AS rule, 0 AS violations"
+ORACLES["append_twice"] = f"""WITH {GAMES}, {REVIEWS}
+SELECT game_id, user_name, rating, review_text, COALESCE(helpful_count, 0) AS helpful_count, CAST(review_date AS TIMESTAMP) AS review_date FROM reviews
+WHERE (rating BETWEEN 0 AND 100 OR rating IS NULL) AND user_name IS NOT NULL AND game_id IN (SELECT id FROM games)"""
+ORACLES["cascade_rewrite"] = f"""WITH {GENRE_MODEL}, {REVIEWS}, {MEDIA}, {_REGISTERED}, kept AS (SELECT id FROM games WHERE rating < 80 OR rating IS NULL)
+SELECT 'games' AS item, COUNT(*) AS n FROM kept UNION ALL SELECT 'genres', COUNT(*) FROM genres
+UNION ALL SELECT 'game_genres', COUNT(*) FROM pairs WHERE game_id IN (SELECT id FROM kept)
+UNION ALL SELECT 'media_files', COUNT(*) FROM registered WHERE game_id IN (SELECT id FROM kept)
+UNION ALL SELECT 'user_reviews', COUNT(*) FROM reviews
+ WHERE (rating BETWEEN 0 AND 100 OR rating IS NULL) AND user_name IS NOT NULL AND game_id IN (SELECT id FROM kept)
+UNION ALL SELECT 'violations', 0"""
+ORACLES["media_file_scan"] = f"""WITH {GAMES}, files AS (
+ SELECT n_nationkey * 7 AS game_id, CASE WHEN n_nationkey % 3 = 0 THEN 'video' ELSE 'image' END AS media_type, 'list.txt' AS file_name,
+  CAST(SUM(strlen(s_name) + 1) AS BIGINT) AS file_size FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_nationkey)
+SELECT * FROM files WHERE game_id IN (SELECT id FROM games)"""
+ORACLES["bucketed_genre_price"] = ORACLES["bq7_genre_price"]
 ORACLES["model_genres"] = f"""WITH {_LOADED}, links AS (
  SELECT DISTINCT id, trim(UNNEST(string_split(genres, ','))) AS genre_name FROM loaded)
 SELECT genre_name, COUNT(*) AS game_count FROM links WHERE genre_name <> '' GROUP BY genre_name"""
+ORACLES["model_second_load"] = f"""{ORACLES["model_genres"]}
+UNION ALL SELECT 'all games', COUNT(*) FROM loaded UNION ALL SELECT 'violations', 0"""
 _BROKEN = f"""{GAMES}, broken AS (SELECT id, game_title, rating FROM games
  UNION ALL SELECT id, NULL, rating + 3 FROM games WHERE rating > 95)"""
 ORACLES["audit_not_null"] = f"""WITH {_BROKEN} SELECT id, 'game_title' AS column_name FROM broken WHERE game_title IS NULL

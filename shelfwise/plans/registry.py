@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import arrays, dates, numbers, text, urls
-from shelfwise.operators import clean, conform, dedup, model, quality
+from shelfwise.operators import clean, conform, dedup, model, quality, rules
+from shelfwise.operators.store import Change
 from shelfwise.plans import business, lookups, research
 from shelfwise.schemas import MODEL, SOURCE_A, SOURCE_B, SOURCE_C, ddl
 from shelfwise.session import shared_folder
@@ -227,6 +228,15 @@ def find_by_titles(spark, folder):
     return lookups.find_by_titles(adapters.games(spark, folder), wanted)
 
 
+@query
+def find_by_title_parts(spark, folder):
+    """Parts of titles in any case, whole titles, and texts of one or two signs, all looked up at once."""
+    names = table(spark, folder, "part").select("p_partkey", "p_name")
+    texts = F.array(F.upper(F.substring("p_name", 3, 6)), F.col("p_name"), F.substring("p_name", 1, 2), F.concat(F.lit("no "), "p_name"))
+    wanted = names.select(F.explode(texts).alias("wanted")).distinct()
+    return lookups.find_by_title_parts(adapters.games(spark, folder), wanted)
+
+
 @query
 def append_reviews_valid(spark, folder):
     return model.accepted_reviews(adapters.user_reviews(spark, folder), adapters.games(spark, folder))
@@ -261,13 +271,66 @@ def audit_stored_model(spark, folder):
         own = F.pmod(F.xxhash64("path"), F.lit(2)) == batch
         model.append_media(files.filter(own), stored.games, f"{path}/media_files")
         model.append_reviews(reviews.filter(F.col("id") % 2 == batch), stored.games, f"{path}/user_reviews", f"{path}/rejected")
-    intake = [spark.read.schema(ddl(MODEL[n])).parquet(f"{path}/{n}") for n in ("media_files", "user_reviews")]
-    keys = model.audit_keys("games", stored.games) | model.audit_keys("genres", stored.genres)
-    return (
-        model.audit_catalogue(stored.games, stored.genres, stored.game_genres).filter("rule <> 'games.id unique'")
-        .unionByName(model.violations(keys | model.audit_keys("game_genres", stored.game_genres)))
-        .unionByName(model.audit_intake(stored.games, *intake))
-    )
+    return rules.audit({name: spark.read.schema(ddl(MODEL[name])).parquet(f"{path}/{name}") for name in MODEL}, STAMPED_RULES)
+
+
+# All rules of the model, and times of load, upload and review filled in.
+STAMPED_RULES = {
+    name: rules.Rules(own.required + rules.STAMPED.get(name, ()), own.unique, own.references, own.checks)
+    for name, own in rules.MODEL_RULES.items()
+}
+
+
+def _filled_store(spark, folder):
+    """A store with the genre model, its media, and reviews in two batches."""
+    store = model.open_store(spark, shared_folder(spark))
+    games, links, genres = adapters.genre_model(spark, folder)
+    pairs = links.select("game_id", "genre_id").withColumn("id", F.xxhash64("game_id", "genre_id"))
+    store.commit("load", lambda entries: Change(add={"games": games, "genres": genres, "game_genres": pairs}))
+    model.store_media(store, "media", adapters.media_listing(spark, folder))
+    reviews = adapters.user_reviews(spark, folder)
+    for batch in (0, 1):
+        model.store_reviews(store, f"reviews {batch}", reviews.filter(F.col("id") % 2 == batch))
+    return store
+
+
+@query
+def append_twice(spark, folder):
+    """Reviews in two batches, one of them stored three times: the table holds one copy of each."""
+    store = model.open_store(spark, shared_folder(spark))
+    games = adapters.games(spark, folder)
+    store.commit("games", lambda entries: Change(add={"games": games}))
+    reviews = adapters.user_reviews(spark, folder)
+    for batch in (0, 1, 0, 0):
+        model.store_reviews(store, f"reviews {batch}", reviews.filter(F.col("id") % 2 == batch))
+    return store.table("user_reviews").drop("id")
+
+
+@query
+def model_second_load(spark, folder):
+    """Half of the records loaded, then all of them, then the half again: genres and games as after one load."""
+    store = model.open_store(spark, shared_folder(spark))
+    final = clean.final_records(_master(spark, folder), as_of())
+    half = F.pmod(F.xxhash64("game_url"), F.lit(2)) == 0
+    for batch, rows in (("half", final.filter(half)), ("all", final), ("half again", final.filter(half))):
+        model.store_records(store, batch, rows)
+    built = model.stored_catalogue(store)
+    games = built.games.agg(F.count("*").alias("game_count")).select(F.lit("all games").alias("genre_name"), "game_count")
+    broken = rules.audit({"games": built.games, "genres": built.genres, "game_genres": built.game_genres})
+    violations = broken.agg(F.sum("violations").alias("game_count")).select(F.lit("violations").alias("genre_name"), "game_count")
+    return lookups.genre_distribution(built.genres, built.game_genres).unionByName(games).unionByName(violations)
+
+
+@query
+def cascade_rewrite(spark, folder):
+    """Highly rated games deleted from a store: rows left per table, and broken rules."""
+    store = _filled_store(spark, folder)
+    model.delete_games(store, "delete", store.table("games").filter("rating >= 80").select("id"))
+    entries = store.entries()
+    tables = {name: store.table(name, entries) for name in MODEL}
+    counts = lookups.record_counts(tables).select(F.col("table_name").alias("item"), "n")
+    broken = rules.audit(tables).agg(F.sum("violations").alias("n")).select(F.lit("violations").alias("item"), "n")
+    return counts.unionByName(broken)
 
 
 @query
@@ -674,6 +737,28 @@ def link_filter(spark, folder):
     return pages.product_links(pages.has_url(_entries(spark, folder))).select("id", "url")
 
 
+@query
+def media_file_scan(spark, folder):
+    """Files stored per supplier nation, found again by path and length and registered for the games with its number."""
+    path = shared_folder(spark)
+    listed = table(spark, folder, "supplier").join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    kind = F.when(F.col("n_nationkey") % 3 == 0, "videos").otherwise("images")
+    name = F.concat(F.lit("game_"), F.col("n_nationkey") * 7, F.lit("_list.txt"))
+    adapters.store_named_files(listed.select(F.concat_ws("/", kind, name).alias("file"), F.col("s_name").alias("value")), path)
+    return media.media_files(spark, path, adapters.games(spark, folder)).drop("file_path")
+
+
+@query
+def bucketed_genre_price(spark, folder):
+    """A genre question on tables that are stored by game id, so that games and links meet without a shuffle."""
+    games, links, genres = adapters.genre_model(spark, folder)
+    path = shared_folder(spark)
+    prefix = f"model_{path.rsplit('/', 1)[-1]}_"
+    model.Catalogue(games, genres, links).save_bucketed(path, prefix, 8)
+    stored = model.Catalogue.load_bucketed(spark, prefix)
+    return business.genre_price(stored.games, stored.game_genres, stored.genres)
+
+
 @query
 def media_filter(spark, folder):
     return pages.with_media(_entries(spark, folder)).select("id")

@@ -6,6 +6,8 @@ the SQL engine that checks the results, with ``{table}`` standing for a view.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,6 +153,25 @@ def media_listing(spark: SparkSession, folder: str) -> DataFrame:
     return from_sql(spark, folder, MEDIA_SQL, "pages")
 
 
+def store_named_files(lines: DataFrame, path: str) -> None:
+    """Text files below ``path``: column ``file`` names one, with its folder, and holds its ``value`` lines.
+
+    Spark names its files itself, so each name's rows are written to a folder and that folder's file is renamed.
+    """
+    spark = lines.sparkSession
+    lines.repartition("file").write.partitionBy("file").text(f"{path}/_written")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder(f"{path}/_written")):
+        name = unquote(status.getPath().getName().removeprefix("file="))
+        if status.isDirectory():
+            target = folder(f"{path}/{name}")
+            fs.mkdirs(target.getParent())
+            fs.rename(fs.listStatus(status.getPath())[0].getPath(), target)
+    fs.delete(folder(f"{path}/_written"), True)
+
+
 # Source column -> listing column, as the three landing files would carry them.
 _LANDING = {
     SOURCE_A: {

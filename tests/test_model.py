@@ -157,3 +157,13 @@ def test_exact_title_wins_over_lower_id(spark):
 
 def test_empty_tables_have_declared_columns(spark):
     assert model.empty_table(spark, "user_reviews").columns[:3] == ["id", "game_id", "user_name"]
+
+
+def test_title_parts_for_a_table_of_titles(spark):
+    games = spark.createDataFrame([(4, "Big Ring"), (2, "ring"), (3, "50% off"), (5, "big ring"), (6, "Ünder"), (7, "x"), (8, None)], "id bigint, game_title string")
+    texts = ["ring", "RING", "0%", "_ing", "g r", "i", "ün", "", "big RING", None, "nowhere", "50% off more"]
+    wanted = spark.createDataFrame([(t,) for t in texts], "wanted string")
+    found = {r["wanted"]: (r["id"], r["game_title"]) for r in lookups.find_by_title_parts(games, wanted).collect()}
+    for text in texts:
+        first = lookups.find_by_title(games, text).first() if text is not None else None
+        assert found.get(text) == (tuple(first) if first else None), text

@@ -45,3 +45,13 @@ def test_reports_scan_their_input_once(spark, small):
 def test_scans_read_needed_columns_only(spark, small):
     plan = plan_of(spark, small, "bq4_consistent_publishers")
     assert "p_name" not in plan and "l_extendedprice" not in plan and "s_acctbal" not in plan
+
+
+def test_bucketed_games_and_links_meet_without_a_shuffle(spark, small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(spark, small, "bucketed_genre_price")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [game_id" in plan or "SortMergeJoin [id" in plan or "ShuffledHashJoin" in plan
+    assert not re.search(r"Exchange hashpartitioning\((game_id|id)#", plan)
