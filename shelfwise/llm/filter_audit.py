@@ -21,7 +21,7 @@ from shelfwise.operators.numbering import numbered
 from shelfwise.session import staging, stored
 
 RANGE = 1 << 13  # row numbers of one range: what one task holds of a list
-STRIDE = 512  # row numbers that one step of a merge takes at most
+STRIDE = 2048  # row numbers that one step of a merge takes at most
 
 
 def gallop(ids: np.ndarray, target: int, at: int) -> int:
