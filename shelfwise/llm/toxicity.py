@@ -12,7 +12,7 @@ import math
 import pickle
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,6 +36,8 @@ LEET = {
 }
 GAP = " .-_*"
 SUBSTITUTION, GAP_COST, REPEAT_COST = 0.7, 0.1, 0.2
+MASKS = 4  # a longer run of '*' is a line, not letters
+SEEN = 1e-7  # share of all trigrams from which one counts as seen: at most ten million do
 
 SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[\W_]{1,3}[^\W_]){2,}(?![^\W_])")
 BETWEEN = re.compile(r"[\W_]+")
@@ -52,6 +54,7 @@ class Letters:
     triples: dict[str, int] = field(default_factory=dict)
     pairs: dict[str, int] = field(default_factory=dict)
     followers: dict[str, str] = field(default_factory=dict)
+    costs: dict[str, float] = field(default_factory=dict)
 
     def after(self, before: str) -> str:
         """Letters seen after two others: what a mask may stand for."""
@@ -67,7 +70,54 @@ class Letters:
         return word.isalpha() and not DOUBLED.search(word) and all(marked[i : i + 3] in self.triples for i in range(len(marked) - 2))
 
     def cost(self, before: str, letter: str) -> float:
-        return -math.log((self.triples.get(before + letter, 0) + 0.1) / (self.pairs.get(before, 0) + 4.0))
+        gram = before + letter
+        cost = self.costs.get(gram)
+        if cost is None:
+            cost = self.costs[gram] = -math.log((self.triples.get(gram, 0) + 0.1) / (self.pairs.get(before, 0) + 4.0))
+        return cost
+
+
+# Letters that one sign may stand for are one class.
+FOLDED = {sign: min(LEET.get(sign, sign)) for sign in LEET} | {"l": "i"}
+
+
+class Reach:
+    """Which stems some reading of a string may reach: a necessary test that needs no decoding.
+
+    Reading a string keeps the classes of its letters, in order, but for repeats, gaps and signs that stand for
+    nothing; a mask is any letter or none. So a reading can only begin with a stem, or equal a word, whose classes the
+    string's classes begin with, or equal. Stems are kept in a tree by their classes without repeats.
+    """
+
+    def __init__(self, stems: Iterable[str]):
+        self.root: dict = {}
+        self.deepest = 0
+        for stem in stems:
+            node, last, depth = self.root, "", 0
+            for letter in stem[1:]:
+                letter = FOLDED.get(letter, letter if letter.isalpha() else "")
+                if letter and letter != last:
+                    node, last, depth = node.setdefault(letter, {"last": letter}), letter, depth + 1
+            node["^" if stem[0] == "^" else "="] = True
+            self.deepest = max(self.deepest, depth)
+
+    def hit(self, token: str) -> bool:
+        nodes, run = [self.root], 0
+        for sign in token:
+            run = run + 1 if sign == "*" else 0
+            if any("^" in node for node in nodes):
+                return True
+            if sign == "*":
+                if run <= min(self.deepest, MASKS):
+                    seen = {id(n): n for node in nodes for n in (node, *(x for k, x in node.items() if len(k) == 1 and k not in "^="))}
+                    nodes = list(seen.values())
+                continue
+            letter = FOLDED.get(sign, sign if sign.isalpha() else "")
+            if letter:
+                nodes = [n for node in nodes for n in (node if node.get("last") == letter else node.get(letter),) if n is not None]
+                if not nodes:
+                    return False
+        return any("^" in node or "=" in node for node in nodes)
 
 
 def restore(word: str, letters: Letters) -> str:
@@ -76,8 +126,10 @@ def restore(word: str, letters: Letters) -> str:
     i = 0
     while i < len(word):
         sign, run = word[i], 1
-        while sign != "*" and i + run < len(word) and word[i + run] == sign:
+        while i + run < len(word) and word[i + run] == sign:
             run += 1
+        if sign == "*" and run <= MASKS:
+            run = 1
         options: list[tuple[str, float]] = []
         if sign in GAP:
             options.append(("", GAP_COST))
@@ -90,7 +142,7 @@ def restore(word: str, letters: Letters) -> str:
             options.append(("", 2.0))
         reached: dict[str, tuple[float, str]] = {}
         for before, (cost, made) in paths.items():
-            masked = [(x, SUBSTITUTION) for x in letters.after(before)] if sign == "*" else []
+            masked = [(x, SUBSTITUTION) for x in letters.after(before)] if sign == "*" and run == 1 else []
             for text, toll in options + masked:
                 state, total = before, cost + toll
                 for letter in text:
@@ -107,14 +159,19 @@ def plain(token: str) -> str:
     return EDGES.sub("", token)
 
 
-def words_of(text: str, letters: Letters | None) -> set[str]:
-    """Distinct lower-case words of a text; with a letter model also the restored spellings."""
+def words_of(text: str, letters: Letters | None, reach: Reach | None = None) -> set[str]:
+    """Distinct lower-case words of a text; with a letter model also the restored spellings of spaced letters.
+
+    With ``reach`` only what may reach its stems is restored: all else can't change what the stems find.
+    """
     text = text.lower()
     words = set(text.split())
     if letters is not None:
         for found in SPACED.finditer(text):
             if any(c.isalpha() for c in found[0]):
-                words.add(restore(BETWEEN.sub(" ", found[0]), letters))
+                spaced = BETWEEN.sub(" ", found[0])
+                if reach is None or reach.hit(spaced):
+                    words.add(restore(spaced, letters))
     return words
 
 
@@ -123,14 +180,18 @@ def stems(word: str) -> list[str]:
     return [f"={word}", *(f"^{word[:n]}" for n in (4, 5, 6) if len(word) > n)]
 
 
-def forms(token: str, letters: Letters | None) -> set[str]:
-    """A token without signs at its ends, and its restored spellings unless the letter model explains it as it stands."""
+def forms(token: str, letters: Letters | None, reach: Reach | None = None) -> set[str]:
+    """A token without signs at its ends, and its restored spellings unless the letter model explains it as it stands.
+
+    With ``reach`` only spellings are restored that may reach its stems.
+    """
     bare = plain(token)
     out = {bare}
     if letters is not None and bare:
         inner = OUTSIDE.sub("", token)
         if inner != bare or not letters.explain(bare):
-            out.update(restore(x, letters) for x in {token, inner, inner.rstrip("!|+(*"), inner.strip("*"), bare})
+            spelled = {token, inner, inner.rstrip("!|+(*"), inner.strip("*"), bare}
+            out.update(restore(x, letters) for x in spelled if reach is None or reach.hit(x))
     return {x for x in out if x}
 
 
@@ -139,14 +200,18 @@ class Model:
     letters: Letters
     weights: dict[str, float]
     coefficients: tuple[float, ...] | None  # None: nothing was learned, every score is 0
+    reach: Reach | None = None
+
+    def __post_init__(self) -> None:
+        self.reach = Reach(self.weights)
 
     def token_weight(self, token: str) -> float:
-        return max((self.weights.get(s, 0.0) for w in forms(token, self.letters) for s in stems(w)), default=0.0)
+        return max((self.weights.get(s, 0.0) for w in forms(token, self.letters, self.reach) for s in stems(w)), default=0.0)
 
     def evidence(self, text: str, known: dict[str, float]) -> tuple[float, float, float]:
         """The two largest word weights and the number of words with a large one. ``known`` keeps tokens seen."""
         found = []
-        for token in words_of(text, self.letters):
+        for token in words_of(text, self.letters, self.reach):
             weight = known.get(token)
             if weight is None:
                 weight = known[token] = self.token_weight(token)
@@ -177,6 +242,40 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, .
     return tuple(beta.tolist())
 
 
+def letter_model(docs: DataFrame) -> Letters:
+    """Trigram counts of the distinct words of every text, of those that make up the share ``SEEN`` or more."""
+
+    def trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[str] = Counter()
+        words: Counter[str] = Counter()
+
+        def count() -> None:
+            for word, n in words.items():
+                word = plain(word)
+                if word.isalpha():
+                    marked = f"^^{word}$"
+                    for i in range(len(marked) - 2):
+                        counts[marked[i : i + 3]] += n
+            words.clear()
+
+        for batch in batches:
+            for text in batch["text"]:
+                words.update(set(text.lower().split()))
+                if len(words) > 200_000:
+                    count()
+        count()
+        yield pd.DataFrame({"gram": list(counts), "n": list(counts.values())}).astype({"gram": object, "n": "int64"})
+
+    texts = docs.select(text_or_empty().alias("text"))
+    counted = checkpointed(texts.mapInPandas(trigrams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    grams = counted.filter(F.col("n") >= SEEN * total).collect()
+    letters = Letters({r["gram"]: r["n"] for r in grams})
+    for gram, n in letters.triples.items():
+        letters.pairs[gram[:2]] = letters.pairs.get(gram[:2], 0) + n
+    return letters
+
+
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Learn from labelled rows whose crc32(doc_id as text) mod 4 is not 2: about ``train_rows`` at most, by hash of the id.
 
@@ -198,29 +297,17 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
         .repartition(24)
     )
 
-    def trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                for word in map(plain, words_of(text, None)):
-                    if word.isalpha():
-                        marked = f"^^{word}$"
-                        counts.update(marked[i : i + 3] for i in range(len(marked) - 2))
-        yield pd.DataFrame({"gram": list(counts), "n": list(counts.values())}).astype({"gram": object, "n": "int64"})
-
-    grams = sample.mapInPandas(trigrams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    letters = Letters({r["gram"]: r["n"] for r in grams})
-    for gram, n in letters.triples.items():
-        letters.pairs[gram[:2]] = letters.pairs.get(gram[:2], 0) + n
+    letters = letter_model(docs)
 
     def occurrences(wanted: frozenset[str] | None, toxic: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts: Counter[str] = Counter()
             read: dict[str, set[str]] = {}
+            reach = None if wanted is None else Reach(wanted)
             for batch in batches:
                 for text in batch["text"][batch["toxic"] == toxic]:
-                    words = words_of(text, letters)
-                    read.update((t, {s for w in forms(t, letters) for s in stems(w)}) for t in words if t not in read)
+                    words = words_of(text, letters, reach)
+                    read.update((t, {s for w in forms(t, letters, reach) for s in stems(w)}) for t in words if t not in read)
                     found = {s for t in words for s in read[t]}
                     counts.update(found if wanted is None else found & wanted)
             yield pd.DataFrame({"stem": list(counts), "n": list(counts.values())}).astype({"stem": object, "n": "int64"})
