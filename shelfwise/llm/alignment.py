@@ -84,16 +84,14 @@ class Tokenizers:
         raw = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.array(list(map(len, raw)), int)
         same = np.ones(len(words), bool)
-        for ids, table in zip(lists, (self.bytes_a, self.bytes_b)):
-            made = [b"".join(map(table.__getitem__, x)) for x in ids]
-            if made != raw:
-                same &= np.array([x == r for x, r in zip(made, raw)])
+        for ids, table, lengths in zip(lists, (self.bytes_a, self.bytes_b), (self.size_a, self.size_b)):
+            same &= given_back(ids, raw, sizes, table, lengths)
         flat, ends, counts = [], [], []
-        for ids, table in zip(lists, (self.size_a, self.size_b)):
+        for ids, lengths in zip(lists, (self.size_a, self.size_b)):
             kept = [x if ok else () for x, ok in zip(ids, same.tolist())] if not same.all() else ids
             counts.append(np.array(list(map(len, kept)), int))
             flat.append(np.fromiter(chain.from_iterable(kept), int, int(counts[-1].sum())))
-            ends.append(np.cumsum(table[flat[-1]]))
+            ends.append(np.cumsum(lengths[flat[-1]]))
         shared = np.intersect1d(*ends, assume_unique=True)
         last = [np.searchsorted(e, shared) for e in ends]
         texts = group_texts(*(list(map(str, ids.tolist())) for ids in flat), *((x + 1).tolist() for x in last))
@@ -121,6 +119,16 @@ class Tokenizers:
         return [np.array(list(map(self.place.__getitem__, words)), int) for words in lists]
 
 
+def given_back(ids: list[list[int]], raw: list[bytes], sizes: np.ndarray, table: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """Whether the tokens of each string make up its bytes: all strings at once, one by one only where that fails."""
+    counts = np.array(list(map(len, ids)), int)
+    flat = np.fromiter(chain.from_iterable(ids), int, int(counts.sum()))
+    made = np.concatenate(([0], np.cumsum(lengths[flat])))[np.concatenate(([0], np.cumsum(counts)))]
+    if (np.diff(made) == sizes).all() and b"".join(map(table.__getitem__, flat.tolist())) == b"".join(raw):
+        return np.ones(len(raw), bool)
+    return np.array([b"".join(map(table.__getitem__, x)) == r for x, r in zip(ids, raw)], bool)
+
+
 def group_texts(a: list[str], b: list[str], upto_a: list[int], upto_b: list[int]) -> list[str]:
     """Texts of groups that end before the given places of both lists of ids."""
     texts, i, j = [], 0, 0
@@ -351,41 +359,58 @@ def score_block(units: pa.Table, pairs: pa.Table) -> pa.Table:
     return kept
 
 
-def compose_runs(rows):
-    """Fragments of one node of the tree, in order -> their composition and the groups that close in it."""
-    import pandas as pd
+TREE = "row long, kind int, part long, groups string, cut boolean, first_cut long, head_a string, head_b string, tail_a string, tail_b string"
+OPEN, SEAM = 0, 1
+
 
-    rows = rows.sort_values("part")
-    out, total = [], None
-    for r in rows.itertuples():
-        fragment = Fragment(bool(r.cut), int(r.first_cut), r.head_a, r.head_b, r.tail_a, r.tail_b)
-        total, seam = compose(total, fragment) if total else (fragment, None)
-        if seam:
-            out.append((r.row, seam[0], "", True, seam[1], *[""] * 4, 0, False))
-    node = int(rows["part"].iloc[0]) // FAN
-    out.append((rows["row"].iloc[0], node, "fragment", total.cut, "", total.head_a, total.head_b, total.tail_a, total.tail_b, total.first_cut, True))
-    return pd.DataFrame(out, columns=["row", "part", "kind", "cut", "groups", "head_a", "head_b", "tail_a", "tail_b", "first_cut", "open"])
+def compose_rows(schema: pa.Schema):
+    """Fragments in order of row and part -> one for each node of the next level, and the groups that close at seams."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, total = None, None
+
+        def finished(out: dict[str, list]) -> None:
+            for name, value in {"row": node[0], "kind": OPEN, "part": node[1], "groups": "", **vars(total)}.items():
+                out[name].append(value)
+
+        for batch in batches:
+            out: dict[str, list] = {f.name: [] for f in schema}
+            for r in batch.to_pylist():
+                here = (r["row"], r["part"] // FAN)
+                fragment = Fragment(r["cut"], r["first_cut"], r["head_a"], r["head_b"], r["tail_a"], r["tail_b"])
+                if here != node:
+                    if node:
+                        finished(out)
+                    node, total = here, fragment
+                    continue
+                total, seam = compose(total, fragment)
+                if seam:
+                    for name, value in {"row": node[0], "kind": SEAM, "part": seam[0], "groups": seam[1], **vars(Fragment(True, 0))}.items():
+                        out[name].append(value)
+            yield rows_batch(out, schema)
+        if node:
+            out = {f.name: [] for f in schema}
+            finished(out)
+            yield rows_batch(out, schema)
 
-TREE = "row long, part long, kind string, cut boolean, groups string, head_a string, head_b string, tail_a string, tail_b string, first_cut long, open boolean"
+    return run
 
 
 def composed_groups(parts: DataFrame) -> DataFrame:
     """Fragments of long documents -> (row, part, place, groups): texts of closed groups in document order.
 
-    The open ends are composed level by level, ``FAN`` neighbours at a time; groups that close at a seam come
-    before those inside the range that closes them.
+    The open ends are composed level by level, ``FAN`` neighbours at a time, nodes dealt over the tasks; groups that
+    close at a seam come before those inside the range that closes them.
     """
-    nodes = parts.select("row", *(name.split()[0] for name in FRAGMENT.split(", ")))
+    columns = ["row", *(name.split()[0] for name in FRAGMENT.split(", "))]
+    nodes = parts.select(*columns)
     seams = []
     most = nodes.agg(F.max("part")).first()[0] or 0
     while True:
-        level = stored(
-            nodes.withColumn("node", F.floor(F.col("part") / FAN)).groupBy("row", "node")
-            .applyInPandas(lambda rows: compose_runs(rows.drop(columns="node")), TREE)
-        )
-        seams.append(level.filter("not open").select("row", "part", F.lit(0).alias("place"), "groups"))
-        nodes = level.filter("open").select("row", *(name.split()[0] for name in FRAGMENT.split(", ")))
+        dealt = nodes.repartition("row", F.floor(F.col("part") / FAN)).sortWithinPartitions("row", "part")
+        level = stored(dealt.mapInArrow(compose_rows(arrow_schema(TREE)), TREE))
+        seams.append(level.filter(f"kind = {SEAM}").select("row", "part", F.lit(0).alias("place"), "groups"))
+        nodes = level.filter(f"kind = {OPEN}").select(*columns)
         if most < FAN:
             break
         most //= FAN
