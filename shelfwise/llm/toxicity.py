@@ -77,8 +77,15 @@ class Letters:
         return cost
 
 
-# Letters that one sign may stand for are one class.
-FOLDED = {sign: min(LEET.get(sign, sign)) for sign in LEET} | {"l": "i"}
+class Folding(dict):
+    """The class of each sign: letters that one sign may stand for are one, what stands for nothing has none."""
+
+    def __missing__(self, sign: str) -> str:
+        self[sign] = sign if sign.isalpha() else ""
+        return self[sign]
+
+
+FOLDED = Folding({sign: min(letters) for sign, letters in LEET.items()} | {"l": "i"})
 
 
 class Reach:
@@ -95,13 +102,27 @@ class Reach:
         for stem in stems:
             node, last, depth = self.root, "", 0
             for letter in stem[1:]:
-                letter = FOLDED.get(letter, letter if letter.isalpha() else "")
+                letter = FOLDED[letter]
                 if letter and letter != last:
                     node, last, depth = node.setdefault(letter, {"last": letter}), letter, depth + 1
             node["^" if stem[0] == "^" else "="] = True
             self.deepest = max(self.deepest, depth)
 
     def hit(self, token: str) -> bool:
+        if "*" in token:
+            return self.hit_masked(token)
+        node, last = self.root, ""
+        for sign in token:
+            letter = FOLDED[sign]
+            if letter and letter != last:
+                node, last = node.get(letter), letter
+                if node is None:
+                    return False
+                if "^" in node:
+                    return True
+        return "=" in node
+
+    def hit_masked(self, token: str) -> bool:
         nodes, run = [self.root], 0
         for sign in token:
             run = run + 1 if sign == "*" else 0
@@ -112,7 +133,7 @@ class Reach:
                     seen = {id(n): n for node in nodes for n in (node, *(x for k, x in node.items() if len(k) == 1 and k not in "^="))}
                     nodes = list(seen.values())
                 continue
-            letter = FOLDED.get(sign, sign if sign.isalpha() else "")
+            letter = FOLDED[sign]
             if letter:
                 nodes = [n for node in nodes for n in (node if node.get("last") == letter else node.get(letter),) if n is not None]
                 if not nodes:
@@ -156,7 +177,7 @@ def restore(word: str, letters: Letters) -> str:
 
 
 def plain(token: str) -> str:
-    return EDGES.sub("", token)
+    return token if token.isalpha() else EDGES.sub("", token)
 
 
 def words_of(text: str, letters: Letters | None, reach: Reach | None = None) -> set[str]:
@@ -180,18 +201,30 @@ def stems(word: str) -> list[str]:
     return [f"={word}", *(f"^{word[:n]}" for n in (4, 5, 6) if len(word) > n)]
 
 
+def spellings(token: str) -> set[str]:
+    """A token with the signs at its ends kept or left out: they may stand for letters or not."""
+    if token.isalpha():
+        return {token}
+    inner = OUTSIDE.sub("", token)
+    return {token, inner, inner.rstrip("!|+(*"), inner.strip("*"), plain(token)}
+
+
 def forms(token: str, letters: Letters | None, reach: Reach | None = None) -> set[str]:
     """A token without signs at its ends, and its restored spellings unless the letter model explains it as it stands.
 
-    With ``reach`` only spellings are restored that may reach its stems.
+    With ``reach`` only spellings are looked at that may reach its stems.
     """
+    spelled = spellings(token)
+    if reach is not None:
+        spelled = {x for x in spelled if reach.hit(x)}
+        if not spelled:
+            return set()
     bare = plain(token)
     out = {bare}
     if letters is not None and bare:
         inner = OUTSIDE.sub("", token)
         if inner != bare or not letters.explain(bare):
-            spelled = {token, inner, inner.rstrip("!|+(*"), inner.strip("*"), bare}
-            out.update(restore(x, letters) for x in spelled if reach is None or reach.hit(x))
+            out.update(restore(x, letters) for x in spelled)
     return {x for x in out if x}
 
 
@@ -246,17 +279,27 @@ def letter_model(docs: DataFrame) -> Letters:
     """Trigram counts of the distinct words of every text, of those that make up the share ``SEEN`` or more."""
 
     def trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter[str] = Counter()
+        counts: Counter[int] = Counter()
         words: Counter[str] = Counter()
 
         def count() -> None:
+            found = Counter()
             for word, n in words.items():
                 word = plain(word)
                 if word.isalpha():
-                    marked = f"^^{word}$"
-                    for i in range(len(marked) - 2):
-                        counts[marked[i : i + 3]] += n
+                    found[word] += n
             words.clear()
+            if not found:
+                return
+            points = np.frombuffer("".join(f"^^{w}$" for w in found).encode("utf-32-le"), "<u4").astype(np.int64)
+            sizes = np.array([len(w) + 3 for w in found])
+            inside = np.ones(len(points), bool)
+            inside[np.cumsum(sizes) - 1] = inside[np.cumsum(sizes) - 2] = False  # the last two begin no trigram
+            at = np.flatnonzero(inside)
+            codes = (points[at] << 42) | (points[at + 1] << 21) | points[at + 2]
+            grams, where = np.unique(codes, return_inverse=True)
+            totals = np.bincount(where, np.repeat(list(found.values()), sizes - 2)).astype(np.int64)
+            counts.update(dict(zip(grams.tolist(), totals.tolist())))
 
         for batch in batches:
             for text in batch["text"]:
@@ -264,7 +307,8 @@ def letter_model(docs: DataFrame) -> Letters:
                 if len(words) > 200_000:
                     count()
         count()
-        yield pd.DataFrame({"gram": list(counts), "n": list(counts.values())}).astype({"gram": object, "n": "int64"})
+        named = ["".join(chr(code >> shift & 0x1FFFFF) for shift in (42, 21, 0)) for code in counts]
+        yield pd.DataFrame({"gram": named, "n": list(counts.values())}).astype({"gram": object, "n": "int64"})
 
     texts = docs.select(text_or_empty().alias("text"))
     counted = checkpointed(texts.mapInPandas(trigrams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
