@@ -26,7 +26,9 @@ CUT_ONE_IN = 6
 MOST_WORDS = 48  # of a piece, counted from the last cut: only where words repeat is it reached
 WIDTH = 32  # cells in a row of the sketch that is the fingerprint
 WIDTHS = (32, 128, 512)  # tried in this order
-PART_DIGESTS = 128
+PART_DIGESTS = 48  # of both texts: a part's difference fits the first width with few exceptions
+CLEAR_CELLS = 4  # a difference that leaves fewer cells of the fingerprint clear is more than they hold
+TASK_BYTES = 2_000_000  # of text whose sketches one task subtracts
 PEEL_ROUNDS = 24
 CHECK_BITS = 16
 BUCKET_BYTES = 16_000_000
@@ -69,8 +71,8 @@ def genuine(value: Column) -> Column:
     return value.bitwiseAND(F.lit(low)) == check(value.bitwiseAND(F.lit(~low)))
 
 
-def cell_of(value: Column, row: int, width: int) -> Column:
-    return F.shiftright(value, CHECK_BITS + 16 * row).bitwiseAND(F.lit(width - 1))
+def cell_of(value: Column, row: int, width: int | Column) -> Column:
+    return F.shiftright(value, CHECK_BITS + 16 * row).bitwiseAND(F.lit(width) - 1)
 
 
 def together(values: Column) -> Column:
@@ -88,17 +90,43 @@ def dealt(values: Column, key: Callable[[Column], Column], low: int, bits: Colum
     )
 
 
-def in_cells(values: Column, key: Callable[[Column], Column], row: int, width: int) -> Column:
+def in_cells(values: Column, key: Callable[[Column], Column], row: int, width: int | Column) -> Column:
     """``values`` in groups by their cell."""
-    return dealt(values, key, CHECK_BITS + 16 * row, F.lit(width.bit_length() - 1))
+    bits = F.lit(width.bit_length() - 1) if isinstance(width, int) else F.log2(width).cast("int")
+    return dealt(values, key, CHECK_BITS + 16 * row, bits)
 
 
-def sketch(values: Column, width: int) -> Column:
+def sketch(values: Column, width: int | Column) -> Column:
     """Three rows of cells: count and exclusive or of the digests in each."""
     cell = lambda own: F.struct(F.size(own).alias("n"), together(own).alias("x"))
     return let(values, lambda own: F.array(*[F.transform(in_cells(own, lambda d: d, row, width), cell) for row in range(3)]))
 
 
+def sketched(rows: DataFrame, sides: tuple[str, ...]) -> DataFrame:
+    """``rows`` (``key`` and arrays of digests, dealt by ``key``) with a sketch ``sketch_<side>`` of each side.
+
+    Digests are exploded and their cells filled by grouped counts and exclusive ors. Rows of one key lie in one
+    partition already, so nothing is shuffled; cells without digests are entered once for each key.
+    """
+    place = lambda d, row: (cell_of(d, row, WIDTH) + row * WIDTH).cast("int").alias("cell")
+    entry = lambda k, d, cell: F.struct(F.lit(k).cast("int").alias("side"), d.alias("d"), cell.alias("cell"))
+    entries = lambda k, side: F.flatten(F.transform(side, lambda d: F.array(*[entry(k, d, place(d, row)) for row in range(3)])))
+    every = F.transform(F.sequence(F.lit(0), F.lit(3 * WIDTH - 1)), lambda i: entry(None, F.lit(None).cast("long"), i))
+    cells = rows.select("key", F.inline(F.concat(every, *[entries(k, F.col(side)) for k, side in enumerate(sides)])))
+    own = lambda k: F.when(F.col("side") == k, F.col("d"))
+    filled = cells.groupBy("key", "cell").agg(
+        *[
+            F.struct(F.count(own(k)).cast("int").alias("n"), F.coalesce(F.bit_xor(own(k)), F.lit(0)).alias("x")).alias(side)
+            for k, side in enumerate(sides)
+        ]
+    )
+    gathered = filled.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("cell", *sides))).alias("cells"))
+    row_of = lambda side, row: F.transform(F.slice("cells", row * WIDTH + 1, WIDTH), lambda c: c[side])
+    return rows.join(
+        gathered.select("key", *[F.array(*[row_of(side, row) for row in range(3)]).alias(f"sketch_{side}") for side in sides]), "key"
+    )
+
+
 def subtracted(a: Column, b: Column) -> Column:
     cell = lambda p, q: F.struct((p["n"] - q["n"]).alias("n"), p["x"].bitwiseXOR(q["x"]).alias("x"))
     return F.zip_with(a, b, lambda row, other: F.zip_with(row, other, cell))
@@ -108,7 +136,12 @@ def clear(cells: Column) -> Column:
     return F.forall(cells, lambda row: F.forall(row, lambda c: (c["n"] == 0) & (c["x"] == 0)))
 
 
-def peeled(cells: Column, width: int) -> Column:
+def clear_cells(cells: Column) -> Column:
+    """How many cells a difference leaves clear: the fewer, the more it holds."""
+    return F.aggregate(cells, F.lit(0), lambda n, row: n + F.size(F.filter(row, lambda c: (c["n"] == 0) & (c["x"] == 0))))
+
+
+def peeled(cells: Column, width: int | Column) -> Column:
     """Numbers of digests that only the first and only the second text has; null if cells remain."""
 
     def singles(state: Column) -> Column:
@@ -166,21 +199,26 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
 
     The given fingerprints are subtracted first; wider sketches follow on failure, in parts for long texts.
     """
-    tried = lambda x, y, widths: F.coalesce(
-        *[peeled(subtracted(sketch(x, w), sketch(y, w)), w) for w in widths], compared(x, y)
+    attempt = lambda x, y, w: peeled(subtracted(sketch(x, w), sketch(y, w)), w)
+    failed = F.lit(None).cast("struct<plus:int,minus:int>")
+    widths = F.array(*[F.lit(w) for w in WIDTHS])
+    tried = lambda x, y: F.coalesce(
+        F.aggregate(widths, failed, lambda found, w: F.when(found.isNotNull(), found).otherwise(attempt(x, y, w))), compared(x, y)
     )
     parts = F.greatest(F.size(a) + F.size(b), F.lit(1)) / PART_DIGESTS
     halvings = F.greatest(F.ceil(F.log2(parts)), F.lit(0)).cast("int")
     own = lambda values: dealt(values, lambda d: F.xxhash64(d, F.lit(7)), 0, halvings)
     add = lambda s, both: let(
-        tried(both["a"], both["b"], WIDTHS[1:]),
+        tried(both["a"], both["b"]),
         lambda d: F.struct((s["plus"] + d["plus"]).alias("plus"), (s["minus"] + d["minus"]).alias("minus")),
     )
     nothing = F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"))
     in_parts = F.aggregate(F.zip_with(own(a), own(b), lambda x, y: F.struct(x.alias("a"), y.alias("b"))), nothing, add)
-    # a fingerprint cannot hold more than its cells: that many more on one side need no trial
-    hopeful = F.abs(F.size(a) - F.size(b)) <= 3 * WIDTH
-    return F.coalesce(F.when(hopeful, peeled(subtracted(sketch_a, sketch_b), WIDTH)), in_parts)
+    left = subtracted(sketch_a, sketch_b)
+    whole = let(left, lambda cells: F.when(clear_cells(cells) >= CLEAR_CELLS, peeled(cells, WIDTH)))
+    # texts without a common digest differ in all of them
+    apart = F.struct(F.size(a).alias("plus"), F.size(b).alias("minus"))
+    return F.when(~F.arrays_overlap(a, b), apart).otherwise(F.coalesce(whole, in_parts))
 
 
 def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
@@ -211,17 +249,16 @@ def bucket_number(value: Column, bounds: list) -> Column:
     return F.when(value.isNull(), -1).otherwise(search)
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, total: int) -> DataFrame:
     """doc_id, text, its digests ``a``, and ``next`` with digests ``c``: the text that follows in descending doc_id (null ids last); after the last, the first.
 
     Rows with one id follow each other by descending digest of their text. Buckets of ids are ordered each on its
-    own; their first rows, one for each bucket, close the gaps between them.
+    own; their first rows, one for each bucket, close the gaps between them. ``total`` is the size of all texts in bytes.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn(
         "digest", F.xxhash64("text")
     )
     rows = rows.withColumn("a", digests(F.col("text")))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(MOST_BUCKETS, math.ceil(total / BUCKET_BYTES))
     bounds: list = []
     if buckets > 1:
@@ -254,24 +291,33 @@ def report(docs: DataFrame, measure: Callable[..., Column] = likeness) -> DataFr
     """
     n = F.length("text")
     edited = F.concat(F.expr("left(text, length(text) - length(text) div 3)"), F.expr("left(next, cast(length(text) div 3 as int))"))
-    frame = with_next(docs).select("doc_id", "a", "c", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    frame = with_next(docs, total).select("doc_id", "a", "c", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    # Sketches take far longer than their rows are large: tasks are cut by the work, not by the bytes shuffled.
+    frame = frame.withColumn("key", F.monotonically_increasing_id()).repartition(max(1, math.ceil(total / TASK_BYTES)), "key")
     frame = frame.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         "a",
         digests(F.col("edited")).alias("b"),
-        "c",
+        F.when(F.arrays_overlap("a", "c"), F.col("c")).alias("c"),
+        F.size("c").alias("size_c"),
+        "key",
     )
-    for name in "abc":
-        frame = frame.withColumn(f"sketch_{name}", sketch(F.col(name), WIDTH))
-    near = lambda other: measure(F.col("a"), F.col(other), F.col("sketch_a"), F.col(f"sketch_{other}"))
+    frame = sketched(frame, ("a", "b"))
+    # One expression for both comparisons: it is large, and evaluated for an array of two. A next text that shares no
+    # digest has no sketch made: its likeness follows from the sizes.
+    of_next = F.when(F.col("c").isNotNull(), sketch(F.col("c"), WIDTH))
+    others = F.array(F.struct(F.col("b").alias("d"), F.col("sketch_b").alias("s")), F.struct(F.col("c").alias("d"), of_next.alias("s")))
+    near = F.transform(others, lambda o: F.when(o["d"].isNotNull(), measure(F.col("a"), o["d"], F.col("sketch_a"), o["s"])))
+    apart = F.when((F.size("a") == 0) & (F.col("size_c") == 0), 1.0).otherwise(0.0)
     return frame.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         written(F.col("a"), F.col("sketch_a")).alias("fingerprint"),
         written(F.col("b"), F.col("sketch_b")).alias("edited_fingerprint"),
-        near("b").alias("near_edited"),
-        near("c").alias("near_next"),
-    )
+        near.alias("near"),
+        apart.alias("apart"),
+    ).select("*", F.col("near")[0].alias("near_edited"), F.coalesce(F.col("near")[1], "apart").alias("near_next")).drop("near", "apart")

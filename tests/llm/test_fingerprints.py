@@ -4,15 +4,33 @@ import hashlib
 import re
 
 import pytest
+import xxhash
 from conftest import frame, prose
 from pyspark.sql import functions as F
 
 from shelfwise.llm import fingerprints, queries
 
 
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U000323af"
+WORDS = re.compile(f"[{UNSPACED}]|[^ \\t\\n\\x0b\\x0c\\r{UNSPACED}]+")
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
 def pieces(text):
-    fine, coarse = (r"(?:[^\s]+[ \t]*){1,%d}\s*" % n for n in (8, 48))
-    return set(re.findall(fine, text[:240], re.A) + re.findall(coarse, text[240:], re.A))
+    """Runs of words that end where the hash of a word and the one before divides by six, cut again after 48 words."""
+    words = WORDS.findall(text)
+    hashes = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in words]
+    runs, run = [], []
+    for i, (w, h) in enumerate(zip(words, hashes)):
+        run.append(w)
+        before = hashes[i - 1] if i else 0
+        if (h ^ (before >> 3)) % 6 == 0 or i == len(words) - 1:
+            runs += [tuple(run[k : k + 48]) for k in range(0, len(run), 48)]
+            run = []
+    return set(runs)
 
 
 def likeness(a, b):
