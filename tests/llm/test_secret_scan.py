@@ -42,7 +42,7 @@ def test_incompressible_strings_after_sensitive_words(spark):
         "the value Zx81kQpL0vTr5nWs7YbM stands alone", "auth aaaaaaaaaaaaaaaaaaaa1aaaaaaaaaaaaaaaa", "key repeated Zx81kQpL0vTr5nWs7YbM, Zx81kQpL0vTr5nWs7YbM",
     ]
     rows = {r["doc_id"]: r["n_novel"] for r in secret_scan.report(frame(spark, texts)).collect()}
-    assert [rows[i] for i in range(5)] == [1, 0, 0, 0, 0]
+    assert [rows[i] for i in range(5)] == [1, 0, 0, 0, 2]  # a secret's own other occurrence does not explain it
 
 
 def test_columns_and_empty_table(spark):
