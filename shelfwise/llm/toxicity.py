@@ -239,17 +239,18 @@ class Model:
         self.reach = Reach(self.weights)
 
     def token_weight(self, token: str) -> float:
+        if token.isalpha() and not self.reach.hit(token):
+            return 0.0
         return max((self.weights.get(s, 0.0) for w in forms(token, self.letters, self.reach) for s in stems(w)), default=0.0)
 
     def evidence(self, text: str, known: dict[str, float]) -> tuple[float, float, float]:
         """The two largest word weights and the number of words with a large one. ``known`` keeps tokens seen."""
-        found = []
-        for token in words_of(text, self.letters, self.reach):
-            weight = known.get(token)
-            if weight is None:
-                weight = known[token] = self.token_weight(token)
-            if weight > 0:
-                found.append(weight)
+        words = words_of(text, self.letters, self.reach)
+        found = list(map(known.get, words))
+        if None in found:
+            known.update((token, self.token_weight(token)) for token in words if token not in known)
+            found = list(map(known.get, words))
+        found = [weight for weight in found if weight > 0]
         found.sort(reverse=True)
         first, second = (found + [0.0, 0.0])[:2]
         return first, second, math.log1p(sum(w > 1 for w in found))
