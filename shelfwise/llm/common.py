@@ -59,6 +59,26 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+FILTER_WORDS = 1 << 18  # of 64 bits: 16 million bits, whatever is entered
+
+
+def key_filter(keys: DataFrame, columns: list[str]) -> DataFrame:
+    """A bit table of hashed keys, of at most ``FILTER_WORDS`` rows: small enough to broadcast at any size of ``keys``."""
+    h = F.xxhash64(*columns)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    words = keys.select(F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word"), bit.alias("bit"))
+    return checkpointed(words.groupBy("word").agg(F.bit_or("bit").alias("bits")))
+
+
+def with_maybe(df: DataFrame, filter_: DataFrame, columns: list[str], into: str) -> DataFrame:
+    """``df`` plus ``into``: false only if a row's key is not among the filter's keys. Nulls are hashed like values."""
+    h = F.xxhash64(*columns)
+    known = filter_.select(F.col("word").alias("__word"), F.col("bits").alias("__bits"))
+    joined = df.join(F.broadcast(known), F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)) == F.col("__word"), "left")
+    bit = F.call_function("shiftright", F.col("__bits"), h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return joined.withColumn(into, F.coalesce(bit, F.lit(False))).drop("__word", "__bits")
+
+
 def pieces(df: DataFrame, column: str, target_bytes: int) -> int:
     """How many parts of about ``target_bytes`` the texts of ``column`` make; at least one."""
     total = df.agg(F.sum(F.octet_length(column))).first()[0] or 0

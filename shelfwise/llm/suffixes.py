@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import checkpointed, small_side, text_or_empty
+from shelfwise.llm.common import checkpointed, key_filter, text_or_empty, with_maybe
 from shelfwise.llm.shingles import BASE, INVERSE, mixed, powers
 from shelfwise.session import stored
 
@@ -30,7 +30,9 @@ SHARD_BYTES = 1_500_000
 MANY_WINDOWS = 3000
 BASE_2 = np.uint64(0xD1342543DE82EF95)
 INVERSE_2 = np.uint64(pow(int(BASE_2), -1, 1 << 64))
-WINDOW = "doc_id string, text_key long, anchor long, d1 long, d2 long, first long, last long"
+SIDES = 4  # longer grams around an anchor, one of which any two equal strings share
+GRAMS = [f"g{j}" for j in range(SIDES)]
+WINDOW = "doc_id string, text_key long, anchor long, d1 long, d2 long, first long, last long, " + ", ".join(f"{g} int" for g in GRAMS)
 PLACE = 21  # bits for a place within a chunk
 
 
@@ -63,8 +65,12 @@ def least_places(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def windows(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Of a buffer of texts ending at ``ends``: anchor, two digests, first and last start of every window."""
-    empty = tuple(np.empty(0, np.uint64) for _ in range(3)) + tuple(np.empty(0, np.int64) for _ in range(2))
+    """Of a buffer of texts ending at ``ends``: anchor, two digests, first and last start of every window, and ``SIDES`` grams.
+
+    A string of ``least`` bytes reaches some way left of its anchor and the rest of ``least`` right of it. By that way it covers one
+    of ``SIDES`` longer grams: two windows share a string only if they share one of these. 0 stands for a gram that no string covers.
+    """
+    empty = *(np.empty(0, np.uint64) for _ in range(3)), *(np.empty(0, np.int64) for _ in range(2)), np.empty((SIDES, 0), np.int32)
     if len(data) < least:
         return empty
     digests = Digests(data)
@@ -81,6 +87,16 @@ def windows(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
     new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)))
     first = starts[new]
     last = np.append(starts[np.flatnonzero(new)[1:] - 1], starts[-1])
+    place, begins = anchor[new], (ends - np.diff(ends, prepend=0))[text[valid][new]]
+    stops = ends[text[valid][new]]
+    slack = least - GRAM
+    sides = []
+    for j in range(SIDES):
+        near, far = slack * j // SIDES, slack * (j + 1) // SIDES  # a string reaches right by near to far
+        begin, end = place - (slack - far), place + GRAM + near
+        fits = (begin >= begins) & (end <= stops) & (place - last <= slack - near) & (place - first >= slack - far)
+        gram = digests.of(np.where(fits, begin, 0), np.where(fits, end, 0), 1)
+        sides.append(np.where(fits, (gram >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0)).view(np.int32))
     shape = ((anchor[new] - first).astype(np.uint64) << np.uint64(32)) | (last - first).astype(np.uint64)
     return (
         grams[anchor[new]],
@@ -88,6 +104,7 @@ def windows(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
         mixed(digests.of(first, last + least, 1) + shape),
         first,
         last,
+        np.stack(sides),
     )
 
 
@@ -216,7 +233,7 @@ def remove_repeats(
         for batch in batches:
             raw = [t.encode("utf-8", "replace") for t in batch["text"]]
             for owners, data, ends in pieces_of(raw, least):
-                anchor, d1, d2, first, last = windows(np.frombuffer(data, np.uint8), ends, least)
+                anchor, d1, d2, first, last, sides = windows(np.frombuffer(data, np.uint8), ends, least)
                 part = np.searchsorted(ends, first, side="right")
                 owner = np.array([i for i, _ in owners])[part]
                 shift = np.array([o for _, o in owners])[part] - (ends - np.diff(ends, prepend=0))[part]
@@ -229,6 +246,7 @@ def remove_repeats(
                         "d2": d2.view(np.int64),
                         "first": first + shift,
                         "last": last + shift,
+                        **dict(zip(GRAMS, sides)),
                     }
                 )
 
@@ -240,14 +258,18 @@ def remove_repeats(
     hits = checkpointed(found.join(repeated, digest))
     whole = hits.filter("copies > 1").select("doc_id", "text_key", "first", "last")
 
-    wanted = hits.filter("kinds > 1").dropDuplicates(digest)
+    # Of windows that share an anchor, only those that share one of the longer grams too can share a string.
+    distinct = hits.filter("kinds > 1").dropDuplicates(digest)
+    sides = distinct.select(*digest, F.posexplode(F.array(*GRAMS)).alias("side", "gram")).filter("gram <> 0")
+    common = sides.groupBy("anchor", "side", "gram").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    wanted = checkpointed(distinct.join(sides.join(common, ["anchor", "side", "gram"], "left_semi").select(*digest).distinct(), digest, "left_semi"))
     size = wanted.agg(F.sum(F.col("last") - F.col("first") + least)).first()[0] or 0
     shards = max(1, math.ceil(size / SHARD_BYTES))
-    holder = small_side(
-        checkpointed(wanted.select(F.col("doc_id").alias("of"), F.col("text_key").alias("key"), *digest, "kinds", "first", "last"))
-    )
+    holder = wanted.select(F.col("doc_id").alias("of"), F.col("text_key").alias("key"), *digest, "kinds", "first", "last")
+    # Texts without such a window are left out before the shuffle, as far as a filter of fixed size can tell.
+    holding = with_maybe(texts, key_filter(wanted, ["doc_id", "text_key"]), ["doc_id", "text_key"], "maybe").filter("maybe").drop("maybe")
     strings = (
-        texts.join(holder, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("key")))
+        holding.join(holder, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("key")))
         .select(
             *digest,
             "kinds",
@@ -283,9 +305,9 @@ def remove_repeats(
     partly = few.unionByName(many.join(twice, ["s1", "s2"]).select("anchor", "d1", "d2", "begin", "end"))
     parts = hits.filter("copies = 1 and kinds > 1").join(partly, digest)
     parts = parts.select("doc_id", "text_key", (F.col("first") + F.col("begin")).alias("first"), (F.col("first") + F.col("end")).alias("last"))
+    found_ranges = checkpointed(whole.unionByName(parts).distinct())
     marks = (
-        whole.unionByName(parts)
-        .groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("key"))
+        found_ranges.groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("key"))
         .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     )
 
@@ -301,9 +323,11 @@ def remove_repeats(
                 sizes.append(len(raw))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": sizes, "spans": spans, "kept": kept})
 
+    marked = with_maybe(texts, key_filter(found_ranges, ["doc_id", "text_key"]), ["doc_id", "text_key"], "maybe")
+    untouched = marked.filter("not maybe").select("doc_id", "text", F.lit(None).cast(marks.schema["ranges"].dataType).alias("ranges"))
+    joined = marked.filter("maybe").join(marks, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("key")), "left")
     return (
-        texts.join(marks, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("key")), "left")
-        .select("doc_id", "text", "ranges")
+        joined.select("doc_id", "text", "ranges").unionByName(untouched)
         .mapInPandas(cut, "doc_id string, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
         .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
