@@ -26,7 +26,7 @@ from shelfwise.session import stored
 DEPTH = 4  # bytes of context
 TOP = 2  # contexts up to here are weighted in shards, shorter ones at once
 END = 255  # no byte of UTF-8; stands before and after every text
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 24_000_000
 CHUNK_BYTES = 2_000_000
 SHARD_GRAMS = 300_000
 SMOOTHING = 0.1
@@ -169,10 +169,15 @@ def block_counts(rows: pd.DataFrame) -> pd.DataFrame:
     trains = rows["train"].to_numpy(bool)
     codes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     words: Counter[bytes] = Counter()
+    waiting, size = [], 0
     for part in chunks(texts):
         new, sizes = gram_codes(texts[part])
-        new, n = tally(new, np.repeat(trains[part], sizes))
-        codes, counts = tally(np.concatenate((codes, new)), np.concatenate((counts, n)))
+        waiting.append(tally(new, np.repeat(trains[part], sizes)))
+        size += len(waiting[-1][0])
+        if size > len(codes) or part.stop == len(texts):  # merged when as many wait: each code is sorted a few times only
+            waiting.append((codes, counts))
+            codes, counts = tally(*map(np.concatenate, zip(*waiting)))
+            waiting, size = [], 0
     for text, train in zip(texts, trains):
         found = text.split()
         if train:
@@ -265,6 +270,7 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
         named = table["word"].notna().to_numpy()
         counts = dict(zip(map(bytes, table["word"][named]), table["value"][named].to_numpy()))
         logs = {w: math.log10((c + SMOOTHING) / floor) for w, c in counts.items()}
+        seen = {w: c > 0 for w, c in counts.items()}
         codes, value = table["gram"][~named].to_numpy().astype(np.uint64), table["value"][~named].to_numpy()
         order = np.argsort(codes)
         codes, value = codes[order], value[order]
@@ -277,7 +283,7 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
             found = [*text.split(), b""]
             bases.append(math.fsum(map(logs.__getitem__, found)))
             numbers.append(len(found))
-            knowns.append(sum(counts[w] > 0 for w in found))
+            knowns.append(sum(map(seen.__getitem__, found)))
         return pd.DataFrame(
             {
                 "doc_id": block["doc_id"],
