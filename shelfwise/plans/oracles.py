@@ -559,6 +559,7 @@ ORACLES["url_dedup_keep_null"] = f"""WITH {LISTINGS} SELECT MIN(id) AS id, url_r
 WHERE url_raw IS NOT NULL GROUP BY url_raw UNION ALL SELECT id, NULL FROM listings WHERE url_raw IS NULL"""
 _SEEN = "seen AS (SELECT href, page_id, position FROM links QUALIFY ROW_NUMBER() OVER (PARTITION BY href ORDER BY page_id, position) = 1)"
 ORACLES["seen_dedup"] = f"WITH {LINKS}, {_SEEN} SELECT * FROM seen"
+ORACLES["seen_over_runs"] = ORACLES["seen_dedup"]
 ORACLES["capped_records"] = f"WITH {LINKS}, {_SEEN} SELECT page_id, position, href FROM seen ORDER BY page_id, position LIMIT 700"
 ORACLES["preview"] = f"WITH {GAMES} SELECT id, game_title, rating FROM games ORDER BY id LIMIT 5"
 ORACLES["smart_dedup"] = f"WITH {MASTER} SELECT * FROM master"

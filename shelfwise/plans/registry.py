@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import arrays, dates, numbers, text, urls
-from shelfwise.operators import clean, conform, dedup, model, quality, rules
-from shelfwise.operators.store import Change
+from shelfwise.operators import clean, conform, dedup, model, quality, rules, seen
+from shelfwise.operators.store import Change, Store
 from shelfwise.plans import business, lookups, research
 from shelfwise.schemas import MODEL, SOURCE_A, SOURCE_B, SOURCE_C, ddl
 from shelfwise.session import shared_folder
@@ -685,6 +685,18 @@ def url_dedup_keep_null(spark, folder):
     return dedup.unique_urls(rows, [F.col("id")], source=None, keep_null=True)
 
 
+@query
+def seen_over_runs(spark, folder):
+    """The pages' links in two runs, the first of them stored twice: as one run sees them."""
+    pages_ = table(spark, folder, "pages")
+    links = pages.page_links(pages_).select(F.col("href").alias("url"), "page_id", "position")
+    store = Store(spark, shared_folder(spark), seen.TABLES)
+    middle = (pages_.agg(F.max("page_id")).first()[0] or 0) // 2
+    for batch, rows in (("first", F.col("page_id") <= middle), ("first", F.col("page_id") <= middle), ("second", F.col("page_id") > middle)):
+        seen.record_run(store, batch, links.filter(rows))
+    return store.table("sightings").withColumnRenamed("url", "href")
+
+
 @query
 def seen_dedup(spark, folder):
     """First sighting of each link path over all pages, in page and position order."""

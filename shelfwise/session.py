@@ -38,13 +38,23 @@ def build_session(app_name: str = "shelfwise", master: str | None = None, **conf
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named by ``spark.checkpoint.dir``, or one in the warehouse if it is unset.
 
-    Both are shared storage on a cluster; no folder of one machine is used.
+    A warehouse on the driver's own disk serves a local session only: on a cluster it is refused.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shelfwise")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if own_disk(warehouse) and not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a shared folder: the warehouse lies on the driver's disk")
+        folder = f"{warehouse}/_shelfwise"
+    context.setCheckpointDir(folder)
+
+
+def own_disk(path: str) -> bool:
+    """Whether a path lies on one machine's disk, as far as its scheme tells."""
+    return path.startswith("file:") or "://" not in path
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -18,6 +18,7 @@ from shelfwise.functions import arrays, numbers, text, urls
 from shelfwise.schemas import SOURCE_A, SOURCE_B, SOURCE_C
 from shelfwise.sources import html as html_helper
 from shelfwise.operators.dedup import first_seen, keep_first
+from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources.html import LIST_SEPARATOR, compile_selector, read_page
 from shelfwise.sources.profiles import DETAILS, GROUPS, HOSTS, LISTINGS
 
@@ -361,7 +362,8 @@ def store_records(
     (``profiles.PUBLISHED_CUTS`` has the published numbers); nothing is cut by default.
     """
     listing, read_details = EXTRACTORS[source]
-    entries = first_seen(listing(listing_pages), "url")
+    ensure_checkpoint_dir(listing_pages.sparkSession)
+    entries = first_seen(listing(listing_pages), "url").checkpoint()  # read twice below, parsed once
     wanted = detail_pages.join(entries.select("url"), "url", "left_semi")
     details = read_details(keep_first(wanted, ["url"], [F.col("page_id")]), cuts or {}).drop("page_id")
     records = entries.join(details, "url", "left").withColumns(

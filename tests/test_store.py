@@ -137,3 +137,40 @@ def test_audit_scans_each_table_once(spark, store):
     tables = {n: store.table(n) for n in ("games", "user_reviews")}
     plan = rules.audit(tables)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") <= 2 + plan.count("ReusedExchange") and plan.count("FileScan parquet") == 2
+
+
+def test_runs_see_links_as_one_run_does(spark, tmp_path):
+    from shelfwise.operators import dedup, seen
+    from shelfwise.operators.store import Store
+
+    rows = [(f"u{(i * i) % 37}" if i % 11 else None, i // 4, i % 4) for i in range(120)]
+    sightings = spark.createDataFrame(rows, "url string, page_id bigint, position int")
+    store = Store(spark, f"file://{tmp_path}/seen", seen.TABLES)
+    for run in range(3):
+        assert seen.record_run(store, str(run), sightings.filter(F.col("page_id").between(run * 10, run * 10 + 9)))
+        assert not seen.record_run(store, str(run), sightings)
+    found = sorted(tuple(r) for r in store.table("sightings").filter("url is not null").collect())
+    assert found == sorted(tuple(r) for r in dedup.first_seen(sightings).filter("url is not null").collect())
+    assert seen.unseen(store, sightings).filter("url is not null").count() == 0
+    assert seen.unseen(store, spark.createDataFrame([("new",)], "url string")).count() == 1
+
+
+def test_a_driver_folder_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from shelfwise.session import ensure_checkpoint_dir
+
+    def session(master, warehouse, folder=None):
+        used = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=used.append)
+        settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: settings.get(k) or d)), used
+
+    with pytest.raises(ValueError, match="shared folder"):
+        ensure_checkpoint_dir(session("yarn", "file:/home/driver/warehouse")[0])
+    for master, warehouse, folder, expected in (
+        ("local[4]", "file:/w", None, "file:/w/_shelfwise"), ("yarn", "hdfs://n/w", None, "hdfs://n/w/_shelfwise"), ("yarn", "file:/w", "file:/mnt/shared", "file:/mnt/shared"),
+    ):
+        spark, used = session(master, warehouse, folder)
+        ensure_checkpoint_dir(spark)
+        assert used == [expected]
