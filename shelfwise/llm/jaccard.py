@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import checkpointed, small_side, with_computed
+from shelfwise.llm.common import checkpointed, small_side, unused, with_computed
 from shelfwise.llm.components import components
 from shelfwise.llm.shingles import mixed, shingles
 
@@ -218,15 +218,12 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     Rows with a null id stay, and so do empty texts.
     """
     joined = join(docs, **options)
-    extra = small_side(
-        checkpointed(joined.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone")).distinct())
+    gone, twice = unused(docs, "gone"), unused(docs, "twice")
+    extra = checkpointed(joined.filter("doc_id <> class_id").select(F.col("doc_id").alias(gone)).distinct())
+    again = checkpointed(
+        joined.filter("doc_id is not null").groupBy(F.col("doc_id").alias(twice)).count().filter("count > 1").select(twice)
     )
-    again = small_side(
-        checkpointed(
-            joined.filter("doc_id is not null").groupBy(F.col("doc_id").alias("twice")).count().filter("count > 1").select("twice")
-        )
-    )
-    kept = docs.join(extra, F.col("doc_id") == F.col("gone"), "left_anti")
-    single = kept.join(again, F.col("doc_id") == F.col("twice"), "left_anti")
-    repeated = kept.join(again, F.col("doc_id") == F.col("twice"), "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(extra, F.col("doc_id") == F.col(gone), "left_anti")
+    single = kept.join(again, F.col("doc_id") == F.col(twice), "left_anti")
+    repeated = kept.join(again, F.col("doc_id") == F.col(twice), "left_semi").dropDuplicates(["doc_id"])
     return single.unionByName(repeated)

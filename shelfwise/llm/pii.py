@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import text_or_empty
+from shelfwise.llm.common import text_or_empty, unused
 
 KEY = "shelfwise-pii-1"
 ROUNDS = 8
@@ -363,20 +363,21 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", count: str
     """
     whole = text_or_empty(text)
     several = whole.rlike(r"[A-Z0-9](?:[ -]?[A-Z0-9]){12}") & whole.rlike(r"[0-9][ -]") & ~whole.contains(BREAK)
-    docs = docs.withColumn("__scanned", F.when(several, with_breaks(whole)).otherwise(whole))
-    whole = F.col("__scanned")
+    scanned, pii = unused(docs, "__scanned"), unused(docs, "__pii")
+    docs = docs.withColumn(scanned, F.when(several, with_breaks(whole)).otherwise(whole))
+    whole = F.col(scanned)
     candidate = whole.rlike(FIRST_SIGNS)
     found = F.when(candidate, F.regexp_extract_all(whole, F.lit(ANY), 0))
-    working = docs.select("*", F.struct(found.alias("found")).alias("__pii"))
-    made = F.transform(F.col("__pii.found"), lambda value: pseudonym(value, key))
+    working = docs.select("*", F.struct(found.alias("found")).alias(pii))
+    made = F.transform(F.col(pii)["found"], lambda value: pseudonym(value, key))
     working = working.withColumn(
-        "__pii", F.when(F.size("__pii.found") > 0, F.struct(F.col("__pii.found").alias("found"), made.alias("made")))
+        pii, F.when(F.size(F.col(pii)["found"]) > 0, F.struct(F.col(pii)["found"].alias("found"), made.alias("made")))
     )
     between = F.split(whole, ANY, -1)
-    chosen = F.zip_with(F.col("__pii.found"), F.col("__pii.made"), lambda old, new: F.coalesce(new, old))
+    chosen = F.zip_with(F.col(pii)["found"], F.col(pii)["made"], lambda old, new: F.coalesce(new, old))
     joined = F.array_join(F.zip_with(between, chosen, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = working.withColumn(text, F.when(F.col("__pii").isNull(), F.col(text)).otherwise(F.when(F.col(text).contains(BREAK), joined).otherwise(F.replace(joined, F.lit(BREAK), F.lit("")))))
+    out = working.withColumn(text, F.when(F.col(pii).isNull(), F.col(text)).otherwise(F.when(F.col(text).contains(BREAK), joined).otherwise(F.replace(joined, F.lit(BREAK), F.lit("")))))
     if count:
-        number = F.size(F.filter(F.col("__pii.made"), lambda x: x.isNotNull()))
-        out = out.withColumn(count, F.when(F.col("__pii").isNull(), 0).otherwise(number).cast("long"))
-    return out.drop("__pii", "__scanned")
+        number = F.size(F.filter(F.col(pii)["made"], lambda x: x.isNotNull()))
+        out = out.withColumn(count, F.when(F.col(pii).isNull(), 0).otherwise(number).cast("long"))
+    return out.drop(pii, scanned)

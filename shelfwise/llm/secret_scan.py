@@ -9,6 +9,7 @@ or a word whose parts occur nearby adds little, a random string adds nearly its
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,8 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = re.compile(r"passw|secret|token|key|credential|bearer|auth|private|signature|salt", re.IGNORECASE | re.ASCII)
 SENSITIVE_WORDS = ("passw", "secret", "token", "key", "credential", "bearer", "auth", "private", "signature", "salt")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----(.*?)-----END \1-----", re.DOTALL)
+BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----")
+END = re.compile(r"-----END ([A-Z0-9 ]+)-----")
 BLOCK_LINE = re.compile(r"^[ \t>]*(=?[A-Za-z0-9+/]{4,}={0,2})[ \t\r]*$", re.MULTILINE)
 
 # What the compressor knows beforehand: words of code and configuration.
@@ -45,6 +47,25 @@ IDENTIFIERS = (
 )
 
 
+def sensitive_blocks(text: str) -> list[tuple[int, int]]:
+    """Spans between a BEGIN mark of a sensitive name and the next END mark of that name; blocks don't overlap.
+
+    END marks are listed by name once, so marks without a partner cost no further search.
+    """
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for m in END.finditer(text):
+        ends.setdefault(m[1], []).append(m.span())
+    out, at = [], 0
+    for m in BEGIN.finditer(text):
+        marks = ends.get(m[1], [])
+        k = bisect_left(marks, (m.end(), 0))
+        if m.start() >= at and k < len(marks):
+            at = marks[k][1]
+            if SENSITIVE.search(m[1]):
+                out.append((m.end(), marks[k][0]))
+    return out
+
+
 class Novelty:
     """Marginal compressed bytes of a string against its surroundings and a dictionary."""
 
@@ -114,7 +135,7 @@ def novel_spans(
             at += 1
         return at == len(covered) or covered[at][0] >= end
 
-    blocks = [m.span(2) for m in BLOCK.finditer(text) if SENSITIVE.search(m[1])] if "-----BEGIN " in text else []
+    blocks = sensitive_blocks(text) if "-----BEGIN " in text else []
     block = 0
     told = last = -1  # ends of the last string found and of the last one with a sensitive context
     for m in CANDIDATE.finditer(text):

@@ -88,3 +88,9 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 def test_query_equals_brute_force(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     assert sorted(map(tuple, queries.op8_jaccard(spark, small).collect()), key=str) == sorted(brute(rows), key=str)
+
+
+def test_one_of_each_carries_columns_of_any_name(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, "a", "b"), (2, text, "c", "d"), (3, "other words that stand here alone", "e", "f")], "doc_id long, text string, gone string, twice string")
+    assert sorted(tuple(r)[2:] for r in jaccard.one_of_each(docs).collect()) == [("a", "b"), ("e", "f")]

@@ -132,3 +132,9 @@ def test_runs_of_a_valid_value_and_more(spark):
     assert n == 2 and "123-45-6789" not in text and shape(text) == "9" * 16 + " 999-99-9999"
     assert m == 1 and other.startswith("no. 12 ") and "4111111111111111" not in other
     assert k == 2 and pair.endswith(" 99") and " 123, " in pair and rest == [("4111111111111112 123", 0)]
+
+
+def test_columns_with_the_operators_own_names_are_carried_along(spark):
+    docs = spark.createDataFrame([(1, "mail ann@example.com", "x", "y", "z")], "doc_id long, text string, __pii string, __scanned string, __PII_ string")
+    row = pii.pseudonymise(docs).first()
+    assert (row["__pii"], row["__scanned"], row["__PII_"], row["n_pseudonyms"]) == ("x", "y", "z", 1) and "ann@" not in row["text"]

@@ -83,3 +83,23 @@ def test_a_secret_written_twice_and_one_further_behind():
     assert found("the key, " + "as was said at noon, " * 5 + secret) == [secret]
     assert found(f"the value {secret} stands alone") == []
     assert found("the key is " + "not here " * 30 + secret) == []
+
+
+def test_blocks_pair_up_as_the_nearest_marks_of_a_name_do():
+    import random
+    import re
+
+    whole = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----(.*?)-----END \1-----", re.DOTALL)
+    for seed in range(300):
+        draw = random.Random(seed)
+        marks = ["-----BEGIN A KEY-----", "-----END A KEY-----", "-----BEGIN CERT-----", "-----END CERT-----", "-----BEGIN KEY-----", "-----END KEY-----", "text\n", "--"]
+        text = "\n".join(draw.choices(marks, k=draw.randint(1, 25)))
+        assert secret_scan.sensitive_blocks(text) == [m.span(2) for m in whole.finditer(text) if secret_scan.SENSITIVE.search(m[1])]
+
+
+def test_many_marks_without_partners_take_linear_time():
+    import time
+
+    text = "-----BEGIN PRIVATE KEY-----\n" * 80_000
+    start = time.perf_counter()
+    assert secret_scan.sensitive_blocks(text) == [] and time.perf_counter() - start < 5
