@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import bpe, jaccard, mixing, pii, toxicity
-from shelfwise.llm.common import table, tokenizer_path
+from shelfwise.llm.common import table, tokenizer_path, unused
 from shelfwise.session import discard, shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from labelled ones among them, doesn't reject."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "__toxicity").filter(F.col("__toxicity") < toxicity.THRESHOLD).drop("__toxicity")
+    score = unused(docs, "toxicity")
+    return toxicity.score(docs, model, score).filter(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +28,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms in place of personal data; where there were any, characters are counted anew."""
-    replaced = pii.pseudonymise(docs, count="__found")
+    found = unused(docs, "found")
+    replaced = pii.pseudonymise(docs, count=found)
     counted = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return replaced.withColumn("n_chars", F.when(F.col("__found") > 0, counted).otherwise(F.col("n_chars"))).select(docs.columns)
+    return replaced.withColumn("n_chars", F.when(F.col(found) > 0, counted).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
