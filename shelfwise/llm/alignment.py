@@ -34,7 +34,8 @@ CHUNK_BYTES = 16_384
 BLOCK_BYTES = 32_000_000
 SLICE_BYTES = 1_000_000
 FAN = 8
-KNOWN_WORDS = 300_000  # words whose groups a worker keeps; it starts anew beyond
+TOGETHER = 64  # distinct words that are encoded as one text
+KNOWN_WORDS = 500_000  # words whose groups a worker keeps; it starts anew beyond
 
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>$")
@@ -78,20 +79,53 @@ class Tokenizers:
         a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
         return a, self.b.encode(words, num_threads=1)
 
+    def tokens(self, words: list[str], raw: list[bytes], sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
+        """Per tokenizer: ids, their byte ends, and how many each word has, from words encoded many to a text.
+
+        None if some word is not given back: then words are looked at one by one.
+        """
+        lists = self.encode([" ".join(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)])
+        word_ends, everything, out = np.cumsum(sizes), b"".join(raw), []
+        for ids, table, lengths in zip(lists, (self.bytes_a, self.bytes_b), (self.size_a, self.size_b)):
+            flat = np.fromiter(chain.from_iterable(ids), int)
+            ends = np.cumsum(lengths[flat])
+            last = np.searchsorted(ends, word_ends)
+            if b"".join(map(table.__getitem__, flat.tolist())) != everything or (ends[last] != word_ends).any():
+                return None
+            out.append((flat, ends, np.diff(last, prepend=-1)))
+        return out
+
     def learn(self, words: list[str]) -> None:
         """Groups of new words. A word is valid if both tokenizers give back a blank and its bytes."""
+        plain = [w for w in words if not (w[0].isspace() or w[-1].isspace() or "▁" in w)]
+        if len(plain) < len(words):
+            self.learn_apart(sorted(set(words) - set(plain)))
+        raw = [b" " + w.encode("utf-8", "surrogatepass") for w in plain]
+        sizes = np.array(list(map(len, raw)), int)
+        found = self.tokens(plain, raw, sizes) if plain else []
+        if found is None:
+            self.learn_apart(plain)
+        elif plain:
+            self.enter(plain, np.ones(len(plain), bool), sizes, *zip(*found))
+
+    def learn_apart(self, words: list[str]) -> None:
+        """Groups of words that are encoded one by one."""
         lists = self.encode(words)
         raw = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.array(list(map(len, raw)), int)
         same = np.ones(len(words), bool)
-        for ids, table, lengths in zip(lists, (self.bytes_a, self.bytes_b), (self.size_a, self.size_b)):
-            same &= given_back(ids, raw, sizes, table, lengths)
+        for ids, table in zip(lists, (self.bytes_a, self.bytes_b)):
+            same &= np.array([b"".join(map(table.__getitem__, x)) == r for x, r in zip(ids, raw)], bool)
         flat, ends, counts = [], [], []
         for ids, lengths in zip(lists, (self.size_a, self.size_b)):
-            kept = [x if ok else () for x, ok in zip(ids, same.tolist())] if not same.all() else ids
+            kept = [x if ok else () for x, ok in zip(ids, same.tolist())]
             counts.append(np.array(list(map(len, kept)), int))
             flat.append(np.fromiter(chain.from_iterable(kept), int, int(counts[-1].sum())))
             ends.append(np.cumsum(lengths[flat[-1]]))
+        self.enter(words, same, sizes, flat, ends, counts)
+
+    def enter(self, words: list[str], same: np.ndarray, sizes: np.ndarray, flat, ends, counts) -> None:
+        """Keep the groups of words whose tokens are given: ids, byte ends and numbers per word, of both tokenizers."""
         shared = np.intersect1d(*ends, assume_unique=True)
         last = [np.searchsorted(e, shared) for e in ends]
         texts = group_texts(*(list(map(str, ids.tolist())) for ids in flat), *((x + 1).tolist() for x in last))
@@ -113,22 +147,12 @@ class Tokenizers:
         """Numbers of the words of each list; new ones are learned together."""
         if len(self.place) > KNOWN_WORDS:
             self.forget()
-        new = list({w for words in lists for w in words if w not in self.place})
+        new = list(set(chain.from_iterable(lists)).difference(self.place))
         if new:
             self.learn(new)
         return [np.array(list(map(self.place.__getitem__, words)), int) for words in lists]
 
 
-def given_back(ids: list[list[int]], raw: list[bytes], sizes: np.ndarray, table: list[bytes], lengths: np.ndarray) -> np.ndarray:
-    """Whether the tokens of each string make up its bytes: all strings at once, one by one only where that fails."""
-    counts = np.array(list(map(len, ids)), int)
-    flat = np.fromiter(chain.from_iterable(ids), int, int(counts.sum()))
-    made = np.concatenate(([0], np.cumsum(lengths[flat])))[np.concatenate(([0], np.cumsum(counts)))]
-    if (np.diff(made) == sizes).all() and b"".join(map(table.__getitem__, flat.tolist())) == b"".join(raw):
-        return np.ones(len(raw), bool)
-    return np.array([b"".join(map(table.__getitem__, x)) == r for x, r in zip(ids, raw)], bool)
-
-
 def group_texts(a: list[str], b: list[str], upto_a: list[int], upto_b: list[int]) -> list[str]:
     """Texts of groups that end before the given places of both lists of ids."""
     texts, i, j = [], 0, 0
