@@ -9,6 +9,7 @@ from shelfwise.functions.numbers import cents, rounded_mean, rounded_mean_price,
 from shelfwise.functions.text import title_key
 from shelfwise.operators.clean import UNKNOWN
 from shelfwise.plans.business import genre_facts, genre_price_stats, named, ranked, top, with_genre_name
+from shelfwise.session import ensure_checkpoint_dir
 
 # Release-age classes in days; the last one is open.
 AGE_CLASSES = ((365, "0-1 years"), (1095, "1-3 years"), (1825, "3-5 years"))
@@ -18,8 +19,9 @@ OLDEST_CLASS = "5+ years"
 def price_by_genre(
     games: DataFrame, game_genres: DataFrame, genres: DataFrame, n: int = 10, exclude_unknown: bool = False
 ) -> DataFrame:
-    """The ``n`` dearest and the ``n`` cheapest genres; both ends read one shared aggregate."""
-    stats = genre_price_stats(games, game_genres, genres, exclude_unknown).select("genre_name", "avg_price", "game_count")
+    """The ``n`` dearest and the ``n`` cheapest genres; both ends read one aggregate, which is checkpointed."""
+    ensure_checkpoint_dir(games.sparkSession)
+    stats = genre_price_stats(games, game_genres, genres, exclude_unknown).select("genre_name", "avg_price", "game_count").checkpoint()
     ends = []
     for side, price in (("highest", F.col("avg_price").desc()), ("lowest", F.col("avg_price").asc())):
         order = [price, F.col("genre_name")]
