@@ -86,3 +86,35 @@ def test_signs_at_a_words_end_and_masks_stand_for_letters():
             letters.pairs[marked[i : i + 2]] = letters.pairs.get(marked[i : i + 2], 0) + 50
     for token, word in (("gra$$", "grass"), ("mas$", "mass"), ("'ma$$',", "mass"), ("st*pid", "stupid"), ("stuupid", "stupid")):
         assert word in toxicity.forms(token, letters), token
+
+
+def unpruned(model, text):
+    """The score from every token's spellings, all of them restored, without the test of what may reach a stem."""
+    import math
+
+    found = []
+    for token in toxicity.words_of(text, model.letters):
+        best = max((model.weights.get(s, 0.0) for w in toxicity.forms(token, model.letters) for s in toxicity.stems(w)), default=0.0)
+        if best > 0:
+            found.append(best)
+    first, second = (sorted(found, reverse=True) + [0.0, 0.0])[:2]
+    x = (1.0, first, second, math.log1p(sum(w > 1 for w in found)))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(model.coefficients, x))))))
+
+
+def test_scores_equal_brute_force_over_all_spellings(spark, model, awkward_texts):
+    draw = random.Random(5)
+    spellings = ["bl4rgh", "b*argh", "bl**gh", "b l a r g h", "$norkf@ce", "grum-bel", "gruuumbbel", "blar.gh", "*****", "a" + "*" * 60, "(snorkface!", "bl@rgh!!", "1|1|", "snork", "gr*mb3l*"]
+    texts = [t or "" for t in awkward_texts if t is None or len(t) < 5000]
+    texts += [f"{prose(k, 20)} {' '.join(draw.choices(spellings, k=3))} {prose(k + 50, 10)}" for k in range(40)]
+    for text in texts:
+        assert model.score(text, {}) == pytest.approx(unpruned(model, text), abs=1e-12), text
+
+
+def test_query_scores_equal_brute_force(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "labels"))
+    learned = toxicity.train(docs, labels)
+    rows = {r["doc_id"]: r["score"] for r in toxicity.score(docs.select("doc_id", "text"), learned, "score").collect()}
+    for r in docs.select("doc_id", "text").collect():
+        if learned.coefficients is not None:
+            assert rows[r["doc_id"]] == pytest.approx(unpruned(learned, r["text"] or ""), abs=1e-12), r["doc_id"]
