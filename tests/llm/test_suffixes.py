@@ -78,3 +78,16 @@ def test_query_equals_brute_force(spark, small):
     expected = {i: (n, n - len(k), s, hashlib.sha256(k).hexdigest()) for (i, _), (n, k, s) in zip(rows, brute([t for _, t in rows]))}
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in queries.op10_suffixes(spark, small).collect()}
     assert got == expected
+
+
+def test_key_filter_leaves_out_no_key(spark):
+    from shelfwise.llm.common import key_filter, with_maybe
+
+    rows = spark.createDataFrame([(str(i) if i % 7 else None, i * i) for i in range(3000)], "doc_id string, text_key long")
+    entered = rows.filter("text_key % 5 = 0")
+    asked = with_maybe(rows, key_filter(entered, ["doc_id", "text_key"]), ["doc_id", "text_key"], "maybe")
+    assert asked.columns == ["doc_id", "text_key", "maybe"] and asked.count() == 3000
+    assert asked.filter("text_key % 5 = 0 and not maybe").count() == 0
+    assert asked.filter("text_key % 5 <> 0 and maybe").count() < 30
+    none = with_maybe(rows, key_filter(entered.limit(0), ["doc_id", "text_key"]), ["doc_id", "text_key"], "maybe")
+    assert none.filter("maybe").count() == 0
