@@ -28,10 +28,9 @@ WIDTH = 32  # cells in a row of the sketch that is the fingerprint
 WIDTHS = (32, 128, 512)  # tried in this order
 PART_DIGESTS = 48  # of both texts: a part's difference fits the first width with few exceptions
 CLEAR_CELLS = 4  # a difference that leaves fewer cells of the fingerprint clear is more than they hold
-TASK_BYTES = 2_000_000  # of text whose sketches one task subtracts
 PEEL_ROUNDS = 24
 CHECK_BITS = 16
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 2_000_000  # of text whose sketches are made one after the other: they take far longer than their bytes do
 MOST_BUCKETS = 20_000
 
 
@@ -102,31 +101,6 @@ def sketch(values: Column, width: int | Column) -> Column:
     return let(values, lambda own: F.array(*[F.transform(in_cells(own, lambda d: d, row, width), cell) for row in range(3)]))
 
 
-def sketched(rows: DataFrame, sides: tuple[str, ...]) -> DataFrame:
-    """``rows`` (``key`` and arrays of digests, dealt by ``key``) with a sketch ``sketch_<side>`` of each side.
-
-    Digests are exploded and their cells filled by grouped counts and exclusive ors. Rows of one key lie in one
-    partition already, so nothing is shuffled; cells without digests are entered once for each key.
-    """
-    place = lambda d, row: (cell_of(d, row, WIDTH) + row * WIDTH).cast("int").alias("cell")
-    entry = lambda k, d, cell: F.struct(F.lit(k).cast("int").alias("side"), d.alias("d"), cell.alias("cell"))
-    entries = lambda k, side: F.flatten(F.transform(side, lambda d: F.array(*[entry(k, d, place(d, row)) for row in range(3)])))
-    every = F.transform(F.sequence(F.lit(0), F.lit(3 * WIDTH - 1)), lambda i: entry(None, F.lit(None).cast("long"), i))
-    cells = rows.select("key", F.inline(F.concat(every, *[entries(k, F.col(side)) for k, side in enumerate(sides)])))
-    own = lambda k: F.when(F.col("side") == k, F.col("d"))
-    filled = cells.groupBy("key", "cell").agg(
-        *[
-            F.struct(F.count(own(k)).cast("int").alias("n"), F.coalesce(F.bit_xor(own(k)), F.lit(0)).alias("x")).alias(side)
-            for k, side in enumerate(sides)
-        ]
-    )
-    gathered = filled.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("cell", *sides))).alias("cells"))
-    row_of = lambda side, row: F.transform(F.slice("cells", row * WIDTH + 1, WIDTH), lambda c: c[side])
-    return rows.join(
-        gathered.select("key", *[F.array(*[row_of(side, row) for row in range(3)]).alias(f"sketch_{side}") for side in sides]), "key"
-    )
-
-
 def subtracted(a: Column, b: Column) -> Column:
     cell = lambda p, q: F.struct((p["n"] - q["n"]).alias("n"), p["x"].bitwiseXOR(q["x"]).alias("x"))
     return F.zip_with(a, b, lambda row, other: F.zip_with(row, other, cell))
@@ -145,12 +119,19 @@ def peeled(cells: Column, width: int | Column) -> Column:
     """Numbers of digests that only the first and only the second text has; null if cells remain."""
 
     def singles(state: Column) -> Column:
-        """Digests that are alone in a cell of theirs, with the sign of their text."""
+        """Digests that are alone in a cell of theirs, with the sign of their text; each from the first row where it is."""
+        lone = lambda c: F.abs(c["n"]) == 1
+
+        def before(c: Column, row: int) -> Column:
+            """Whether an earlier row has the digest alone in its cell there."""
+            there = [F.get(state["cells"][k], cell_of(c["x"], k, width).cast("int")) for k in range(row)]
+            return F.coalesce(*[F.when(lone(o) & (o["x"] == c["x"]), F.lit(True)) for o in there], F.lit(False))
+
         alone = lambda row: F.filter(
             state["cells"][row],
-            lambda c, i: (F.abs(c["n"]) == 1) & (cell_of(c["x"], row, width) == i) & genuine(c["x"]),
+            lambda c, i: lone(c) & (cell_of(c["x"], row, width) == i) & genuine(c["x"]) & (~before(c, row) if row else F.lit(True)),
         )
-        return F.array_distinct(F.concat(*[alone(row) for row in range(3)]))
+        return F.concat(*[alone(row) for row in range(3)])
 
     def without(state: Column, pure: Column) -> Column:
         left = lambda c, own: F.struct(
@@ -258,13 +239,14 @@ def with_next(docs: DataFrame, total: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn(
         "digest", F.xxhash64("text")
     )
-    rows = rows.withColumn("a", digests(F.col("text")))
     buckets = min(MOST_BUCKETS, math.ceil(total / BUCKET_BYTES))
     bounds: list = []
     if buckets > 1:
         shares = [k / buckets for k in range(1, buckets)]
         bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 10 * buckets)).first()[0] or []))
     rows = rows.withColumn("bucket", bucket_number(F.col("doc_id"), bounds))
+    # Texts are shuffled alone; digests are made where their bucket lies.
+    dealt_rows = rows.repartition(max(1, buckets), "bucket").withColumn("a", digests(F.col("text")))
     order = [F.col("doc_id").desc_nulls_last(), F.desc("digest"), F.desc("text")]
     heads = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "digest", "text")).alias("head"))
     buckets_down = Window.orderBy(F.desc("bucket"))
@@ -276,7 +258,7 @@ def with_next(docs: DataFrame, total: int) -> DataFrame:
         "from",
     )
     within = Window.partitionBy("bucket").orderBy(*order)
-    linked = rows.withColumn("after", F.lead("text").over(within)).withColumn("after_a", F.lead("a").over(within))
+    linked = dealt_rows.withColumn("after", F.lead("text").over(within)).withColumn("after_a", F.lead("a").over(within))
     return linked.join(gaps.select("bucket", "beyond", "beyond_a"), "bucket").select(
         "doc_id", "text", "a", F.coalesce("after", "beyond").alias("next"), F.coalesce("after_a", "beyond_a").alias("c")
     )
@@ -293,8 +275,6 @@ def report(docs: DataFrame, measure: Callable[..., Column] = likeness) -> DataFr
     edited = F.concat(F.expr("left(text, length(text) - length(text) div 3)"), F.expr("left(next, cast(length(text) div 3 as int))"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     frame = with_next(docs, total).select("doc_id", "a", "c", n.cast("long").alias("n_chars"), edited.alias("edited"))
-    # Sketches take far longer than their rows are large: tasks are cut by the work, not by the bytes shuffled.
-    frame = frame.withColumn("key", F.monotonically_increasing_id()).repartition(max(1, math.ceil(total / TASK_BYTES)), "key")
     frame = frame.select(
         "doc_id",
         "n_chars",
@@ -303,9 +283,8 @@ def report(docs: DataFrame, measure: Callable[..., Column] = likeness) -> DataFr
         digests(F.col("edited")).alias("b"),
         F.when(F.arrays_overlap("a", "c"), F.col("c")).alias("c"),
         F.size("c").alias("size_c"),
-        "key",
     )
-    frame = sketched(frame, ("a", "b"))
+    frame = frame.select("*", *[sketch(F.col(name), WIDTH).alias(f"sketch_{name}") for name in "ab"])
     # One expression for both comparisons: it is large, and evaluated for an array of two. A next text that shares no
     # digest has no sketch made: its likeness follows from the sizes.
     of_next = F.when(F.col("c").isNotNull(), sketch(F.col("c"), WIDTH))
