@@ -26,7 +26,7 @@ CUT_ONE_IN = 6
 MOST_WORDS = 48  # of a piece, counted from the last cut: only where words repeat is it reached
 WIDTH = 32  # cells in a row of the sketch that is the fingerprint
 WIDTHS = (32, 128, 512)  # tried in this order
-PART_DIGESTS = 48  # of both texts: a part's difference fits the first width with few exceptions
+PART_DIGESTS = 128  # of both texts: if a third of them differ, as after an edit, a part fits the first width
 CLEAR_CELLS = 4  # a difference that leaves fewer cells of the fingerprint clear is more than they hold
 PEEL_ROUNDS = 24
 CHECK_BITS = 16
