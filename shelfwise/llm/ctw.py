@@ -27,7 +27,7 @@ DEPTH = 4  # bytes of context
 TOP = 2  # contexts up to here are weighted in shards, shorter ones at once
 END = 255  # no byte of UTF-8; stands before and after every text
 BLOCK_BYTES = 24_000_000
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000  # of text; its codes and their sorting take some sixty times that
 SHARD_GRAMS = 300_000
 SMOOTHING = 0.1
 
@@ -148,14 +148,15 @@ def log_chances(codes: np.ndarray, chances: np.ndarray, top: tuple[np.ndarray, .
     return total
 
 
-def chunks(texts: list[bytes]) -> Iterator[slice]:
-    """Slices of the texts of about CHUNK_BYTES each."""
-    at, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= CHUNK_BYTES or i == len(texts) - 1:
-            yield slice(at, i + 1)
-            at, size = i + 1, 0
+def chunks(texts: pd.Series) -> Iterator[tuple[slice, list[bytes]]]:
+    """Slices of the texts of about CHUNK_BYTES each, with their folded texts."""
+    waiting, size = [], 0
+    for i, text in enumerate(texts, 1):
+        waiting.append(folded(text))
+        size += len(waiting[-1])
+        if size >= CHUNK_BYTES or i == len(texts):
+            yield slice(i - len(waiting), i), waiting
+            waiting, size = [], 0
 
 
 def tally(codes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,27 +166,26 @@ def tally(codes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def block_counts(rows: pd.DataFrame) -> pd.DataFrame:
     """Of one block: each n-gram and each word that occurs, with its count in training documents."""
-    texts = [folded(t) for t in rows["text"]]
     trains = rows["train"].to_numpy(bool)
     codes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     words: Counter[bytes] = Counter()
     waiting, size = [], 0
-    for part in chunks(texts):
-        new, sizes = gram_codes(texts[part])
+    for part, texts in chunks(rows["text"]):
+        new, sizes = gram_codes(texts)
         waiting.append(tally(new, np.repeat(trains[part], sizes)))
         size += len(waiting[-1][0])
-        if size > len(codes) or part.stop == len(texts):  # merged when as many wait: each code is sorted a few times only
+        if size > len(codes) or part.stop == len(rows):  # merged when as many wait: each code is sorted a few times only
             waiting.append((codes, counts))
             codes, counts = tally(*map(np.concatenate, zip(*waiting)))
             waiting, size = [], 0
-    for text, train in zip(texts, trains):
-        found = text.split()
-        if train:
-            words.update(found)
-            words[b""] += 1  # the end
-        else:
-            words.update(dict.fromkeys(found, 0))
-            words[b""] += 0
+        for text, train in zip(texts, trains[part]):
+            found = text.split()
+            if train:
+                words.update(found)
+                words[b""] += 1  # the end
+            else:
+                words.update(dict.fromkeys(found, 0))
+                words[b""] += 0
     block = rows["block"].iloc[0]
     return pd.DataFrame(
         {
@@ -266,24 +266,23 @@ def score(docs: DataFrame, train: str = "train") -> DataFrame:
     floor = tokens + SMOOTHING * (distinct + 1)
 
     def scored(block: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        texts = [folded(t) for t in block["text"]]
         named = table["word"].notna().to_numpy()
-        counts = dict(zip(map(bytes, table["word"][named]), table["value"][named].to_numpy()))
-        logs = {w: math.log10((c + SMOOTHING) / floor) for w, c in counts.items()}
-        seen = {w: c > 0 for w, c in counts.items()}
+        counts = table["value"][named].to_numpy()
+        by_count = {c: math.log10((c + SMOOTHING) / floor) for c in np.unique(counts).tolist()}
+        logs = dict(zip(map(bytes, table["word"][named]), map(by_count.__getitem__, counts)))  # words of one count share an object
         codes, value = table["gram"][~named].to_numpy().astype(np.uint64), table["value"][~named].to_numpy()
         order = np.argsort(codes)
         codes, value = codes[order], value[order]
         totals, bases, numbers, knowns = [], [], [], []
-        for part in chunks(texts):
-            found, sizes = gram_codes(texts[part])
-            keys, of = np.unique(found, return_inverse=True)
+        for _, texts in chunks(block["text"]):
+            grams, sizes = gram_codes(texts)
+            keys, of = np.unique(grams, return_inverse=True)
             totals.append(np.add.reduceat(value[np.searchsorted(codes, keys)][of], np.cumsum(sizes) - sizes))
-        for text in texts:
-            found = [*text.split(), b""]
-            bases.append(math.fsum(map(logs.__getitem__, found)))
-            numbers.append(len(found))
-            knowns.append(sum(map(seen.__getitem__, found)))
+            for text in texts:
+                found = [*map(logs.__getitem__, text.split()), logs[b""]]
+                bases.append(math.fsum(found))
+                numbers.append(len(found))
+                knowns.append(len(found) - found.count(by_count.get(0.0)))
         return pd.DataFrame(
             {
                 "doc_id": block["doc_id"],

@@ -127,3 +127,18 @@ def test_held_out_texts_score_better_than_single_bytes_would(spark, medium):
     lengths = {r["doc_id"]: len(r["text"].encode()) for r in spark.read.parquet(f"{medium}/documents.parquet").collect()}
     bits = -sum(r["score"] for r in rows) * math.log2(10) / sum(lengths[r["doc_id"]] for r in rows)
     assert bits < 2.5
+
+
+def test_a_block_is_counted_in_small_chunks():
+    import tracemalloc
+
+    import pandas as pd
+
+    rows = pd.DataFrame({"text": [prose(i, 400) for i in range(2000)], "train": True, "block": 0})
+    tracemalloc.start()
+    counted = ctw.block_counts(rows)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    size = rows["text"].str.encode("utf-8").str.len().sum()
+    assert size > 4_000_000 and counted["n"][counted["word"].isna()].sum() == size + len(rows)
+    assert peak < 70_000_000
