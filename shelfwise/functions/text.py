@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -123,12 +125,16 @@ def clean_platform(c: Column) -> Column:
 
 def _normalizer():
     """The UDF is built from a local function, so workers receive it by value and need
-    nothing installed but pandas."""
+    nothing installed but pyarrow. Of a batch, only a slice at a time is held as Python strings."""
+    slice_bytes = 1_000_000
 
-    def normalize(values: pd.Series) -> pd.Series:
-        return values.str.normalize("NFKC")
+    def normalize(values: pa.Array) -> pa.Array:
+        rows = max(1, slice_bytes * len(values) // max(1, values.nbytes))
+        parts = (values.slice(at, rows).to_pylist() for at in range(0, len(values), rows))
+        normal = ([v if v is None else unicodedata.normalize("NFKC", v) for v in part] for part in parts)
+        return pa.concat_arrays([pa.array([], pa.string()), *(pa.array(part, pa.string()) for part in normal)])
 
-    return F.pandas_udf(normalize, StringType())
+    return F.arrow_udf(normalize, StringType())
 
 
 def nfkc(c: Column) -> Column:

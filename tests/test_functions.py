@@ -212,3 +212,20 @@ def test_arrays(spark):
     assert apply(spark, arrays.platforms_in, ["works on windows and OS X", "none"]) == ["Windows, Mac", "N/A"]
     assert apply(spark, arrays.user_tags, [["RPG", "...", " x "]], "array<string>") == [["RPG", "x"]]
     assert apply(spark, arrays.short_genres, [["RPG", "-", "y" * 40, "101 Tag 1"]], "array<string>") == [["RPG", "101 Tag 1"]]
+
+
+def test_nfkc_holds_a_slice_of_a_batch_as_strings():
+    import tracemalloc
+    import unicodedata
+
+    import pyarrow as pa
+
+    texts = [f"{i} ﬁ½ " * 300 for i in range(8000)] + [None, "", "Å" * 3_000_000, "plain"]
+    values = pa.array(texts, pa.string())
+    tracemalloc.start()
+    normal = text._normalizer().func(values)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert values.nbytes > 20_000_000 and peak < 25_000_000
+    assert normal.to_pylist() == [t if t is None else unicodedata.normalize("NFKC", t) for t in texts]
+    assert text._normalizer().func(values.slice(0, 0)).to_pylist() == []
