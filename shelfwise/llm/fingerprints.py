@@ -27,16 +27,22 @@ MOST_WORDS = 48  # of a piece, counted from the last cut: only where words repea
 WIDTH = 32  # cells in a row of the sketch that is the fingerprint
 WIDTHS = (32, 128, 512)  # tried in this order
 PART_DIGESTS = 128  # of both texts: if a third of them differ, as after an edit, a part fits the first width
-CLEAR_CELLS = 4  # a difference that leaves fewer cells of the fingerprint clear is more than they hold
+CLEAR_CELLS = 4  # a difference that leaves fewer cells clear, for every WIDTH cells in a row, is more than they hold
 PEEL_ROUNDS = 24
 CHECK_BITS = 16
 BUCKET_BYTES = 2_000_000  # of text whose sketches are made one after the other: they take far longer than their bytes do
 MOST_BUCKETS = 20_000
 
 
+def words_of(text: Column) -> Column:
+    """A text's words as ``PIECE_WORD`` finds them; without unspaced signs they are what stands between blanks."""
+    spaced = F.array_remove(F.split(text, r"\s+"), "")
+    return F.when(text.rlike(f"[{UNSPACED}]"), F.regexp_extract_all(text, F.lit(PIECE_WORD), F.lit(0))).otherwise(spaced)
+
+
 def digests(text: Column) -> Column:
     """The distinct digests of a text's pieces: hash bits above, check bits below. White space is not counted."""
-    words = F.transform(F.regexp_extract_all(text, F.lit(PIECE_WORD), F.lit(0)), lambda w: F.xxhash64(w))
+    words = F.transform(words_of(text), lambda w: F.xxhash64(w))
     pair = lambda hashes, h, i: h.bitwiseXOR(F.shiftright(F.coalesce(F.get(hashes, i - 1), F.lit(0)), 3))
     last = lambda hashes, h, i: (
         (F.pmod(pair(hashes, h, i), F.lit(CUT_ONE_IN)) == 0) | (i == F.size(hashes) - 1)
@@ -140,7 +146,8 @@ def peeled(cells: Column, width: int | Column) -> Column:
         )
 
         def row_without(row: int) -> Column:
-            return F.zip_with(state["cells"][row], in_cells(pure, lambda p: p["x"], row, width), left)
+            touched = lambda c, own: F.when(F.size(own) == 0, c).otherwise(left(c, own))
+            return F.zip_with(state["cells"][row], in_cells(pure, lambda p: p["x"], row, width), touched)
 
         return F.array(*[row_without(row) for row in range(3)])
 
@@ -180,7 +187,10 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
 
     The given fingerprints are subtracted first; wider sketches follow on failure, in parts for long texts.
     """
-    attempt = lambda x, y, w: peeled(subtracted(sketch(x, w), sketch(y, w)), w)
+    fits = lambda cells, w: clear_cells(cells) * WIDTH >= w * CLEAR_CELLS
+    attempt = lambda x, y, w: let(
+        subtracted(sketch(x, w), sketch(y, w)), lambda cells: F.when(fits(cells, w), peeled(cells, w))
+    )
     failed = F.lit(None).cast("struct<plus:int,minus:int>")
     widths = F.array(*[F.lit(w) for w in WIDTHS])
     tried = lambda x, y: F.coalesce(
@@ -196,7 +206,7 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
     nothing = F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"))
     in_parts = F.aggregate(F.zip_with(own(a), own(b), lambda x, y: F.struct(x.alias("a"), y.alias("b"))), nothing, add)
     left = subtracted(sketch_a, sketch_b)
-    whole = let(left, lambda cells: F.when(clear_cells(cells) >= CLEAR_CELLS, peeled(cells, WIDTH)))
+    whole = let(left, lambda cells: F.when(fits(cells, WIDTH), peeled(cells, WIDTH)))
     # texts without a common digest differ in all of them
     apart = F.struct(F.size(a).alias("plus"), F.size(b).alias("minus"))
     return F.when(~F.arrays_overlap(a, b), apart).otherwise(F.coalesce(whole, in_parts))
