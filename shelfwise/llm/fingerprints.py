@@ -86,12 +86,16 @@ def together(values: Column) -> Column:
 
 def dealt(values: Column, key: Callable[[Column], Column], low: int, bits: Column) -> Column:
     """``values`` in 2^bits groups by the bits of their key from ``low`` on, halved once for each bit."""
-    one = lambda v, bit: F.call_function("shiftright", key(v), bit).bitwiseAND(F.lit(1))
-    half = lambda group, bit, h: F.filter(group, lambda v: one(v, bit) == h)
-    halves = lambda group, bit: F.array(half(group, bit, 0), half(group, bit, 1))
+    none = F.lit(0).cast("long")
+    zeros = lambda group, bit: F.filter(group, lambda v: key(v).bitwiseAND(bit) == none)
+    ones = lambda group, bit: F.filter(group, lambda v: key(v).bitwiseAND(bit) != none)
+    halves = lambda group, bit: F.when(F.size(group) == 0, F.array(group, group)).otherwise(
+        F.array(zeros(group, bit), ones(group, bit))
+    )
     places = F.when(bits > 0, F.sequence(bits + (low - 1), F.lit(low))).otherwise(F.array().cast("array<int>"))
+    masks = F.transform(places, lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place))
     return F.aggregate(
-        places, F.array(values), lambda groups, bit: F.flatten(F.transform(groups, lambda group: halves(group, bit)))
+        masks, F.array(values), lambda groups, bit: F.flatten(F.transform(groups, lambda group: halves(group, bit)))
     )
 
 
